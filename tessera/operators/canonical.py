@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.workspace import materialize
+
 _BLANKS = " \t\n\r\x0b\x0c"
 
 
@@ -59,7 +61,9 @@ def canonicalize(spellings: DataFrame, index: DataFrame) -> DataFrame:
     An exact alias wins; else the longest alias that contains the spelling or is
     contained in it, the earliest alias on equal length.
     """
-    raws = spellings.select("raw").distinct().withColumn("needle", needle(F.col("raw")))
+    # Written once: each is read by several of the joins below.
+    raws = materialize(spellings.select("raw").distinct().withColumn("needle", needle(F.col("raw"))), "spellings")
+    index = materialize(index, "alias_index")
     needles = raws.filter("needle IS NOT NULL").select("needle").distinct()
     exact = needles.join(index, F.col("needle") == F.col("alias")).select("needle", "vendor_id")
     misses = needles.join(index, F.col("needle") == F.col("alias"), "left_anti")

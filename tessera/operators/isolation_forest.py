@@ -11,6 +11,8 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.prefix_scan import hash_share
+
 SAMPLE = 256
 EULER = 0.5772156649015329
 
@@ -106,6 +108,10 @@ def _encoded(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str])
     return df, [*numeric, *codes]
 
 
+def _lowest(hashed: DataFrame, key: str, columns: Sequence[str], limit: int) -> np.ndarray:
+    return hashed.orderBy("_hash", key).limit(limit).toPandas()[list(columns)].to_numpy(dtype=float)
+
+
 def fit_forest(
     df: DataFrame, key: str, numeric: Sequence[str], columns: Sequence[str], trees: int, seed: int
 ) -> Forest:
@@ -114,11 +120,15 @@ def fit_forest(
     The rows with the smallest keyed hashes form the pool the samples come from: 256 per
     tree, so at most a few tens of thousands of rows, the same ones however rows are split.
     """
-    pool = (
-        df.select(key, *[F.col(c).cast("double").alias(c) for c in columns])
-        .orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(trees * SAMPLE)
-        .toPandas()[list(columns)].to_numpy(dtype=float)
+    rows, wanted = df.count(), trees * SAMPLE
+    hashed = df.select(
+        F.xxhash64(F.col(key), F.lit(seed)).alias("_hash"), key, *[F.col(c).cast("double").alias(c) for c in columns]
     )
+    # Twice the share that is needed; only these few rows are then sorted.
+    low = hashed.filter(hash_share(F.col(key), 2 * wanted / rows, seed)) if rows > 2 * wanted else hashed
+    pool = _lowest(low, key, columns, wanted)
+    if len(pool) < min(rows, wanted):
+        pool = _lowest(hashed, key, columns, wanted)
     size = min(SAMPLE, len(pool))
     n_numeric = len(numeric)
 

@@ -13,6 +13,12 @@ ROWS_PER_TASK = 1_000_000
 _SAMPLED_PER_BUCKET = 64
 
 
+def hash_share(key: Column, share: float, seed: int = 0) -> Column:
+    """Whether a key is among the ``share`` of keys with the lowest hashes."""
+    span = 2.0**64
+    return F.xxhash64(key, F.lit(seed)).cast("double") < F.lit(share * span - span / 2)
+
+
 def prefix_scan(
     df: DataFrame,
     order_by: Sequence[Column],
@@ -29,14 +35,13 @@ def prefix_scan(
     """
     sums = dict(sums or {})
     key = F.struct(*[column.alias(f"k{i}") for i, column in enumerate(order_by)])
-    buckets = -(-df.count() // rows_per_task)
+    rows = df.count()
+    buckets = -(-rows // rows_per_task)
     keyed = df.withColumn("_key", key)
     if buckets > 1:
-        # Bounded: a fixed number of sampled keys per range.
-        sampled = (
-            keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(buckets * _SAMPLED_PER_BUCKET)
-            .orderBy("_key").collect()
-        )
+        # About 64 keys per range, chosen by hash; keys are unique, so no value dominates them.
+        share = hash_share(F.col("_key"), min(1.0, buckets * _SAMPLED_PER_BUCKET / rows))
+        sampled = keyed.filter(share).select("_key").orderBy("_key").collect()
         step = max(1, len(sampled) // buckets)
         types = [field.dataType for field in keyed.schema["_key"].dataType.fields]
         bounds = F.array(*[

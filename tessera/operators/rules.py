@@ -8,6 +8,8 @@ from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.sources.workspace import materialize
+
 MAX_ITEMS = 3
 TOP_RULES = 25
 BASKET = ["customer_id", "date_id"]
@@ -36,13 +38,14 @@ def frequent_itemsets(items: DataFrame, min_support: float) -> tuple[DataFrame,
     kept = baskets(items).select(*BASKET)
     total = kept.count()
     needed = max(1, math.ceil(min_support * total))
-    valid = items.join(kept, BASKET, "left_semi").select(*BASKET, "name").persist()
+    valid = materialize(items.join(kept, BASKET, "left_semi").select(*BASKET, "name"), "basket_items")
     frequent = valid.groupBy("name").count().filter(F.col("count") >= needed).select("name")
-    sequences = (
+    sequences = materialize(
         valid.join(frequent, "name", "left_semi").groupBy(*BASKET)
         .agg(F.sort_array(F.collect_list("name")).alias("names"))
-        .select(F.array("names").alias("sequence"))
-    ).persist()
+        .select(F.array("names").alias("sequence")),
+        "sequences",
+    )
     present = sequences.count()
     if present == 0:
         empty = sequences.select(F.col("sequence")[0].alias("items"), F.lit(0).cast("bigint").alias("freq"))

@@ -90,6 +90,7 @@ def cluster_customers(features: DataFrame, k: int = 4) -> Clusters:
         # The starts are independent jobs over the same persisted rows.
         with ThreadPool(CONCURRENT_FITS) as pool:
             models = pool.map(inheritable_thread_target(spark)(fit), range(RESTARTS))
+        ready.unpersist()
         best = min(models, key=lambda model: model.summary.trainingCost)
         points, centers = best.transform(ready), best.clusterCenters()
     real = [
@@ -145,6 +146,7 @@ def churn_classifier(features: DataFrame, threshold_days: int = 30) -> Churn:
         featuresCol="z", labelCol="churned", regParam=1.0 / (churned + active), elasticNetParam=0.0,
         standardization=False, maxIter=500,
     ).fit(ready)
+    ready.unpersist()
     hits = F.avg((F.col("prediction") == F.col("churned")).cast("double"))
     accuracy = model.transform(ready).agg(F.round(hits, 3)).scalar()
     summary = counts.select("*", accuracy.alias("accuracy"), F.lit(None).cast("string").alias("error"))

@@ -48,7 +48,7 @@ def stage_silver(bronze: DataFrame) -> DataFrame:
     good = F.col("status") == OK
     first = F.struct("id", *REQUIRED_KEYS, F.when(~good, F.col("payload_json")).alias("payload_json"))
     winners = (
-        classified.groupBy("status", good.alias("_good"), F.when(good, F.col("sale_id")).otherwise(F.col("id")).alias("_key"))
+        classified.groupBy("status", F.when(good, F.col("sale_id")).otherwise(F.col("id")).alias("_key"))
         .agg(F.min(first).alias("first"), F.count("*").alias("copies"))
         .select("status", "first.*", "copies")
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.plans import dq, finance, retail
 from tessera.sources import finance as fin_source
 from tessera.sources import retail as retail_source
-from tessera.sources.workspace import materialize
+from tessera.sources.workspace import materialize, spread
 
 RETAIL_LAYERS = {
     "bronze": "bronze_sales_raw", "silver": "silver_sales", "gold_fact": "gold_fact_sales",
@@ -63,7 +63,8 @@ class Warehouse:
 
 
 def _bronze(w: Warehouse) -> DataFrame:
-    return retail_source.bronze_sales(retail_source.sales(w.source("lineitem"), w.source("orders")))
+    lineitem = spread(retail_source.order_lines(w.source("lineitem")))
+    return retail_source.bronze_sales(retail_source.sales(lineitem, w.source("orders")))
 
 
 def _events(w: Warehouse) -> DataFrame:
@@ -94,7 +95,7 @@ _BUILDERS: dict[str, tuple[_Builder, tuple[str, ...]]] = {
             w.table("fin_src_concur_expenses"), w.table("fin_src_corporate_card"), w.table("fin_dim_vendor")), ()),
     "fin_staged": (
         lambda w: finance.cluster_by_date(finance.stage_silver(
-            w.table("fin_src_concur_expenses"), w.table("fin_src_corporate_card"),
+            spread(w.table("fin_src_concur_expenses")), spread(w.table("fin_src_corporate_card")),
             w.table("fin_vendor_map"), w.table("fin_dim_employee"))), ("status",)),
     "fin_gld_spend_by_dept_month": (
         lambda w: finance.spend_by_dept_month(w.table("fin_slv_transactions"), w.table("fin_dim_department")), ()),

@@ -30,6 +30,14 @@ def channel(priority: Column) -> Column:
     )
 
 
+def order_lines(lineitem: DataFrame) -> DataFrame:
+    """The columns a sale is made of."""
+    return lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    )
+
+
 def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One sale per order line, in payload fields, with a total order key ``id``."""
     price = F.col("l_extendedprice").cast("decimal(18,2)")

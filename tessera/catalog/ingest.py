@@ -118,16 +118,24 @@ def enriched(w: Warehouse) -> DataFrame:
     )
 
 
-def _finance_table(w: Warehouse, layer: str) -> DataFrame:
-    tables = {
-        "concur": "fin_src_concur_expenses", "card": "fin_src_corporate_card",
-        "gold_spend": "fin_gld_spend_by_dept_month", "gold_vendors": "fin_gld_top_vendors",
-    }
-    return enriched(w) if layer == "silver" else w.table(tables[layer])
+_FINANCE_TABLES = {
+    "concur": "fin_src_concur_expenses", "card": "fin_src_corporate_card", "silver": "fin_slv_transactions",
+    "gold_spend": "fin_gld_spend_by_dept_month", "gold_vendors": "fin_gld_top_vendors",
+}
 
 
 def _sample_finance(layer: str):
-    return lambda w: layers.sample_finance_layer(layer, _finance_table(w, layer))
+    def sample(w: Warehouse) -> DataFrame:
+        rows = layers.sample_finance_layer(layer, w.table(_FINANCE_TABLES[layer]))
+        if layer != "silver":
+            return rows
+        named = finance.enrich_few(rows, w.table("fin_dim_employee"), w.table("fin_dim_department"), w.table("fin_dim_vendor"))
+        return named.select(
+            "txn_id", "source", "employee", "department", "vendor", "category", "txn_date", "amount_aed",
+            "original_currency", "original_amount",
+        )
+
+    return sample
 
 
 for _layer, _sql in _FINANCE_SAMPLES.items():
@@ -135,7 +143,7 @@ for _layer, _sql in _FINANCE_SAMPLES.items():
 
 
 def _raw(feed: str):
-    return lambda w: layers.raw_source(_finance_table(w, feed))
+    return lambda w: layers.raw_source(w.table(_FINANCE_TABLES[feed]))
 
 
 for _feed, _sql in _FEED_SQL.items():
@@ -169,7 +177,7 @@ def _(w: Warehouse) -> DataFrame:
 @query("a14_replay_retail", """
 SELECT s.*, g.* FROM silver_summary s, gold_summary g""")
 def _(w: Warehouse) -> DataFrame:
-    fresh = Warehouse(w.spark, w.source_dir)
+    fresh = w.replayed()
     gold = retail.gold_counts(fresh.table("gold_staged"))
     both = gold.select(F.struct("*")).scalar()
     return retail.silver_counts(fresh.table("silver_staged")).select("*", both.alias("gold")).select("*", "gold.*").drop("gold")
@@ -181,7 +189,7 @@ SELECT f.*, (SELECT count(*) FROM fin_gld_spend_by_dept_month) AS spend_mart_row
        (SELECT CAST(sum(total_aed) AS DOUBLE) FROM fin_gld_top_vendors) AS total_spend_aed
 FROM finance_summary f""")
 def _(w: Warehouse) -> DataFrame:
-    fresh = Warehouse(w.spark, w.source_dir)
+    fresh = w.replayed()
     vendors = fresh.table("fin_gld_top_vendors")
     months = fresh.table("fin_gld_spend_by_dept_month")
     return finance.silver_counts(fresh.table("fin_staged")).select(

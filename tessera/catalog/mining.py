@@ -204,12 +204,18 @@ def _(w: Warehouse) -> DataFrame:
     return hot.select("txn_id", *[F.array_join(vector_to_array(f"{c}_vec").cast("array<int>"), "").alias(c) for c in ("dept_label", "category_label")])
 
 
+def _spend_anomalies(w: Warehouse) -> mining.SpendAnomalies:
+    return mining.spend_anomalies(
+        w.table("fin_slv_transactions"), w.table("fin_dim_employee"), w.table("fin_dim_department"), w.table("fin_dim_vendor")
+    )
+
+
 @query("j7_f4_spend_anomalies")
 def _(w: Warehouse) -> DataFrame:
-    flagged = mining.spend_anomalies(enriched(w)).flagged
+    flagged = _spend_anomalies(w).flagged
     return flagged.withColumn("reasons", F.array_join("reasons", "; "))
 
 
 @query("j7_spend_anomaly_summary")
 def _(w: Warehouse) -> DataFrame:
-    return mining.spend_anomalies(enriched(w)).summary
+    return _spend_anomalies(w).summary

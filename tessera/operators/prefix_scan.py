@@ -48,25 +48,25 @@ def prefix_scan(
             F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(row[0], types))])
             for row in sampled[step::step]
         ])
-        bucket = F.size(F.filter(bounds, lambda bound: bound < F.col("_key")))
+        keyed = keyed.withColumn("_bucket", F.size(F.filter(bounds, lambda bound: bound < F.col("_key"))))
+        totals = keyed.groupBy("_bucket").agg(
+            F.count("*").alias("_n"), *[F.sum(column).alias(f"_t_{name}") for name, column in sums.items()]
+        )
+        # One row per range, so this unpartitioned window and the broadcast below stay small.
+        before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(
+            "_bucket",
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
+            *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_b_{name}") for name in sums],
+        )
+        keyed = keyed.join(F.broadcast(offsets), "_bucket")
+        within = Window.partitionBy("_bucket").orderBy("_key")
     else:
-        bucket = F.lit(0)
-    keyed = keyed.withColumn("_bucket", bucket)
-
-    totals = keyed.groupBy("_bucket").agg(
-        F.count("*").alias("_n"), *[F.sum(column).alias(f"_t_{name}") for name, column in sums.items()]
-    )
-    # One row per range, so this unpartitioned window and the broadcast below stay small.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_bucket",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n_before"),
-        *[F.coalesce(F.sum(f"_t_{name}").over(before), F.lit(0)).alias(f"_b_{name}") for name in sums],
-    )
-    within = Window.partitionBy("_bucket").orderBy("_key")
+        nothing = {name: F.lit(0) for name in ["_n_before", *[f"_b_{name}" for name in sums]]}
+        keyed = keyed.withColumns(nothing)
+        within = Window.orderBy("_key")
     running = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = keyed.join(F.broadcast(offsets), "_bucket")
-    return scanned.select(
+    return keyed.select(
         *[F.col(c) for c in df.columns],
         (F.row_number().over(within) + F.col("_n_before")).cast("bigint").alias(rank),
         *[(F.sum(column).over(running) + F.col(f"_b_{name}")).alias(name) for name, column in sums.items()],

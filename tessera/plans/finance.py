@@ -69,8 +69,12 @@ def stage_silver(
 
 
 def cluster_by_date(staged: DataFrame) -> DataFrame:
-    """Rows in date ranges, so that files can be skipped by date; a busy day may span several."""
-    return staged.repartitionByRange("txn_date", "txn_id").sortWithinPartitions("status", "txn_date", "txn_id")
+    """Rows of a month together and sorted, so that row groups can be skipped by date.
+
+    The rebalance hint lets Spark cut a busy month into several files and join small ones.
+    """
+    monthly = staged.withColumn("_month", F.trunc("txn_date", "MM")).hint("rebalance", "_month")
+    return monthly.sortWithinPartitions("status", "txn_date", "txn_id").drop("_month")
 
 
 def silver_of(staged: DataFrame) -> DataFrame:
@@ -131,10 +135,40 @@ def top_vendors(totals: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFr
     )
 
 
-def enrich(silver: DataFrame, employees: DataFrame, departments: DataFrame, vendors: DataFrame) -> DataFrame:
-    """Silver with employee, department and vendor names."""
-    return (
-        silver.join(employees.select("employee_id", F.col("full_name").alias("employee")), "employee_id", "left")
-        .join(departments.select("dept_id", F.col("dept_name").alias("department")), "dept_id", "left")
-        .join(vendors.select("vendor_id", F.col("canonical_name").alias("vendor")), "vendor_id", "left")
-    )
+def _names(
+    employees: DataFrame | None, departments: DataFrame | None, vendors: DataFrame | None
+) -> list[tuple[str, DataFrame]]:
+    sides = []
+    if employees is not None:
+        sides.append(("employee_id", employees.select("employee_id", F.col("full_name").alias("employee"))))
+    if departments is not None:
+        sides.append(("dept_id", departments.select("dept_id", F.col("dept_name").alias("department"))))
+    if vendors is not None:
+        sides.append(("vendor_id", vendors.select("vendor_id", F.col("canonical_name").alias("vendor"))))
+    return sides
+
+
+def enrich(
+    silver: DataFrame, employees: DataFrame | None = None, departments: DataFrame | None = None,
+    vendors: DataFrame | None = None,
+) -> DataFrame:
+    """Rows with the names of their employee, department and vendor, of those given."""
+    for key, side in _names(employees, departments, vendors):
+        silver = silver.join(side, key, "left")
+    return silver
+
+
+def enrich_few(
+    rows: DataFrame, employees: DataFrame | None = None, departments: DataFrame | None = None,
+    vendors: DataFrame | None = None,
+) -> DataFrame:
+    """The same for the rows of a top-k.
+
+    The rows are few because of their limit, so they and the names they need are broadcast,
+    and a dimension of any size is filtered where it lies.
+    """
+    rows = materialize(rows, "few_rows")
+    for key, side in _names(employees, departments, vendors):
+        wanted = side.join(F.broadcast(rows.select(key).distinct()), key, "left_semi")
+        rows = rows.join(F.broadcast(wanted), key, "left")
+    return rows

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.dates import in_month, in_year, year_month_label
 from tessera.functions.money import money_mean, money_total
-from tessera.plans.finance import percent
+from tessera.plans.finance import enrich, enrich_few, percent
 
 # An anomaly is explained by these thresholds and texts.
 MULTIPLE_OF_MEDIAN = 5
@@ -19,9 +19,6 @@ REASON_WEEKEND = "posted on a weekend"
 REASON_LARGE = "amount above 10,000 AED"
 REASON_OTHER = "unusual combination of dept + category + amount"
 
-TOTAL = money_total
-TXNS = F.count
-
 
 def top_vendors(mart: DataFrame, limit: int = 20) -> DataFrame:
     return mart.orderBy("pareto_rank").limit(limit)
@@ -32,41 +29,29 @@ def _drill_columns(*names: str) -> list[str]:
 
 
 def _largest(rows: DataFrame, limit: int) -> DataFrame:
-    """The largest rows; names are joined to these few only."""
     return rows.orderBy(F.desc("amount_aed"), "txn_id").limit(limit)
 
 
-def _with_names(rows: DataFrame, **sides: tuple[DataFrame, str, str]) -> DataFrame:
-    for alias, (side, key, name) in sides.items():
-        rows = rows.join(side.select(key, F.col(name).alias(alias)), key, "left")
-    return rows
-
-
 def drill_dept(
     silver: DataFrame, employees: DataFrame, vendors: DataFrame, dept_id: str, year: int, month: int, limit: int = 50
 ) -> DataFrame:
     """The largest rows behind one department-month."""
     rows = silver.filter((F.col("dept_id") == dept_id) & in_month(F.col("txn_date"), year, month))
-    named = _with_names(
-        _largest(rows, limit),
-        employee=(employees, "employee_id", "full_name"), vendor=(vendors, "vendor_id", "canonical_name"),
-    )
+    named = enrich_few(_largest(rows, limit), employees=employees, vendors=vendors)
     return named.select(*_drill_columns("employee", "vendor"))
 
 
 def drill_dept_total(silver: DataFrame, dept_id: str, year: int, month: int) -> DataFrame:
     rows = silver.filter((F.col("dept_id") == dept_id) & in_month(F.col("txn_date"), year, month))
-    return rows.agg(F.coalesce(TOTAL(F.col("amount_aed")), F.lit(0.0)).alias("total_aed"))
+    return rows.agg(F.coalesce(money_total(F.col("amount_aed")), F.lit(0.0)).alias("total_aed"))
 
 
 def drill_vendor(
     silver: DataFrame, employees: DataFrame, departments: DataFrame, vendor_id: str, limit: int = 50
 ) -> DataFrame:
     """The largest rows of one vendor."""
-    named = _with_names(
-        _largest(silver.filter(F.col("vendor_id") == vendor_id), limit),
-        employee=(employees, "employee_id", "full_name"), department=(departments, "dept_id", "dept_name"),
-    )
+    rows = _largest(silver.filter(F.col("vendor_id") == vendor_id), limit)
+    named = enrich_few(rows, employees=employees, departments=departments)
     return named.select(*_drill_columns("employee", "department"))
 
 
@@ -87,21 +72,21 @@ def in_trailing_window(df: DataFrame, day: str, days: int) -> DataFrame:
 
 def daily_trend(silver: DataFrame, window_days: int = 90) -> DataFrame:
     return in_trailing_window(silver, "txn_date", window_days).groupBy(F.col("txn_date").alias("day")).agg(
-        TOTAL(F.col("amount_aed")).alias("total_aed"), F.count("*").alias("txn_count")
+        money_total(F.col("amount_aed")).alias("total_aed"), F.count("*").alias("txn_count")
     )
 
 
 def split_by(silver: DataFrame, column: str, name: str | None = None) -> DataFrame:
     """Spend and rows per currency, feed or another column of silver."""
     return silver.groupBy(F.col(column).alias(name or column)).agg(
-        TOTAL(F.col("amount_aed")).alias("total_aed"), F.count("*").alias("txn_count")
+        money_total(F.col("amount_aed")).alias("total_aed"), F.count("*").alias("txn_count")
     )
 
 
 def category_by_dept(silver: DataFrame, departments: DataFrame) -> DataFrame:
     """Spend per department and category; rows without a category are left out."""
     totals = silver.filter("category IS NOT NULL").groupBy("dept_id", "category").agg(
-        TOTAL(F.col("amount_aed")).alias("total_aed")
+        money_total(F.col("amount_aed")).alias("total_aed")
     )
     return totals.join(departments, "dept_id").select("dept_name", "category", "total_aed")
 
@@ -123,7 +108,7 @@ def kpis(silver: DataFrame, vendor_mart: DataFrame) -> DataFrame:
     top5 = vendor_mart.filter("pareto_rank <= 5").agg(F.coalesce(F.max("cumulative_pct"), F.lit(0.0))).scalar()
     vendors = vendor_mart.agg(F.count("*")).scalar()
     return silver.agg(
-        F.coalesce(TOTAL(F.col("amount_aed")), F.lit(0.0)).alias("total_aed"),
+        F.coalesce(money_total(F.col("amount_aed")), F.lit(0.0)).alias("total_aed"),
         F.count("*").alias("txn_count"),
         F.min("txn_date").alias("date_min"),
         F.max("txn_date").alias("date_max"),
@@ -134,7 +119,7 @@ def dow_pattern(silver: DataFrame) -> DataFrame:
     """Spend per weekday, Monday = 0."""
     day = F.col("txn_date")
     return silver.groupBy(F.weekday(day).alias("dow"), F.date_format(day, "E").alias("day")).agg(
-        TOTAL(F.col("amount_aed")).alias("total_aed"),
+        money_total(F.col("amount_aed")).alias("total_aed"),
         money_mean(F.col("amount_aed"), 2).alias("avg_aed"),
         F.count("*").alias("txn_count"),
     )
@@ -212,7 +197,7 @@ def dept_last_month(mart: DataFrame, dept_name: str, today: str) -> DataFrame:
 def dept_category_spend(silver: DataFrame, departments: DataFrame, dept_name: str, category: str, year: int) -> DataFrame:
     rows = silver.filter((F.col("category") == category) & in_year(F.col("txn_date"), year))
     named = rows.join(departments.filter(F.col("dept_name") == dept_name), "dept_id", "left_semi")
-    return named.agg(TOTAL(F.col("amount_aed")).alias("spend_aed"))
+    return named.agg(money_total(F.col("amount_aed")).alias("spend_aed"))
 
 
 def large_expenses(
@@ -220,17 +205,16 @@ def large_expenses(
 ) -> DataFrame:
     """Rows of a category above a threshold, with names."""
     rows = silver.filter((F.col("category") == category) & (F.col("amount_aed") > threshold))
-    named = _with_names(
-        rows, full_name=(employees, "employee_id", "full_name"), vendor_name=(vendors, "vendor_id", "canonical_name")
+    return enrich(rows, employees=employees, vendors=vendors).select(
+        "txn_date", F.col("employee").alias("full_name"), F.col("vendor").alias("canonical_name"), "amount_aed"
     )
-    return named.select("txn_date", "full_name", F.col("vendor_name").alias("canonical_name"), "amount_aed")
 
 
 def vendor_by_month(silver: DataFrame, vendors: DataFrame, canonical_name: str) -> DataFrame:
     wanted = vendors.filter(F.col("canonical_name") == canonical_name)
     return silver.join(wanted, "vendor_id", "left_semi").groupBy(
         year_month_label(F.col("txn_date")).alias("month_label")
-    ).agg(TOTAL(F.col("amount_aed")).alias("spend_aed"))
+    ).agg(money_total(F.col("amount_aed")).alias("spend_aed"))
 
 
 def vendor_by_source(silver: DataFrame, vendor_id: str) -> DataFrame:

@@ -29,6 +29,7 @@ def rebuild_layer(
 
     ``cluster_by`` sorts rows into key ranges first, so that files can be skipped by
     their statistics; end it with a unique column to let a hot value span several files.
+    The ranges come from a first pass over ``df``, so pass a written table then.
     """
     if cluster_by:
         df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
@@ -69,24 +70,22 @@ def sample_retail_layer(layer: str, table: DataFrame, limit: int = 20) -> DataFr
     return rows
 
 
+# The same for the finance layers.
+_FINANCE_SAMPLE_ORDER = {
+    "concur": [F.desc, "row_id"],
+    "card": [F.desc, "row_id"],
+    "silver": [F.desc, "txn_date", "txn_id"],
+    "gold_spend": [F.asc, "year", "month", "dept_name"],
+    "gold_vendors": [F.asc, "pareto_rank"],
+}
+
+
 def sample_finance_layer(layer: str, table: DataFrame, limit: int = 20) -> DataFrame:
-    """Newest rows of a feed or of (enriched) silver, first rows of a mart in reading order."""
-    orders = {
-        "concur": [F.desc("row_id")],
-        "card": [F.desc("row_id")],
-        "silver": [F.desc("txn_date"), F.desc("txn_id")],
-        "gold_spend": [F.asc("year"), F.asc("month"), F.asc("dept_name")],
-        "gold_vendors": [F.asc("pareto_rank")],
-    }
-    if layer not in orders:
+    """Newest rows of a feed or of silver, first rows of a mart in reading order."""
+    if layer not in _FINANCE_SAMPLE_ORDER:
         raise ValueError(f"unknown finance layer: {layer}")
-    rows = table.orderBy(*orders[layer]).limit(limit)
-    if layer == "silver":
-        rows = rows.select(
-            "txn_id", "source", "employee", "department", "vendor", "category", "txn_date",
-            "amount_aed", "original_currency", "original_amount",
-        )
-    return rows
+    direction, *keys = _FINANCE_SAMPLE_ORDER[layer]
+    return table.orderBy(*[direction(key) for key in keys]).limit(limit)
 
 
 def raw_source(feed: DataFrame, limit: int = 25) -> DataFrame:

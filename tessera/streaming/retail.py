@@ -21,14 +21,16 @@ from tessera.sources.payloads import STREAM_FEED, append_bronze
 MIN_TICK, MAX_TICK = 1, 50
 # A copy of a sale that arrives later than this after the first is not recognised.
 DEDUPE_HORIZON = "30 days"
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Into how many slices the copies of one sale are spread.
 SLICES = 16
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
-    """A session whose stateful streams use one partition per core, set once per checkpoint."""
+    """A session for stateful streams: one state partition per core, state on disk instead of the heap."""
     session = spark.newSession()
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return session
 
 

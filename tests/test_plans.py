@@ -227,9 +227,9 @@ def test_churn(spark):
 
 def test_spend_anomalies(small, spark):
     assert [mining.clamp_sensitivity(s) for s in (0.0, 0.05, 0.99)] == [0.005, 0.05, 0.30]
-    enriched = finance.enrich(
-        small.table("fin_slv_transactions"), small.table("fin_dim_employee"), small.table("fin_dim_department"), small.table("fin_dim_vendor"))
-    found = mining.spend_anomalies(enriched, sensitivity=0.05, top_k=7)
+    found = mining.spend_anomalies(
+        small.table("fin_slv_transactions"), small.table("fin_dim_employee"), small.table("fin_dim_department"),
+        small.table("fin_dim_vendor"), sensitivity=0.05, top_k=7)
     flagged, summary = found.flagged.collect(), found.summary.first()
     assert len(flagged) == 7 and all(r.reasons for r in flagged)
     assert summary.outlier_count == pytest.approx(0.05 * summary.total_rows, rel=0.1)

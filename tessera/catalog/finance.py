@@ -326,6 +326,14 @@ def _(w: Warehouse) -> DataFrame:
     return w.table("fin_dim_vendor").select("vendor_id", F.explode(F.from_json("aliases_json", "array<string>")).alias("alias"))
 
 
+@query("h4_prefixes", """
+SELECT b.id, substr(b.payload_json, 1, 140) AS preview, CAST(CAST(b.ingested_at AS DATE) AS VARCHAR) AS day FROM bronze_sales_raw b""")
+def _(w: Warehouse) -> DataFrame:
+    return w.table("bronze_sales_raw").select(
+        "id", F.substring("payload_json", 1, 140).alias("preview"), F.to_date("ingested_at").alias("day")
+    )
+
+
 @query("h5_h16_month_labels", """
 SELECT txn_id, CAST(year(txn_date) AS INTEGER) AS year, CAST(month(txn_date) AS INTEGER) AS month,
        strftime(txn_date, '%Y-%m') AS year_month, strftime(txn_date, '%b %Y') AS label FROM fin_slv_transactions""")
@@ -345,6 +353,34 @@ def _(w: Warehouse) -> DataFrame:
     return _silver(w).select("txn_id", marts.previous_month_label(day).alias("previous"), F.date_sub(day, 90).alias("window_start"))
 
 
+@query("h7_day_difference", """
+SELECT txn_id, CAST(date_diff('day', CAST(ts AS DATE), DATE '2001-08-01') AS INTEGER) AS days_ago FROM oltp_transactions""")
+def _(w: Warehouse) -> DataFrame:
+    today = F.lit(TODAY).cast("date")
+    return w.table("oltp_transactions").select("txn_id", F.date_diff(today, F.to_date("ts")).alias("days_ago"))
+
+
+@query("h8_calendar", """
+SELECT txn_id, CAST(isodow(ts) - 1 AS INTEGER) AS dow, dayname(ts) AS day_name, CAST(hour(ts) AS INTEGER) AS hour,
+       CAST(isodow(ts) >= 6 AS INTEGER) AS is_weekend FROM banking_transactions""")
+def _(w: Warehouse) -> DataFrame:
+    day = F.to_date("ts")
+    return w.table("banking_transactions").select(
+        "txn_id", F.weekday(day).alias("dow"), F.date_format(day, "EEEE").alias("day_name"), F.hour("ts").alias("hour"),
+        (F.weekday(day) >= 5).cast("int").alias("is_weekend"),
+    )
+
+
+@query("h10_coalesce_cast_round", """
+SELECT txn_id, coalesce(category, 'UNK') AS category, CAST(trunc(amount_aed) AS BIGINT) AS whole,
+       CAST(round(amount_aed, 1) AS DOUBLE) AS rounded FROM fin_slv_transactions""")
+def _(w: Warehouse) -> DataFrame:
+    return _silver(w).select(
+        "txn_id", F.coalesce("category", F.lit("UNK")).alias("category"), F.col("amount_aed").cast("bigint").alias("whole"),
+        F.round("amount_aed", 1).cast("double").alias("rounded"),
+    )
+
+
 @query("h13_needles", "SELECT raw, needle FROM spellings")
 def _(w: Warehouse) -> DataFrame:
     feeds = finance.union_feeds(w.table("fin_src_concur_expenses"), w.table("fin_src_corporate_card"))

@@ -110,10 +110,8 @@ WHERE t.txn_date >= (SELECT max(txn_date) FROM fin_slv_transactions) - INTERVAL
     _profile_sql("nothing", f"SELECT * FROM ({_LAST_90}) WHERE total_aed < 0", ("stat", None, "total_aed", None), ("area", "day", "total_aed", None)),
 ]))
 def _(w: Warehouse) -> DataFrame:
-    dated = {"months": ("month_label",)}
     profiles = [
-        reports.result_profile(df, dated.get(name, ())).select(F.lit(name).alias("result"), "*")
-        for name, df in _results(w).items()
+        reports.result_profile(df).select(F.lit(name).alias("result"), "*") for name, df in _results(w).items()
     ]
     return reduce(DataFrame.unionByName, profiles)
 

@@ -182,7 +182,7 @@ def banking_features(banking: DataFrame) -> DataFrame:
 
 def fraud_anomalies(banking: DataFrame, contamination: float = 0.03) -> DataFrame:
     """Every payment with its score and flag, as a written table."""
-    features = materialize(spread(banking_features(banking)), "banking_features")
+    features = materialize(banking_features(spread(banking)), "banking_features")
     scored = materialize(
         isolation_scores(features, "txn_id", ["amount", "is_night", "is_unknown_merchant"], seed=SEED),
         "fraud_scores",
@@ -242,7 +242,7 @@ def spend_anomalies(
 ) -> SpendAnomalies:
     """The largest of the strangest spend rows, each with its reasons, and the totals."""
     sensitivity = clamp_sensitivity(sensitivity)
-    features = materialize(spread(spend_features(enrich(silver, departments=departments))), "spend_features")
+    features = materialize(spend_features(enrich(spread(silver), departments=departments)), "spend_features")
     scored = materialize(
         isolation_scores(
             features, "txn_id", ["log_amount", "dow"], ["dept_label", "category_label"],

@@ -95,8 +95,18 @@ class Roles:
     date: list[str]
 
 
-def column_roles(df: DataFrame, date_columns: tuple[str, ...] = ()) -> Roles:
-    """Roles from the schema. Text columns that hold ISO dates are named by the caller."""
+def date_texts(df: DataFrame) -> tuple[str, ...]:
+    """The text columns whose values all look like ISO dates; one aggregate over the result."""
+    texts = [field.name for field in df.schema.fields if isinstance(field.dataType, T.StringType)]
+    if not texts:
+        return ()
+    row = df.agg(*[F.bool_and(F.coalesce(F.col(name).rlike(DATE_TEXT), F.lit(False))).alias(name) for name in texts]).first()
+    return tuple(name for name in texts if row[name])
+
+
+def column_roles(df: DataFrame, date_columns: tuple[str, ...] | None = None) -> Roles:
+    """Roles from the schema; text columns that hold ISO dates are looked for unless named."""
+    date_columns = date_texts(df) if date_columns is None else date_columns
     roles = Roles([], [], [])
     for field in df.schema.fields:
         if isinstance(field.dataType, T.NumericType):
@@ -108,7 +118,7 @@ def column_roles(df: DataFrame, date_columns: tuple[str, ...] = ()) -> Roles:
     return roles
 
 
-def result_profile(df: DataFrame, date_columns: tuple[str, ...] = ()) -> DataFrame:
+def result_profile(df: DataFrame, date_columns: tuple[str, ...] | None = None) -> DataFrame:
     """The chart that suits a result, with the columns it would show, as one row."""
     roles = column_roles(df, date_columns)
     texts, numbers, dates = roles.text, roles.number, roles.date
@@ -157,7 +167,7 @@ def value_text(df: DataFrame, column: str) -> Column:
 
 
 def result_highlights(
-    df: DataFrame, order_by: tuple[str, ...] = (), date_columns: tuple[str, ...] = ()
+    df: DataFrame, order_by: tuple[str, ...] = (), date_columns: tuple[str, ...] | None = None
 ) -> DataFrame:
     """Row count, the five largest rows by the first number, their share, and the trend, as one row.
 

@@ -49,7 +49,8 @@ def materialize(
 def spread(df: DataFrame) -> DataFrame:
     """Use every core for the costly work ahead of a scan that has fewer splits than that.
 
-    A large input has more splits than cores and passes through unshuffled.
+    A large input has more splits than cores and passes through unshuffled. Pass a scan
+    with projections and filters only: counting the splits of a join would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -245,15 +245,15 @@ def test_run_sql(spark):
 
 
 def test_result_profile(spark):
-    def profile(df, dates=()):
-        return reports.result_profile(df, dates).first().asDict()
+    def profile(df):
+        return reports.result_profile(df).first().asDict()
 
     names = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "name string, spend double")
     assert profile(names) == {"row_count": 2, "chart": "donut", "label_col": "name", "value_col": "spend", "secondary_col": None}
     assert profile(names.limit(1))["chart"] == "stat" and profile(names.filter("false"))["chart"] == "empty"
     assert profile(names.unionByName(names).unionByName(names).unionByName(names))["chart"] == "bar"
     days = spark.createDataFrame([("2026-01", 1.0), ("2026-02", 2.0)], "month string, spend double")
-    assert profile(days, ("month",))["chart"] == "area"
+    assert profile(days)["chart"] == "area"
     assert profile(names.selectExpr("name", "name other"))["chart"] == "table"
     assert profile(names.selectExpr("name").limit(1))["chart"] == "table"
     assert profile(names.selectExpr("name", "spend", "spend * 2 twice"))["secondary_col"] == "twice"
@@ -261,12 +261,12 @@ def test_result_profile(spark):
 
 def test_result_highlights(spark):
     days = spark.createDataFrame([(f"2026-01-{d:02d}", 1000.0 * d) for d in range(1, 8)], "day string, spend_aed double")
-    got = reports.result_highlights(days, ("day",), ("day",)).first()
+    got = reports.result_highlights(days, ("day",)).first()
     assert got.trend == "rising" and got.row_count == 7 and got.top_share_pct == 89.0 and got.total_text == "28.0K AED"
     assert got.top.split("\n")[0] == "2026-01-07 — 7.0K AED"
-    assert reports.result_highlights(days.limit(2), ("day",), ("day",)).first().trend is None
+    assert reports.result_highlights(days.limit(2), ("day",)).first().trend is None
     falling = days.withColumn("spend_aed", 9000.0 - F.col("spend_aed"))
-    assert reports.result_highlights(falling, ("day",), ("day",)).first().trend == "falling"
+    assert reports.result_highlights(falling, ("day",)).first().trend == "falling"
 
 
 def test_tick_bounds(spark):

@@ -198,7 +198,15 @@ def _(w: Warehouse) -> DataFrame:
     )
 
 
-@query("h12_one_hot")
+def _one_hot_sql(label: str) -> str:
+    return f"""(SELECT string_agg(CASE WHEN l = f.{label} THEN '1' ELSE '0' END, '' ORDER BY l)
+                FROM (SELECT DISTINCT {label} AS l FROM spend_labels)) AS {label}"""
+
+
+@query("h12_one_hot", f"""
+SELECT * FROM (WITH spend_labels AS MATERIALIZED (
+  SELECT txn_id, coalesce(department, 'UNK') AS dept_label, coalesce(category, 'UNK') AS category_label FROM fin_enriched)
+SELECT txn_id, {_one_hot_sql("dept_label")}, {_one_hot_sql("category_label")} FROM spend_labels f)""")
 def _(w: Warehouse) -> DataFrame:
     hot = mining.one_hot(mining.spend_features(enriched(w)), ["dept_label", "category_label"])
     return hot.select("txn_id", *[F.array_join(vector_to_array(f"{c}_vec").cast("array<int>"), "").alias(c) for c in ("dept_label", "category_label")])

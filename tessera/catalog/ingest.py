@@ -269,8 +269,7 @@ def _(w: Warehouse) -> DataFrame:
 
 
 @query("b6_quarantine", """
-SELECT id, status, CASE WHEN status = 'bad_type' THEN NULL ELSE payload_json END AS payload_json
-FROM judged WHERE status NOT IN ('parsed_ok', 'quarantined_dupes')""")
+SELECT id, status, payload_json FROM judged WHERE status NOT IN ('parsed_ok', 'quarantined_dupes')""")
 def _(w: Warehouse) -> DataFrame:
     return retail.quarantine_of(w.table("silver_staged")).select("id", "status", "payload_json")
 

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tessera.catalog.registry import query
 from tessera.functions.money import money_mean, money_total
 from tessera.operators.cube import cube_query, dice, pivot_query, rollup_query, star_join
-from tessera.plans import reports
+from tessera.plans import dq, reports
 from tessera.plans.warehouse import Warehouse
+from tessera.sources import layers
 
 _STAR = """gold_fact_sales f JOIN gold_dim_customer c USING (customer_id) JOIN gold_dim_product p USING (product_id)
 JOIN gold_dim_store s USING (store_id) JOIN gold_dim_date d USING (date_id)"""
@@ -175,7 +176,7 @@ def _(w: Warehouse) -> DataFrame:
 
 @query("d27_dirty_by_kind", "SELECT dirt_kind, count(*) AS n FROM bronze_sales_raw WHERE is_dirty = 1 GROUP BY dirt_kind")
 def _(w: Warehouse) -> DataFrame:
-    return w.table("bronze_sales_raw").filter("is_dirty = 1").groupBy("dirt_kind").agg(F.count("*").alias("n"))
+    return reports.dirty_by_kind(w.table("bronze_sales_raw"))
 
 
 _PAIRS = "SELECT customer_id, product_id, sum(amount) AS spent FROM gold_fact_sales GROUP BY customer_id, product_id"
@@ -201,34 +202,35 @@ SELECT p.name, p.category, CAST(sum(f.amount) AS DOUBLE) AS revenue, CAST(sum(f.
 FROM gold_fact_sales f JOIN gold_dim_product p USING (product_id) GROUP BY p.name, p.category
 ORDER BY sum(f.amount) DESC, p.name, p.category LIMIT 5""")
 def _(w: Warehouse) -> DataFrame:
-    return reports.run_on_layers(w, reports.TOP_PRODUCTS).rows
+    return reports.top_products(w.table("gold_fact_sales"), w.table("gold_dim_product"))
 
 
 @query("l3_revenue_by_country_quarter", f"SELECT c.country, d.quarter, {_AMOUNT} AS revenue FROM {_STAR} GROUP BY c.country, d.quarter")
 def _(w: Warehouse) -> DataFrame:
-    return reports.run_on_layers(w, reports.REVENUE_BY_COUNTRY_QUARTER).rows
+    by_quarter = cube_query(w.table("gold_fact_sales"), w.dims(), ["country", "quarter"], limit=None)
+    return by_quarter.withColumnRenamed("value", "revenue")
 
 
 @query("l4_latest_silver", """
 SELECT * REPLACE (CAST(sale_ts AS VARCHAR) AS sale_ts, CAST(unit_price AS DOUBLE) AS unit_price, CAST(amount AS DOUBLE) AS amount)
 FROM silver_sales ORDER BY silver_sales.sale_ts DESC, sale_id DESC LIMIT 25""")
 def _(w: Warehouse) -> DataFrame:
-    return reports.run_on_layers(w, reports.LATEST_SILVER).rows
+    return layers.sample_retail_layer("silver", w.table("silver_sales"), limit=25)
 
 
 @query("l5_dirty_by_kind", "SELECT dirt_kind, count(*) AS n FROM bronze_sales_raw WHERE is_dirty = 1 GROUP BY dirt_kind")
 def _(w: Warehouse) -> DataFrame:
-    return reports.run_on_layers(w, reports.DIRTY_BY_KIND).rows
+    return reports.dirty_by_kind(w.table("bronze_sales_raw"))
 
 
 @query("l6_recent_events", """
 SELECT created_at, layer, kind, rows_affected, detail FROM data_quality_events ORDER BY id DESC LIMIT 10""")
 def _(w: Warehouse) -> DataFrame:
-    return reports.run_on_layers(w, reports.RECENT_EVENTS).rows
+    return dq.recent_events(w.table("data_quality_events"), limit=10)
 
 
 @query("l7_revenue_by_category", """
 SELECT p.category, count(*) AS sales, CAST(sum(f.amount) AS DOUBLE) AS revenue
 FROM gold_fact_sales f JOIN gold_dim_product p USING (product_id) GROUP BY p.category""")
 def _(w: Warehouse) -> DataFrame:
-    return reports.run_on_layers(w, reports.REVENUE_BY_CATEGORY).rows
+    return reports.revenue_by_category(w.table("gold_fact_sales"), w.table("gold_dim_product"))

@@ -9,14 +9,15 @@ from pyspark.sql import functions as F
 
 from tessera.functions.money import money_mean, money_total
 
-# dimension -> (dimension table, column, key shared with the fact); no table: on the fact.
-DIMENSIONS: dict[str, tuple[str | None, str, str | None]] = {
-    **{name: ("gold_dim_customer", name, "customer_id") for name in ("country", "city", "tier")},
-    **{name: ("gold_dim_product", name, "product_id") for name in ("category", "brand")},
-    "store_format": ("gold_dim_store", "format", "store_id"),
-    **{name: ("gold_dim_date", name, "date_id") for name in ("quarter", "month_name", "year")},
-    "channel": (None, "channel", None),
+# dimension table -> (key shared with the fact, {dimension: its column})
+DIMENSION_TABLES: dict[str, tuple[str, dict[str, str]]] = {
+    "gold_dim_customer": ("customer_id", {"country": "country", "city": "city", "tier": "tier"}),
+    "gold_dim_product": ("product_id", {"category": "category", "brand": "brand"}),
+    "gold_dim_store": ("store_id", {"store_format": "format"}),
+    "gold_dim_date": ("date_id", {"quarter": "quarter", "month_name": "month_name", "year": "year"}),
 }
+FACT_DIMENSIONS = ("channel",)
+DIMENSIONS = (*[dim for _, columns in DIMENSION_TABLES.values() for dim in columns], *FACT_DIMENSIONS)
 RESULT_LIMIT = 200
 
 
@@ -45,16 +46,11 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], used: Sequence[str
 
     Spark broadcasts a dimension that its size estimate allows and shuffles a larger one.
     """
-    columns: dict[str, list[str]] = {}
-    for dim in dict.fromkeys(used):
-        table, _, _ = DIMENSIONS[dim]
-        if table:
-            columns.setdefault(table, []).append(dim)
     joined = fact
-    for table, names in columns.items():
-        key = DIMENSIONS[names[0]][2]
-        side = dims[table].select(key, *[F.col(DIMENSIONS[n][1]).alias(n) for n in names])
-        joined = joined.join(side, key)
+    for table, (key, columns) in DIMENSION_TABLES.items():
+        wanted = [F.col(column).alias(dim) for dim, column in columns.items() if dim in used]
+        if wanted:
+            joined = joined.join(dims[table].select(key, *wanted), key)
     return joined
 
 

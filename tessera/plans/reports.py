@@ -21,50 +21,25 @@ TREND_ROWS = 3
 AMOUNT_WORDS = ("aed", "amount", "spend", "total", "sum")
 DATE_TEXT = r"^\d{4}-\d{2}(-\d{2})?(T\d{2}:\d{2})?"
 
-# The example queries users start from.
-TOP_PRODUCTS = """
-SELECT p.name, p.category, SUM(f.amount) AS revenue, SUM(f.quantity) AS units
-FROM gold_fact_sales f
-JOIN gold_dim_product p ON p.product_id = f.product_id
-GROUP BY p.name, p.category
-ORDER BY revenue DESC, p.name, p.category
-LIMIT 5
-"""
-REVENUE_BY_COUNTRY_QUARTER = """
-SELECT c.country, d.quarter, SUM(f.amount) AS revenue
-FROM gold_fact_sales f
-JOIN gold_dim_customer c ON c.customer_id = f.customer_id
-JOIN gold_dim_date d ON d.date_id = f.date_id
-GROUP BY c.country, d.quarter
-ORDER BY c.country, d.quarter
-"""
-LATEST_SILVER = "SELECT * FROM silver_sales ORDER BY sale_ts DESC, sale_id DESC LIMIT 25"
-DIRTY_BY_KIND = """
-SELECT dirt_kind, COUNT(*) AS n
-FROM bronze_sales_raw
-WHERE is_dirty = 1
-GROUP BY dirt_kind
-"""
-RECENT_EVENTS = """
-SELECT created_at, layer, kind, rows_affected, detail
-FROM data_quality_events
-ORDER BY id DESC
-LIMIT 10
-"""
-REVENUE_BY_CATEGORY = """
-SELECT p.category, COUNT(*) AS sales, SUM(f.amount) AS revenue
-FROM gold_fact_sales f
-JOIN gold_dim_product p ON p.product_id = f.product_id
-GROUP BY p.category
-ORDER BY revenue DESC
-"""
-EXAMPLES = {
-    "Gold: top-5 products by revenue": TOP_PRODUCTS,
-    "Gold: revenue by country x quarter": REVENUE_BY_COUNTRY_QUARTER,
-    "Silver: raw typed rows": LATEST_SILVER,
-    "Bronze: dirty rows quarantined": DIRTY_BY_KIND,
-    "DQ: recent data-quality events": RECENT_EVENTS,
-}
+
+def top_products(fact: DataFrame, products: DataFrame, limit: int = 5) -> DataFrame:
+    """The product names with the highest revenue; sales are summed per product before names are joined."""
+    sold = fact.groupBy("product_id").agg(F.sum("amount").alias("revenue"), F.sum("quantity").alias("units"))
+    named = sold.join(products.select("product_id", "name", "category"), "product_id").groupBy("name", "category").agg(
+        F.sum("revenue").alias("revenue"), F.sum("units").alias("units")
+    )
+    return named.orderBy(F.desc("revenue"), "name", "category").limit(limit)
+
+
+def revenue_by_category(fact: DataFrame, products: DataFrame) -> DataFrame:
+    sold = fact.groupBy("product_id").agg(F.sum("amount").alias("revenue"), F.count("*").alias("sales"))
+    return sold.join(products.select("product_id", "category"), "product_id").groupBy("category").agg(
+        F.sum("sales").alias("sales"), F.sum("revenue").alias("revenue")
+    )
+
+
+def dirty_by_kind(bronze: DataFrame) -> DataFrame:
+    return bronze.filter("is_dirty = 1").groupBy("dirt_kind").agg(F.count("*").alias("n"))
 
 
 @dataclass(frozen=True)

@@ -37,6 +37,29 @@ def classify_bronze(bronze: DataFrame, *carry: str) -> DataFrame:
     return parsed.select("id", *carry, status.alias("status"), "p.*", "payload_json")
 
 
+def _typed(rows: DataFrame) -> DataFrame:
+    """Text fields to silver types; a value that cannot be cast becomes NULL."""
+    return rows.withColumns({
+        "sale_ts": F.col("sale_ts").try_cast("timestamp_ntz"),
+        "quantity": F.col("quantity").try_cast("double").try_cast("int"),
+        "unit_price": F.col("unit_price").try_cast(MONEY),
+        "amount": F.col("amount").try_cast(MONEY),
+    })
+
+
+def _uncastable() -> Column:
+    return F.col("quantity").isNull() | F.col("unit_price").isNull() | F.col("amount").isNull()
+
+
+def _bad_types_marked(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("status", F.when((F.col("status") == OK) & _uncastable(), BAD_TYPE).otherwise(F.col("status")))
+
+
+def cast_typed(rows: DataFrame) -> DataFrame:
+    """Classified rows in silver types; a valid row with an uncastable number becomes ``bad_type``."""
+    return _bad_types_marked(_typed(rows))
+
+
 def stage_silver(bronze: DataFrame) -> DataFrame:
     """Silver rows and quarantined rows of one pass over bronze, told apart by ``status``.
 
@@ -44,27 +67,16 @@ def stage_silver(bronze: DataFrame) -> DataFrame:
     them all. The minimum is combined before the shuffle, so a repeated id costs one row
     per map task. Refused payloads group by their own id and keep their text.
     """
-    classified = classify_bronze(bronze)
+    typed = _typed(classify_bronze(bronze))
     good = F.col("status") == OK
-    first = F.struct("id", *REQUIRED_KEYS, F.when(~good, F.col("payload_json")).alias("payload_json"))
+    refused_text = F.when(~good | _uncastable(), F.col("payload_json"))
+    first = F.struct("id", *REQUIRED_KEYS, refused_text.alias("payload_json"))
     winners = (
-        classified.groupBy("status", F.when(good, F.col("sale_id")).otherwise(F.col("id")).alias("_key"))
+        typed.groupBy("status", F.when(good, F.col("sale_id")).otherwise(F.col("id")).alias("_key"))
         .agg(F.min(first).alias("first"), F.count("*").alias("copies"))
         .select("status", "first.*", "copies")
     )
-    return cast_typed(winners.withColumnRenamed("id", "bronze_id"))
-
-
-def cast_typed(rows: DataFrame) -> DataFrame:
-    """Text fields to silver types; a valid row with an uncastable number becomes ``bad_type``."""
-    typed = rows.withColumns({
-        "sale_ts": F.col("sale_ts").try_cast("timestamp_ntz"),
-        "quantity": F.col("quantity").try_cast("double").try_cast("int"),
-        "unit_price": F.col("unit_price").try_cast(MONEY),
-        "amount": F.col("amount").try_cast(MONEY),
-    })
-    uncastable = F.col("quantity").isNull() | F.col("unit_price").isNull() | F.col("amount").isNull()
-    return typed.withColumn("status", F.when((F.col("status") == OK) & uncastable, BAD_TYPE).otherwise(F.col("status")))
+    return _bad_types_marked(winners).withColumnRenamed("id", "bronze_id")
 
 
 def silver_of(staged: DataFrame) -> DataFrame:
@@ -72,7 +84,7 @@ def silver_of(staged: DataFrame) -> DataFrame:
 
 
 def quarantine_of(staged: DataFrame) -> DataFrame:
-    """Refused payloads with the reason; for an untypable one, its fields are on the staged row."""
+    """Refused payloads with the reason."""
     return staged.filter(F.col("status") != OK).select(F.col("bronze_id").alias("id"), "status", "sale_id", "payload_json")
 
 

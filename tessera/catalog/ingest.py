@@ -11,7 +11,7 @@ from tessera.catalog.registry import query
 from tessera.functions.dates import build_date_dim
 from tessera.plans import dq, finance, retail
 from tessera.plans.warehouse import FINANCE_LAYERS, RETAIL_LAYERS, Warehouse
-from tessera.schemas import FACT_SALES, SILVER_SALES
+from tessera.schemas import DQ_EVENTS, FACT_SALES, SILVER_SALES
 from tessera.sources import layers, payloads
 from tessera.sources.retail import sales
 from tessera.sources.workspace import new_path
@@ -49,7 +49,11 @@ def _(w: Warehouse) -> DataFrame:
 
 @query("a4_log_dq", "SELECT * FROM data_quality_events")
 def _(w: Warehouse) -> DataFrame:
-    return w.table("data_quality_events")
+    log = new_path(w.spark, "dq_log")
+    dq.log_events(log, retail.silver_counts(w.table("silver_staged")), dq.SILVER_EVENTS, w.run_at, run=0)
+    dq.log_events(log, retail.gold_counts(w.table("gold_staged")), dq.GOLD_EVENTS, w.run_at, run=1)
+    dq.log_events(log, finance.silver_counts(w.table("fin_staged")), dq.FINANCE_EVENTS, w.run_at, run=2)
+    return layers.read_layer(w.spark, log, DQ_EVENTS)
 
 
 @query("a5_recent_dq_events", """

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.schemas import DQ_EVENTS
+from tessera.sources.layers import append_layer
 
 # Per counter the layer, the event kind and the text around the count.
 SILVER_EVENTS = [
@@ -25,11 +26,11 @@ FINANCE_EVENTS = [
     ("orphan_employee", "finance", "orphan_employee", "quarantined ", " rows with missing/unknown employee"),
 ]
 # Ids leave room for this many events per run, so a later run sorts after an earlier one.
-EVENTS_PER_RUN = 100
+EVENTS_PER_RUN = 10
 
 
 def dq_events(
-    counts: DataFrame, kinds: Sequence[tuple[str, str, str, str, str]], created_at: Column, first_id: int = 1
+    counts: DataFrame, kinds: Sequence[tuple[str, str, str, str, str]], created_at: Column | str, first_id: int = 1
 ) -> DataFrame:
     """One event per counter that is not zero, from a one-row summary."""
     entries = F.array(*[
@@ -45,11 +46,18 @@ def dq_events(
     return (
         counts.select(F.inline(entries))
         .filter("rows_affected > 0")
-        .withColumn("created_at", created_at.cast("timestamp_ntz"))
+        .withColumn("created_at", F.lit(created_at).cast("timestamp_ntz"))
         .select(*DQ_EVENTS.names)
     )
 
 
+def log_events(
+    log_path: str, counts: DataFrame, kinds: Sequence[tuple[str, str, str, str, str]], created_at: Column | str, run: int
+) -> None:
+    """Append a run's events to the log. Nothing ever clears it; ``run`` orders the runs."""
+    append_layer(dq_events(counts, kinds, created_at, run * EVENTS_PER_RUN + 1), log_path)
+
+
 def recent_events(log: DataFrame, limit: int = 20) -> DataFrame:
     """The newest events first."""
     return log.orderBy(F.desc("id")).limit(limit).select("layer", "kind", "detail", "rows_affected", "created_at")

@@ -29,8 +29,11 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/tessera/{uuid.uuid4().hex}/{label}"
+    """A path that no other run uses, below the shared folder's part for this application.
+
+    That part can be dropped as a whole once the application has ended.
+    """
+    return f"{shared_dir(spark)}/tessera/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{label}"
 
 
 def materialize(

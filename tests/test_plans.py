@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.plans import dq, finance, forecast, marts, mining, quality, reports, retail
-from tessera.schemas import BRONZE_SALES
+from tessera.schemas import BRONZE_SALES, DQ_EVENTS
 from tessera.sources import layers, payloads
 from tessera.sources.workspace import new_path
 from tessera.streaming import retail as streams
@@ -61,6 +61,17 @@ def test_empty_bronze(spark):
     assert dq.dq_events(retail.silver_counts(staged), dq.SILVER_EVENTS, F.lit("2026-01-01")).count() == 0
 
 
+def test_event_log_keeps_every_run(spark):
+    counts = retail.silver_counts(retail.stage_silver(bronze(spark, ["{", sale("S1"), sale("S1")])))
+    log = new_path(spark, "log")
+    for run, at in enumerate(["2026-04-21", "2026-04-22"]):
+        dq.log_events(log, counts, dq.SILVER_EVENTS, at, run)
+    events = layers.read_layer(spark, log, DQ_EVENTS)
+    assert events.count() == 4
+    newest = dq.recent_events(events, limit=3).collect()
+    assert [(e.kind, e.created_at.day) for e in newest] == [("dupes", 22), ("schema_drift", 22), ("dupes", 21)]
+
+
 def tiny_dims(spark):
     return {
         "gold_dim_customer": spark.createDataFrame([("C1",)], "customer_id string"),

@@ -27,8 +27,12 @@ SLICES = 16
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
-    """A session for stateful streams: one state partition per core, state on disk instead of the heap."""
+    """A session for stateful streams: one state partition per core, state on disk instead of the heap.
+
+    Ingest times carry no zone; the streams take them as UTC.
+    """
     session = spark.newSession()
+    session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return session
@@ -116,7 +120,7 @@ def live_counts(
         .withWatermark("event_time", lateness)
         .groupBy(F.window("event_time", width).alias("window"), "status")
         .agg(F.count("*").alias("n"))
-        .select(F.col("window.start").alias("window_start"), "status", "n")
+        .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "status", "n")
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.prefix_scan import hash_share
 
+# Tasks get this module's code with the job, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SAMPLE = 256
 EULER = 0.5772156649015329
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import licenses, quality, reuse, tokens
+from tessera.llm import decontaminate, language, licenses, quality, reuse, tokens
 from tessera.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identified(table(spark, sf_dir, "documents"))
+
+
 def op5_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
@@ -21,12 +25,18 @@ def op6_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reuse.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     query.__name__: query
-    for query in (op1_token_files, op5_license_signatures, op6_chunk_reuse_bpe, op9_quality_cascade)
-}
-TWINS = {"op9_quality_cascade": quality.ORACLE}
+    for query in (
+        op1_token_files, op3_language_centroids, op5_license_signatures, op6_chunk_reuse_bpe, op8_positional_index, op9_quality_cascade,
+    )
+}
+TWINS = {"op8_positional_index": decontaminate.ORACLE, "op9_quality_cascade": quality.ORACLE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, language, licenses, quality, reuse, tokens
+from tessera.llm import decontaminate, language, licenses, quality, reuse, sketches, tokens
 from tessera.llm.common import table
 
 
@@ -33,10 +33,15 @@ def op9_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_token_files, op3_language_centroids, op5_license_signatures, op6_chunk_reuse_bpe, op8_positional_index, op9_quality_cascade,
+        op10_setsketch_dedup,
     )
 }
-TWINS = {"op8_positional_index": decontaminate.ORACLE, "op9_quality_cascade": quality.ORACLE}
+TWINS = {"op8_positional_index": decontaminate.ORACLE, "op9_quality_cascade": quality.ORACLE, "op10_setsketch_dedup": sketches.ORACLE}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, language, licenses, quality, reuse, sketches, tokens
+from tessera.llm import decontaminate, language, licenses, pii, quality, reuse, sketches, tokens
 from tessera.llm.common import table
 
 
@@ -25,6 +25,10 @@ def op6_chunk_reuse_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reuse.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op7_bilstm_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scanned(table(spark, sf_dir, "documents"))
+
+
 def op8_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,7 +44,7 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_token_files, op3_language_centroids, op5_license_signatures, op6_chunk_reuse_bpe, op8_positional_index, op9_quality_cascade,
+        op1_token_files, op3_language_centroids, op5_license_signatures, op6_chunk_reuse_bpe, op7_bilstm_crf_pii, op8_positional_index, op9_quality_cascade,
         op10_setsketch_dedup,
     )
 }

@@ -12,35 +12,44 @@ Starts are sums over ranges: per file in its own task, then over one total per f
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keyed, text_blocks, utf8, worker_state
+from tessera.llm.common import keyed, text_blocks, worker_state
 from tessera.sources.workspace import new_path
 
 #: Pieces of text with their ids that a worker remembers; beyond, it forgets all and starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 3_000_000
+#: Marks that end a word.
+STOPS = ".,"
+#: Bytes of text that a task encodes at a time.
+ENCODE_BYTES = 24 << 20
 #: Bytes of a row group and of a page, and rows of a page: what one selective read has to touch.
 LAYOUT = {
     "compression": "zstd", "parquet.block.size": str(8 << 20), "parquet.page.size": str(64 << 10),
     "parquet.page.row.count.limit": "2000", "parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary": "true",
 }
-#: White space other than blank and line feed, and the start of special tokens: rare, such texts are encoded in one go.
-RARE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]|<\\|")
+#: What makes a text go to the library in one go: white space side by side, or other than blank and line feed, and the
+#: start of special tokens. The second part holds what a text in ASCII cannot.
+RARE = ("  ", "\n ", " \n", "<|", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x1d", "\x1e", "\x1f")
+RARE_BEYOND_ASCII = ("\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000")
 
 
 class Encoder:
-    """Whole-text byte-level BPE that encodes each blank-separated piece once.
+    """Whole-text byte-level BPE that encodes each piece between white space once.
 
-    The tokenizer's pattern always starts a token group at a blank before a visible character, so a text without two white
-    space characters around a blank falls into pieces that can be encoded alone. Other texts go to the library whole.
+    The tokenizer's pattern always starts a token group at a blank or line feed between two visible characters, so a text
+    without two white space characters side by side falls into pieces that can be encoded alone. Pieces are counted and
+    told apart in Arrow; only those that are new to the worker go to the library.
+    Other texts go to it whole.
     """
 
     def __init__(self, path: str):
@@ -49,27 +58,80 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.later: dict[str, bytes] = {}  # of pieces behind a blank
-
-    def raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.int32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        split = [None if "  " in t or "\n " in t or RARE.search(t) else t.split(" ") for t in texts]
-        if len(self.later) > REMEMBERED:
-            self.later.clear()
-        wanted = set()
-        for pieces in split:
-            if pieces:
-                wanted.update(pieces[1:])
-        missing = list(wanted - self.later.keys())
-        self.later.update(zip(missing, self.raw([" " + piece for piece in missing]), strict=True))
-        known = self.later.__getitem__
-        heads = self.raw([t if pieces is None else pieces[0] for t, pieces in zip(texts, split, strict=True)])
-        return [
-            head if pieces is None else head + b"".join(map(known, pieces[1:])) for head, pieces in zip(heads, split, strict=True)
-        ]
+        self.forget()
+
+    def forget(self) -> None:
+        # Flat arrays take a tenth of the memory of a dictionary of strings.
+        self.known, self.ids, self.ends = pa.array([], pa.string()), np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    def raw(self, texts: list[str], at_once: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the number of each text's."""
+        ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for first in range(0, len(texts), at_once):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts[first : first + at_once], add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(found), np.int32))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def places(self, pieces: pa.Array) -> np.ndarray:
+        """Where the distinct pieces stand in the table; new ones are added to it."""
+        place = pc.index_in(pieces, value_set=self.known)
+        places = np.array(place.fill_null(-1), np.int64)
+        new = np.flatnonzero(places < 0)
+        if not len(new):
+            return places
+        words = pieces.take(pa.array(new)).to_pylist()
+        # A word and the point or comma behind it are separate groups of the pattern.
+        ended = np.fromiter((w[-1] in STOPS and w[:-1].isalpha() and (w.isascii() or max(w) < "\u0250") for w in (x or " " for x in words)), bool, len(words))
+        plain = [w for w, e in zip(words, ended, strict=True) if not e]
+        places[new[~ended]] = len(self.known) + np.arange(len(plain))
+        self.add(pa.array(plain, pa.string()), *self.raw([w if w[:1] == "\n" else " " + w for w in plain]))
+        if ended.any():
+            behind = [w for w, e in zip(words, ended, strict=True) if e]
+            stems = pa.array([w[:-1] for w in behind], pa.string()).dictionary_encode()
+            stem = self.places(stems.dictionary)[np.asarray(stems.indices)]
+            stop = len(self.known) + np.array([STOPS.index(w[-1]) for w in behind])
+            stop_ids, _ = self.raw(list(STOPS))
+            ids, sizes = taken(
+                np.concatenate([self.ids, stop_ids]), np.append(np.diff(self.ends), np.ones(len(STOPS), np.int64)), np.stack([stem, stop], 1).ravel()
+            )
+            places[new[ended]] = len(self.known) + np.arange(len(behind))
+            self.add(pa.array(behind, pa.string()), ids, sizes.reshape(-1, 2).sum(1))
+        return places
+
+    def add(self, pieces: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.known = pa.concat_arrays([self.known, pieces])
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+
+    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, each text's followed by the end id, and the number of each text's."""
+        n = len(texts)
+        alone = [any(map(t.__contains__, RARE)) or not t.isascii() and any(map(t.__contains__, RARE_BEYOND_ASCII)) for t in texts]
+        # A line feed starts a piece of its own where no other follows; elsewhere it stays inside one.
+        split = pc.split_pattern(pa.array(["" if a else t if "\n\n" in t else t.replace("\n", " \n") for t, a in zip(texts, alone, strict=True)], pa.string()), " ")
+        bounds = np.asarray(split.offsets, np.int64)
+        firsts = split.values.take(pa.array(bounds[:-1])).to_pylist()
+        coded = split.values.dictionary_encode()
+        if len(self.known) > REMEMBERED:
+            self.forget()
+        places = self.places(coded.dictionary)
+        # The runs of ids: known pieces, then the first piece of each text (no blank before it), then the end.
+        ids, sizes = self.raw([t if a else first for t, a, first in zip(texts, alone, firsts, strict=True)])
+        order = places[np.asarray(coded.indices)]
+        order[bounds[:-1]] = len(self.known) + np.arange(n)
+        order = np.insert(order, bounds[1:], len(self.known) + n)
+        ids, sizes = taken(np.concatenate([self.ids, ids, [end_id]]).astype(np.int32), np.concatenate([np.diff(self.ends), sizes, [1]]), order)
+        return ids, np.add.reduceat(sizes, bounds[:-1] + np.arange(n))
+
+
+def taken(ids: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ids, of the given sizes, put one after the other in another order; and the sizes in that order."""
+    starts = np.cumsum(sizes) - sizes
+    each = sizes[order]
+    at = np.repeat((starts[order] - (np.cumsum(each) - each)).astype(np.int32), each)
+    at += np.arange(len(at), dtype=np.int32)
+    return ids[at], each
 
 
 def one_thread() -> None:
@@ -87,13 +149,12 @@ def encoded_rows(path: str, end_id: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
         encoder = worker_state("byte_bpe_" + path, lambda: Encoder(path))
-        part, pos, end = TaskContext.get().partitionId(), 0, np.array([end_id], np.int32).tobytes()
-        for block in text_blocks(batches):
-            ids = [x + end for x in encoder.encode(block.column("text").to_pylist())]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        part, pos = TaskContext.get().partitionId(), 0
+        for block in text_blocks(batches, ENCODE_BYTES):
+            ids, lengths = encoder.encode(block.column("text").to_pylist(), end_id)
             bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-            n = len(ids)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+            n = len(lengths)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(n, part, np.int32)), pa.array(np.arange(pos, pos + n)), block.column("doc_id"), pa.array(lengths), lists],
                 schema=schema,

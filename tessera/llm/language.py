@@ -129,10 +129,13 @@ def fitted(labelled: DataFrame) -> Model:
     """A model of rows (text, lang), neither null."""
     frequency, n = document_frequencies(labelled)
     weights = np.log((1 + n) / (1 + frequency)).astype(np.float32) + 1
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    # A share of each language by hash: no window over a language that may hold most rows.
-    share = (F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)) < F.lit(SAMPLE_DOCS) / F.col("n")
-    sample = labelled.join(sizes, "lang").filter(share).select("lang", "text")
+    # A share of each language by hash: no window or shuffle of a language that may hold most rows. The driver holds the
+    # languages anyway, as the labels of its centroids.
+    shares = {r["lang"]: min(1.0, SAMPLE_DOCS / r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not shares:
+        return Model(weights, [], np.zeros((0, CELLS), np.float32), np.zeros(0))
+    share = F.create_map(*[F.lit(x) for pair in sorted(shares.items()) for x in pair])[F.col("lang")]
+    sample = labelled.filter((F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)) < share).select("lang", "text")
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
         texts = sorted(group["text"])

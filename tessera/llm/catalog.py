@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, language, licenses, pii, quality, reuse, sketches, tokens
+from tessera.llm import decontaminate, language, licenses, pii, quality, repeats, reuse, sketches, tokens
 from tessera.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op3_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_token_files, op3_language_centroids, op5_license_signatures, op6_chunk_reuse_bpe, op7_bilstm_crf_pii, op8_positional_index, op9_quality_cascade,
+        op1_token_files, op3_language_centroids, op4_suffix_repeats, op5_license_signatures, op6_chunk_reuse_bpe, op7_bilstm_crf_pii, op8_positional_index, op9_quality_cascade,
         op10_setsketch_dedup,
     )
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, language, licenses, pii, quality, repeats, reuse, sketches, tokens
+from tessera.llm import decontaminate, language, licenses, lm, pii, quality, repeats, reuse, sketches, tokens
 from tessera.llm.common import table
 
 
@@ -13,6 +13,10 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op2_gru_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identified(table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,7 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     query.__name__: query
     for query in (
-        op1_token_files, op3_language_centroids, op4_suffix_repeats, op5_license_signatures, op6_chunk_reuse_bpe, op7_bilstm_crf_pii, op8_positional_index, op9_quality_cascade,
+        op1_token_files, op2_gru_class_lm, op3_language_centroids, op4_suffix_repeats, op5_license_signatures, op6_chunk_reuse_bpe, op7_bilstm_crf_pii, op8_positional_index, op9_quality_cascade,
         op10_setsketch_dedup,
     )
 }

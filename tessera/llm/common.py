@@ -109,5 +109,24 @@ def radix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     def both() -> tuple[np.ndarray, np.ndarray]:
         return make(RADIX), make(pow(RADIX, -1, 1 << 64))
 
-    # Only the usual block size is kept; a single longer document makes its own.
-    return worker_state(f"powers_{size}", both) if size <= 2 * BLOCK_BYTES else both()
+    # Usual block sizes are kept; a single longer document makes its own.
+    return worker_state(f"powers_{size}", both) if size <= BLOCK_BYTES else both()
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each word (A-Z lower-cased, between white space in ASCII) of some texts: hash, text, bytes, and if all are ASCII."""
+    data, bounds = utf8(texts)
+    data = LOWER[data]
+    space = IS_SPACE[data]
+    first = np.zeros(len(data) + 1, bool)
+    first[bounds[bounds < len(data)]] = True
+    starts = np.flatnonzero(~space & (np.append(True, space[:-1])[: len(space)] | first[:-1]))
+    ends = np.flatnonzero(~space & (np.append(space[1:], True)[: len(space)] | np.append(first[1:-1], True)[: len(space)])) + 1
+    beyond = np.concatenate([[0], np.cumsum(data > 0x7F)])
+    return Rolling(data).ranges(starts, ends), np.searchsorted(bounds, starts, "right") - 1, ends - starts, beyond[ends] == beyond[starts]

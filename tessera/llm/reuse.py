@@ -173,8 +173,9 @@ def token_rows(docs: DataFrame, tokenizer: str, text: str = "text") -> DataFrame
     """doc_id, ids and the decoded text."""
 
     def outputs(runs: list[Run]) -> list[pa.Array]:
-        ids = [[int(x) for x in r[1].split()] for r in runs]
-        return [pa.array(ids, pa.list_(pa.int32())), pa.array([r[2] for r in runs], pa.string())]
+        bounds = pa.array(np.concatenate([[0], np.cumsum([r[0] for r in runs])]).astype(np.int32))
+        ids = np.array(" ".join([r[1] for r in runs]).split(), np.int32)
+        return [pa.ListArray.from_arrays(bounds, pa.array(ids)), pa.array([r[2] for r in runs], pa.string())]
 
     return mapped(docs, tokenizer, "ids array<int>, decoded string", outputs, text)
 

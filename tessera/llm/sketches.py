@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Rolling, mix, text_blocks, utf8, whole_text
+from tessera.llm.common import mix, text_blocks, whole_text, word_hashes
 from tessera.sources.workspace import materialize
 
 SHINGLE = 5
@@ -46,15 +46,11 @@ SMALL = 16
 MARGIN = 0.15
 #: Nodes compared with as many at a time in larger buckets.
 BLOCK = 512
+#: Bytes of text a task hashes at a time; its arrays take some fifty times as much.
+HASHED_BYTES = 1 << 20
 #: Bits of the filter of documents whose full sets are needed; a fixed size, so the filter may only pass more than needed.
 FILTER_BITS = 1 << 24
 
-LOWER = np.arange(256, dtype=np.uint8)
-LOWER[0x41:0x5B] += 32
-IS_SPACE = np.zeros(256, bool)
-IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
-
-
 def seeds() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(2021)
     return rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64), rng.integers(0, 1 << 63, REGISTERS, dtype=np.uint64) | np.uint64(1)
@@ -62,16 +58,8 @@ def seeds() -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, ascending, end to end; and the n + 1 bounds."""
-    data, bounds = utf8(texts)
     n = len(texts)
-    data = LOWER[data]
-    space = IS_SPACE[data]
-    first = np.zeros(len(data) + 1, bool)
-    first[bounds[bounds < len(data)]] = True
-    starts = np.flatnonzero(~space & (np.append(True, space[:-1])[: len(space)] | first[:-1]))
-    ends = np.flatnonzero(~space & (np.append(space[1:], True)[: len(space)] | np.append(first[1:-1], True)[: len(space)])) + 1
-    words = Rolling(data).ranges(starts, ends)
-    doc = np.searchsorted(bounds, starts, "right") - 1
+    words, doc, *_ = word_hashes(texts)
     counts = np.bincount(doc, minlength=n)
     offsets = np.concatenate([[0], np.cumsum(counts)])
     multiplier = np.uint64(0xD6E8FEB86659FD93)
@@ -137,7 +125,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
-        for block in text_blocks(batches):
+        for block in text_blocks(batches, HASHED_BYTES):
             hashes, bounds = shingle_sets(block.column("text"))
             sizes = np.diff(bounds)
             some = np.flatnonzero(sizes)
@@ -210,7 +198,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(offset)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches):
+        for block in text_blocks(batches, HASHED_BYTES):
             hashes, bounds = shingle_sets(block.column("text"))
             whole = hashes.tobytes()
             cut = [whole[8 * a : 8 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]

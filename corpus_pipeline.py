@@ -37,8 +37,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks personal data in the texts."""
-    return pii.masked_documents(docs)
+    """Masks personal data in the texts; n_chars follows."""
+    return pii.masked_documents(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

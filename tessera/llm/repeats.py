@@ -58,7 +58,7 @@ def suffix_order(data: np.ndarray, ends: np.ndarray, depth: int | None = None) -
     for k in range(7):
         inside = place + k < ends
         key = key << np.uint64(9) | np.where(inside, data[np.minimum(place + k, n - 1)].astype(np.uint64) + np.uint64(1), np.uint64(0))
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     ranks = [ranked(key, order)]
     width = 7
     while (depth is None or width < depth) and len(order) and ranks[-1].max() < n - 1 and width < n:
@@ -66,7 +66,7 @@ def suffix_order(data: np.ndarray, ends: np.ndarray, depth: int | None = None) -
         ahead = np.minimum(place + width, n - 1)
         second = np.where(place + width < ends, last[ahead] + 1, 0)
         key = last.astype(np.uint64) << np.uint64(32) | second.astype(np.uint64)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranks.append(ranked(key, order))
         width *= 2
     return order, ranks
@@ -161,11 +161,24 @@ def repeated_windows(strings: list[bytes], least: int = LENGTH) -> np.ndarray:
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
     ends = np.repeat(np.cumsum(sizes), sizes)
     out = np.zeros(len(data), bool)
-    if len(data) > 1:
-        order, ranks = suffix_order(data, ends, least)
+    if len(data) < 2:
+        return out
+    order, ranks = suffix_order(data, ends, -(-least // 2))
+    width = 7 << (len(ranks) - 1)
+    if not least <= 2 * width <= 2 * least:
+        # Short strings, or few: the common prefixes of neighbours tell.
         long = common_prefixes(data, ends, order, ranks) >= least
         out[order[:-1][long]] = True
         out[order[1:][long]] = True
+        return out
+    # Two ranks that overlap decide about ``least`` bytes: the intervals of common prefixes that long.
+    first = order[order + least <= ends[order]]
+    last = ranks[-1].astype(np.uint64)
+    key = last[first] << np.uint64(32) | last[first + least - width]
+    at = np.argsort(key)
+    same = key[at[1:]] == key[at[:-1]]
+    out[first[at[1:][same]]] = True
+    out[first[at[:-1][same]]] = True
     return out
 
 
@@ -282,12 +295,24 @@ def runs_of(flags: np.ndarray) -> list[list[int]]:
 def matched(group: pd.DataFrame) -> pd.DataFrame:
     """Runs of repeated windows of each slice of some anchors, from one suffix array of them all."""
     strings = group["bytes"].tolist()
-    flags = repeated_windows(strings)
-    bounds = np.concatenate([[0], np.cumsum([len(s) for s in strings])])
-    out = []
-    for row, (anchor, own, windows) in enumerate(zip(group["anchor"], group["slice"], group["windows"], strict=True)):
-        for a, b in runs_of(flags[bounds[row] : bounds[row] + windows]):
-            out.append((anchor, own, a, b))
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    windows = group["windows"].to_numpy(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    # A window whose hash stands once repeats nowhere: only the stretch between a slice's candidates is sorted.
+    at = np.repeat(starts - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
+    hashes = Rolling(np.frombuffer(b"".join(strings), np.uint8)).ranges(at, at + LENGTH)
+    order = np.argsort(hashes)
+    equal = hashes[order[1:]] == hashes[order[:-1]]
+    candidate = np.zeros(len(hashes), bool)
+    candidate[order[1:][equal]] = candidate[order[:-1][equal]] = True
+    bounds = np.concatenate([[0], np.cumsum(windows)])
+    kept = [(row, places[0], places[-1]) for row in range(len(strings)) if len(places := np.flatnonzero(candidate[bounds[row] : bounds[row + 1]]))]
+    flags = repeated_windows([strings[row][a : b + LENGTH] for row, a, b in kept])
+    out, done = [], 0
+    anchors, own = group["anchor"].to_numpy(), group["slice"].to_numpy()
+    for row, a, b in kept:
+        out += [(anchors[row], own[row], a + x, a + y) for x, y in runs_of(flags[done : done + b - a + 1])]
+        done += b - a + LENGTH
     return pd.DataFrame(out, columns=["anchor", "slice", "first", "last"]).astype("int64")
 
 

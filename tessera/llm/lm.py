@@ -32,7 +32,7 @@ from tessera.llm.language import fold
 from tessera.llm.sketches import HASHED_BYTES
 from tessera.sources.workspace import materialize
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 #: Share of the training documents that the network learns from, and the tokens it learns from at least where there are as many.
 SHARE, LEAST_TOKENS = 1 / 16, 2_000_000
 WORD_CLASSES, CLASS_WORDS = 32, 32

@@ -29,7 +29,7 @@ from tessera.llm.tokens import one_thread
 #: Bytes that decide a cut, and the mean bytes between cuts.
 CUT_WIDTH, CUT_MEAN = 16, 256
 #: Chunks and words a worker remembers; beyond, it forgets all and starts anew.
-REMEMBERED_CHUNKS, REMEMBERED_WORDS = 40_000, 400_000
+REMEMBERED_CHUNKS, REMEMBERED_WORDS = 15_000, 200_000
 BLANKS = b" \t\n\r\x0b\x0c"
 
 #: What a run of whole words gives: tokens, ids as decimal text, token strings; both joined by blanks.

@@ -4,11 +4,10 @@ A register keeps the smallest of a set's exponentially distributed hashes, trunc
 2021): registers of a union are the larger ones of both, and equal registers tell of similar sets. Steps:
 
 1. every document's distinct shingles become registers and a 128-bit digest of the set; equal sets become one node;
-2. bands of registers deal the nodes into buckets; candidates are each node with its bucket's first node, and all pairs of
-   buckets of at most ``SMALL`` nodes;
-3. the similarity of a candidate is estimated by the joint likelihood of greater, equal and smaller registers, and clear
-   misses are dropped; the rest is confirmed on the full shingle sets, each node's best candidate first, then only what
-   would join two components;
+2. bands of registers deal the nodes into buckets; the similarity of a candidate is estimated by the joint likelihood of
+   greater, equal and smaller registers, clear misses are dropped, the rest is confirmed on the full shingle sets;
+3. the first candidate of each node is the first node of its largest bucket; then only buckets that still hold several
+   components count: each node with the bucket's first one, and all pairs of buckets of at most ``SMALL`` nodes;
 4. larger buckets that still hold several components are compared block by block, the nodes outside the bucket's main
    component against all its nodes, so that no link between different texts is lost to a bucket's size.
 
@@ -246,16 +245,12 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(tops)
 
 
-def between(pairs: DataFrame, parts: DataFrame) -> DataFrame:
-    """The pairs whose ends lie in different components; a node without links is its own component."""
-    for side in ("a", "b"):
-        own = parts.select(F.col("node").alias(side), F.col("component").alias(f"component_{side}"))
-        pairs = pairs.join(own, side, "left").withColumn(f"component_{side}", F.coalesce(f"component_{side}", side))
-    return pairs.filter("component_a <> component_b").drop("component_a", "component_b")
-
-
 def across_blocks(members: DataFrame) -> DataFrame:
-    """Candidates among (bucket, node, component, n, registers): nodes outside a bucket's main component against all of it."""
+    """Links among members of larger buckets: nodes outside a bucket's main component against all nodes of the bucket.
+
+    A pair is compared in the first band that both share, and a node is linked once with each component: what leaves a
+    task is confirmed there and bounded by its nodes and components, not by its pairs.
+    """
     sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
     ranked = sizes.groupBy("key").agg(
         F.max(F.struct("size", "component"))["component"].alias("main"), F.count("*").alias("parts"), F.sum("size").alias("size"), F.max("size").alias("most")
@@ -263,7 +258,7 @@ def across_blocks(members: DataFrame) -> DataFrame:
     held = members.join(ranked, "key").withColumn("apart", F.col("component") != F.col("main"))
     queries, blocks = F.ceil((F.col("size") - F.col("most")) / BLOCK), F.ceil(F.col("size") / BLOCK)
     deal = lambda count, salt: F.pmod(F.xxhash64("node", F.lit(salt)), count.cast("long"))
-    side = ["key", "node", "component", "n", "registers"]
+    side = ["key", "band", "node", "component", "n", "registers", "shingles"]
     asked = held.filter("apart").select(*side, F.lit(True).alias("asks"), deal(queries, 1).alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("m"))
     against = held.select(*side, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0).cast("long"), queries - 1)).alias("q"), deal(blocks, 2).alias("m"))
 
@@ -272,14 +267,23 @@ def across_blocks(members: DataFrame) -> DataFrame:
         found = []
         if len(ask) and len(rest):
             held_registers = np.frombuffer(b"".join(rest["registers"]), "<i2").reshape(-1, REGISTERS)
+            held_nodes, held_parts, held_sizes = (rest[c].to_numpy() for c in ("node", "component", "n"))
+            held_sets = [np.frombuffer(s, np.uint64) for s in rest["shingles"]]
             for row in ask.itertuples():
-                mine = np.broadcast_to(np.frombuffer(row.registers, "<i2"), held_registers.shape)
-                likely = likely_similarity(mine, held_registers, np.full(len(rest), float(row.n)), rest["n"].to_numpy(float))
-                keep = (likely >= PERCENT / 100 - MARGIN) & (rest["component"].to_numpy() != row.component)
-                found += [(row.node, other, s) for other, s in zip(rest["node"].to_numpy()[keep], likely[keep], strict=True)]
-        return pd.DataFrame(found, columns=["a", "b", "estimate"]).astype({"a": "int64", "b": "int64", "estimate": "float64"})
-
-    return asked.unionByName(against).groupBy("key", "q", "m").applyInPandas(compare, "a long, b long, estimate double")
+                mine = np.frombuffer(row.registers, "<i2")
+                shared = (held_registers == mine).reshape(-1, BANDS, ROWS).all(2).argmax(1) == row.band
+                at = np.flatnonzero(shared & (held_parts != row.component))
+                likely = likely_similarity(np.broadcast_to(mine, (len(at), REGISTERS)), held_registers[at], np.full(len(at), float(row.n)), held_sizes[at].astype(float))
+                own, linked = np.frombuffer(row.shingles, np.uint64), set()
+                for i in at[likely >= PERCENT / 100 - MARGIN].tolist():
+                    if held_parts[i] not in linked:
+                        common = len(np.intersect1d(own, held_sets[i], assume_unique=True))
+                        if 100 * common >= PERCENT * (len(own) + len(held_sets[i]) - common):
+                            linked.add(held_parts[i])
+                            found.append((row.node, held_nodes[i]))
+        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+    return asked.unionByName(against).groupBy("key", "q", "m").applyInPandas(compare, "a long, b long")
 
 
 def clustered(docs: DataFrame) -> DataFrame:
@@ -288,30 +292,33 @@ def clustered(docs: DataFrame) -> DataFrame:
     lowest = rows.filter("n > 0").groupBy("digest1", "digest2").agg(F.min("row").alias("node"), F.min("doc_id").alias("lowest"))
     sets = materialize(lowest, "sets")
     nodes = materialize(rows.select("row", "doc_id", "hash", "n", "registers").join(sets.select("node"), F.col("row") == F.col("node")).drop("row"), "nodes")
-    bands = nodes.select("node", F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("registers"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))).alias("key"))
+    bands = nodes.select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("registers"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))).alias("band", "key"))
     buckets = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first")).filter("size > 1")
     shared = materialize(bands.join(buckets, "key"), "buckets")
-    stars = shared.filter("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
-    tight = shared.filter(F.col("size") <= SMALL).select("key", "node")
-    pairs = tight.select("key", F.col("node").alias("a")).join(tight.select("key", F.col("node").alias("b")), "key").filter("a > b").select("a", "b")
-    likely = materialize(estimated(stars.union(pairs).distinct(), nodes), "candidates")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "doc_id", "hash"), "node")
+    wanted = shared.select("node").distinct().join(nodes.select("node", "doc_id", "hash"), "node")
     shingles = materialize(full_sets(docs, wanted), "shingles")
-    # Each node's most likely candidate first: it settles most components; the rest need not be confirmed inside them.
-    best = likely.groupBy("a").agg(F.max(F.struct("estimate", (-F.col("b")).alias("b")))["b"].alias("b")).select("a", (-F.col("b")).alias("b"))
-    links = materialize(confirmed(best, shingles), "links")
+    # One candidate per node first, the first node of its largest bucket: that settles most components, whatever their size.
+    # All other candidates are needed between components only.
+    best = shared.groupBy("node").agg(F.max(F.struct("size", (-F.col("first")).alias("minus")))["minus"].alias("minus"))
+    begun = best.select(F.col("node").alias("a"), (-F.col("minus")).alias("b")).filter("a <> b")
+    links = materialize(confirmed(estimated(begun, nodes), shingles), "links")
     parts = components(links)
-    links = links.union(materialize(confirmed(between(likely, parts).join(best, ["a", "b"], "left_anti"), shingles), "links"))
+    placed = shared.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min(F.struct("node", "component")).alias("top")).filter("x <> y")
+    open_rows = materialize(placed.select("key", "node", "size", "component").join(mixed.select("key", "top"), "key"), "open")
+    stars = open_rows.filter(F.col("component") != F.col("top.component")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
+    tight = open_rows.filter(F.col("size") <= SMALL)
+    left, right = (tight.select("key", F.col("node").alias(n), F.col("component").alias(f"component_{n}")) for n in "ab")
+    pairs = left.join(right, (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("component_a") != F.col("component_b"))).select("a", "b")
+    likely = materialize(estimated(stars.union(pairs).distinct(), nodes), "candidates")
+    links = links.union(materialize(confirmed(likely, shingles), "links"))
     parts = components(links)
-    large = shared.filter(F.col("size") > SMALL).select("key", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    large = shared.filter(F.col("size") > SMALL).select("key", "band", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = large.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    members = large.join(mixed, "key").join(nodes.select("node", "n", "registers"), "node")
-    late = materialize(across_blocks(members).dropDuplicates(["a", "b"]).join(likely.select("a", "b"), ["a", "b"], "left_anti"), "late")
+    members = large.join(mixed, "key").join(nodes.select("node", "n", "registers"), "node").join(shingles, "node")
+    late = materialize(across_blocks(members), "late")
     if not late.isEmpty():
-        unknown = late.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(shingles, "node", "left_anti")
-        more = materialize(full_sets(docs, unknown.join(nodes.select("node", "doc_id", "hash"), "node")), "shingles")
-        links = links.union(materialize(confirmed(late, shingles.union(more)), "links"))
-        parts = components(links)
+        parts = components(links.union(late))
     # The smallest id of a component: of the ids of all its sets.
     named = sets.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("lowest").alias("component_id"))

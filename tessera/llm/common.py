@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -31,13 +33,30 @@ def keyed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFr
 
 
 def worker_state(name: str, make: Callable[[], Any]) -> Any:
-    """A value that a Python worker keeps from task to task; every task can make it anew."""
+    """A value that a Python worker keeps from task to task; every task can make it anew.
+
+    A worker keeps values of one kind (the name up to the first ``_``) at a time, so operators that follow each other do not
+    add up in memory.
+    """
     kept = sys.modules.setdefault("tessera_llm_worker", types.ModuleType("tessera_llm_worker"))
     if not hasattr(kept, name):
+        kind = name.split("_")[0]
+        for other in [n for n in vars(kept) if not n.startswith("__") and n.split("_")[0] != kind]:
+            delattr(kept, other)
+        release()
         setattr(kept, name, make())
     return getattr(kept, name)
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into runs of rows that hold about ``limit`` bytes of text."""
     for batch in batches:
@@ -50,6 +69,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) ->
             last = max(first + 1, int(np.searchsorted(ends, base + limit, "right")))
             yield batch.slice(first, last - first)
             first = last
+    release()
 
 
 def utf8(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -134,7 +134,7 @@ def joined(runs: list[Run]) -> Run:
 
 
 def encode_block(path: str, block: pa.RecordBatch) -> list[Run]:
-    encoder = worker_state("word_bpe_" + path, lambda: ChunkEncoder(path))
+    encoder = worker_state("wordbpe_" + path, lambda: ChunkEncoder(path))
     data, bounds = utf8(block.column("text"))
     starts = cut_places(data, bounds)
     whole = data.tobytes()
@@ -187,7 +187,7 @@ def decoded(rows: DataFrame, tokenizer: str, ids: str = "ids") -> DataFrame:
     @F.pandas_udf(StringType())
     def decode(column):
         one_thread()
-        encoder = worker_state("word_bpe_" + tokenizer, lambda: ChunkEncoder(tokenizer))
+        encoder = worker_state("wordbpe_" + tokenizer, lambda: ChunkEncoder(tokenizer))
         return column.map(lambda x: encoder.tokenizer.decode([] if x is None else list(x), skip_special_tokens=False))
 
     return rows.withColumn("decoded", decode(F.col(ids)))

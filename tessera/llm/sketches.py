@@ -46,7 +46,7 @@ MARGIN = 0.15
 #: Nodes compared with as many at a time in larger buckets.
 BLOCK = 512
 #: Bytes of text a task hashes at a time; its arrays take some fifty times as much.
-HASHED_BYTES = 1 << 20
+HASHED_BYTES = 1 << 19
 #: Bits of the filter of documents whose full sets are needed; a fixed size, so the filter may only pass more than needed.
 FILTER_BITS = 1 << 24
 

@@ -148,7 +148,7 @@ def encoded_rows(path: str, end_id: int):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one_thread()
-        encoder = worker_state("byte_bpe_" + path, lambda: Encoder(path))
+        encoder = worker_state("bytebpe_" + path, lambda: Encoder(path))
         part, pos = TaskContext.get().partitionId(), 0
         for block in text_blocks(batches, ENCODE_BYTES):
             ids, lengths = encoder.encode(block.column("text").to_pylist(), end_id)

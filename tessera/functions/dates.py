@@ -13,7 +13,7 @@ ISO_DATETIME = r"^(\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)(Z|[+-]\d{2
 
 def parse_messy_date(text: Column) -> Column:
     """The first format that fits wins; text in no known format gives NULL."""
-    trimmed = F.trim(text)
+    trimmed = F.regexp_replace(text, r"^\s+|\s+$", "")
     tries = [F.try_to_date(trimmed, fmt) for fmt in MESSY_FORMATS]
     stamp = F.nullif(F.regexp_extract(trimmed, ISO_DATETIME, 1), F.lit(""))
     return F.coalesce(*tries, stamp.try_cast("timestamp_ntz").cast("date"))

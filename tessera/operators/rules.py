@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from decimal import Decimal
 
 from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame
@@ -37,7 +38,8 @@ def frequent_itemsets(items: DataFrame, min_support: float) -> tuple[DataFrame,
     """
     kept = baskets(items).select(*BASKET)
     total = kept.count()
-    needed = max(1, math.ceil(min_support * total))
+    # In decimals: an itemset exactly at the support is kept.
+    needed = max(1, math.ceil(Decimal(str(min_support)) * total))
     valid = materialize(items.join(kept, BASKET, "left_semi").select(*BASKET, "name"), "basket_items")
     frequent = valid.groupBy("name").count().filter(F.col("count") >= needed).select("name")
     sequences = materialize(

@@ -73,7 +73,7 @@ def in_trailing_window(df: DataFrame, day: str, days: int) -> DataFrame:
 def daily_trend(silver: DataFrame, window_days: int = 90) -> DataFrame:
     return in_trailing_window(silver, "txn_date", window_days).groupBy(F.col("txn_date").alias("day")).agg(
         money_total(F.col("amount_aed")).alias("total_aed"), F.count("*").alias("txn_count")
-    )
+    ).orderBy("day")
 
 
 def split_by(silver: DataFrame, column: str, name: str | None = None) -> DataFrame:

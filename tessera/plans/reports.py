@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.money import money_text
+from tessera.functions.sqltext import OK, sql_verdict
 from tessera.plans.warehouse import Warehouse
 
 MAX_ROWS = 500
@@ -49,7 +50,10 @@ class SqlResult:
 
 
 def run_sql(spark: SparkSession, sql: str, max_rows: int = MAX_ROWS) -> SqlResult:
-    """The first ``max_rows`` rows of a query, and whether it had more."""
+    """The first ``max_rows`` rows of a query, and whether it had more; a refused text raises its verdict and never runs."""
+    verdict = spark.range(1).select(sql_verdict(F.lit(sql))).first()[0]
+    if verdict != OK:
+        raise ValueError(verdict)
     probe = spark.sql(sql.strip().rstrip(";")).limit(max_rows + 1)
     truncated = probe.agg(
         F.least(F.count("*"), F.lit(max_rows)).alias("row_count"), (F.count("*") > max_rows).alias("truncated")

@@ -68,7 +68,7 @@ class Warehouse:
     def register_views(self, sql: str | None = None) -> None:
         """Tables as temporary views for ad-hoc SQL: all, or those whose name occurs in ``sql``."""
         for name in [*_BUILDERS, *_VIEWS]:
-            if sql is None or name in sql:
+            if sql is None or name.lower() in sql.lower():
                 self.table(name).createOrReplaceTempView(name)
 
 

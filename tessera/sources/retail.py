@@ -38,6 +38,11 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def padded(digits: Column, width: int) -> Column:
+    """Leading zeros up to ``width``; a longer key is never cut."""
+    return F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0"))
+
+
 def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One sale per order line, in payload fields, with a total order key ``id``."""
     price = F.col("l_extendedprice").cast("decimal(18,2)")
@@ -47,12 +52,12 @@ def sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.concat_ws(
             "-",
             F.lit("0"),
-            F.lpad(F.col("l_orderkey").cast("string"), 12, "0"),
+            padded(F.col("l_orderkey").cast("string"), 12),
             F.col("l_linenumber").cast("string"),
-            F.lpad(F.col("l_partkey").cast("string"), 12, "0"),
-            F.lpad(F.col("l_suppkey").cast("string"), 12, "0"),
+            padded(F.col("l_partkey").cast("string"), 12),
+            padded(F.col("l_suppkey").cast("string"), 12),
             F.col("l_shipdate").cast("date").cast("string"),
-            F.lpad(price.cast("string"), 14, "0"),
+            padded(price.cast("string"), 14),
         ).alias("id"),
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("sale_id"),
         F.concat(F.lit("C"), F.col("o_custkey")).alias("customer_id"),
@@ -102,7 +107,7 @@ def bronze_sales(sales_rows: DataFrame) -> DataFrame:
 
 def _bronze_row(tag: str, source: str, kind: str | None, payload: Column) -> Column:
     return F.struct(
-        F.concat(F.lit(tag), F.substring("id", 2, 100)).alias("id"),
+        F.concat(F.lit(tag), F.expr("substring(id, 2)")).alias("id"),
         F.lit(source).alias("source_system"),
         F.col("ingested_at").alias("ingested_at"),
         payload.alias("payload_json"),

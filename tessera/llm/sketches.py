@@ -245,7 +245,7 @@ def components(edges: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(tops)
 
 
-def across_blocks(members: DataFrame) -> DataFrame:
+def across_blocks(members: DataFrame, held_sets: DataFrame) -> DataFrame:
     """Links among members of larger buckets: nodes outside a bucket's main component against all nodes of the bucket.
 
     A pair is compared in the first band that both share, and a node is linked once with each component: what leaves a
@@ -258,7 +258,7 @@ def across_blocks(members: DataFrame) -> DataFrame:
     held = members.join(ranked, "key").withColumn("apart", F.col("component") != F.col("main"))
     queries, blocks = F.ceil((F.col("size") - F.col("most")) / BLOCK), F.ceil(F.col("size") / BLOCK)
     deal = lambda count, salt: F.pmod(F.xxhash64("node", F.lit(salt)), count.cast("long"))
-    side = ["key", "band", "node", "component", "n", "registers", "shingles"]
+    side = ["key", "band", "node", "component"]
     asked = held.filter("apart").select(*side, F.lit(True).alias("asks"), deal(queries, 1).alias("q"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("m"))
     against = held.select(*side, F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(0).cast("long"), queries - 1)).alias("q"), deal(blocks, 2).alias("m"))
 
@@ -283,7 +283,8 @@ def across_blocks(members: DataFrame) -> DataFrame:
                             found.append((row.node, held_nodes[i]))
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    return asked.unionByName(against).groupBy("key", "q", "m").applyInPandas(compare, "a long, b long")
+    # Registers and sets join last, once.
+    return asked.unionByName(against).join(held_sets, "node").groupBy("key", "q", "m").applyInPandas(compare, "a long, b long")
 
 
 def clustered(docs: DataFrame) -> DataFrame:
@@ -315,8 +316,8 @@ def clustered(docs: DataFrame) -> DataFrame:
     parts = components(links)
     large = shared.filter(F.col("size") > SMALL).select("key", "band", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = large.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    members = large.join(mixed, "key").join(nodes.select("node", "n", "registers"), "node").join(shingles, "node")
-    late = materialize(across_blocks(members), "late")
+    held_sets = nodes.select("node", "n", "registers").join(shingles, "node")
+    late = materialize(across_blocks(large.join(mixed, "key"), held_sets), "late")
     if not late.isEmpty():
         parts = components(links.union(late))
     # The smallest id of a component: of the ids of all its sets.

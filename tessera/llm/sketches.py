@@ -6,8 +6,9 @@ A register keeps the smallest of a set's exponentially distributed hashes, trunc
 1. every document's distinct shingles become registers and a 128-bit digest of the set; equal sets become one node;
 2. bands of registers deal the nodes into buckets; the similarity of a candidate is estimated by the joint likelihood of
    greater, equal and smaller registers, clear misses are dropped, the rest is confirmed on the full shingle sets;
-3. the first candidate of each node is the first node of its largest bucket; then only buckets that still hold several
-   components count: each node with the bucket's first one, and all pairs of buckets of at most ``SMALL`` nodes;
+3. the first candidate of each node is the first node of its largest bucket in the first ``FIRST_BANDS`` bands; then only
+   buckets, of all bands, that still hold several components count: nodes of other components than the bucket's first node
+   with that node, and all pairs of buckets of at most ``SMALL`` nodes;
 4. larger buckets that still hold several components are compared block by block, the nodes outside the bucket's main
    component against all its nodes, so that no link between different texts is lost to a bucket's size.
 
@@ -39,6 +40,8 @@ PERCENT = 75
 BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 BASE = 1.001
+#: Bands that give each node its first candidate.
+FIRST_BANDS = 8
 #: Nodes of a bucket whose pairs are all candidates.
 SMALL = 16
 #: Estimates this far under the limit are dropped: over four standard deviations of 160 registers.
@@ -287,39 +290,66 @@ def across_blocks(members: DataFrame, held_sets: DataFrame) -> DataFrame:
     return asked.unionByName(against).join(held_sets, "node").groupBy("key", "q", "m").applyInPandas(compare, "a long, b long")
 
 
+def banded(nodes: DataFrame, bands: int) -> DataFrame:
+    """The node's other columns, band and bucket key, for the first ``bands`` bands of its registers."""
+    key = lambda b: F.xxhash64(b, F.substring(F.col("registers"), b * (2 * ROWS) + 1, F.lit(2 * ROWS)))
+    others = [c for c in nodes.columns if c != "registers"]
+    return nodes.select(*others, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), key)).alias("band", "key"))
+
+
+def in_components(nodes: DataFrame, parts: DataFrame) -> DataFrame:
+    """node, component and registers, written: one row per node, joined before bands multiply the rows."""
+    found = nodes.select("node", "registers").join(parts, "node", "left")
+    return materialize(found.withColumn("component", F.coalesce("component", "node")), "placed")
+
+
+def with_sets(docs: DataFrame, nodes: DataFrame, needed: DataFrame, held: DataFrame | None) -> DataFrame:
+    """``held`` and the full sets of the ``needed`` nodes that it lacks."""
+    lacking = materialize((needed if held is None else needed.join(held, "node", "left_anti")).join(nodes.select("node", "doc_id", "hash"), "node"), "wanted")
+    if held is not None and lacking.isEmpty():
+        return held
+    found = materialize(full_sets(docs, lacking), "shingles")
+    return found if held is None else held.unionByName(found)
+
+
 def clustered(docs: DataFrame) -> DataFrame:
     """row, doc_id, hash, n and component_id of every document (written tables stand between the steps)."""
     rows = materialize(sketched(docs), "sketches")
     lowest = rows.filter("n > 0").groupBy("digest1", "digest2").agg(F.min("row").alias("node"), F.min("doc_id").alias("lowest"))
     sets = materialize(lowest, "sets")
     nodes = materialize(rows.select("row", "doc_id", "hash", "n", "registers").join(sets.select("node"), F.col("row") == F.col("node")).drop("row"), "nodes")
-    bands = nodes.select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring(F.col("registers"), b * (2 * ROWS) + 1, F.lit(2 * ROWS))))).alias("band", "key"))
-    buckets = bands.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first")).filter("size > 1")
-    shared = materialize(bands.join(buckets, "key"), "buckets")
-    wanted = shared.select("node").distinct().join(nodes.select("node", "doc_id", "hash"), "node")
-    shingles = materialize(full_sets(docs, wanted), "shingles")
-    # One candidate per node first, the first node of its largest bucket: that settles most components, whatever their size.
-    # All other candidates are needed between components only.
-    best = shared.groupBy("node").agg(F.max(F.struct("size", (-F.col("first")).alias("minus")))["minus"].alias("minus"))
+    # One candidate per node first, the first node of its largest bucket in a few bands: that settles most components, whatever
+    # their size. All other candidates are needed between components only.
+    head = banded(nodes.select("node", "registers"), FIRST_BANDS)
+    buckets = head.groupBy("key").agg(F.count("*").alias("size"), F.min("node").alias("first")).filter("size > 1")
+    best = head.join(buckets, "key").groupBy("node").agg(F.max(F.struct("size", (-F.col("first")).alias("minus")))["minus"].alias("minus"))
     begun = best.select(F.col("node").alias("a"), (-F.col("minus")).alias("b")).filter("a <> b")
-    links = materialize(confirmed(estimated(begun, nodes), shingles), "links")
-    parts = components(links)
-    placed = shared.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.min(F.struct("node", "component")).alias("top")).filter("x <> y")
-    open_rows = materialize(placed.select("key", "node", "size", "component").join(mixed.select("key", "top"), "key"), "open")
+    likely = materialize(estimated(begun, nodes), "candidates")
+    shingles = with_sets(docs, nodes, likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), None)
+    links = materialize(confirmed(likely, shingles), "links")
+    placed = banded(in_components(nodes, components(links)), BANDS)
+    # Buckets that hold several components; of their members only those that make a candidate leave the join.
+    mixed = placed.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y"), F.min(F.struct("node", "component")).alias("top")
+    ).filter("x <> y").select(F.col("key").alias("bucket"), "size", "top")
+    asks = (F.col("key") == F.col("bucket")) & ((F.col("size") <= SMALL) | (F.col("component") != F.col("top.component")))
+    open_rows = materialize(placed.join(mixed, asks).select("key", "node", "size", "component", "top"), "open")
     stars = open_rows.filter(F.col("component") != F.col("top.component")).select(F.col("node").alias("a"), F.col("top.node").alias("b"))
     tight = open_rows.filter(F.col("size") <= SMALL)
     left, right = (tight.select("key", F.col("node").alias(n), F.col("component").alias(f"component_{n}")) for n in "ab")
     pairs = left.join(right, (left["key"] == right["key"]) & (F.col("a") > F.col("b")) & (F.col("component_a") != F.col("component_b"))).select("a", "b")
     likely = materialize(estimated(stars.union(pairs).distinct(), nodes), "candidates")
+    shingles = with_sets(docs, nodes, likely.select(F.explode(F.array("a", "b")).alias("node")).distinct(), shingles)
     links = links.union(materialize(confirmed(likely, shingles), "links"))
     parts = components(links)
-    large = shared.filter(F.col("size") > SMALL).select("key", "band", "node").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = large.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    held_sets = nodes.select("node", "n", "registers").join(shingles, "node")
-    late = materialize(across_blocks(large.join(mixed, "key"), held_sets), "late")
-    if not late.isEmpty():
-        parts = components(links.union(late))
+    placed = banded(in_components(nodes, parts), BANDS)
+    mixed = placed.groupBy("key").agg(F.count("*").alias("size"), F.min("component").alias("x"), F.max("component").alias("y"))
+    members = materialize(placed.join(mixed.filter((F.col("size") > SMALL) & (F.col("x") != F.col("y"))).select("key"), "key"), "members")
+    if not members.isEmpty():
+        shingles = with_sets(docs, nodes, members.select("node").distinct(), shingles)
+        late = materialize(across_blocks(members, nodes.select("node", "n", "registers").join(shingles, "node")), "late")
+        if not late.isEmpty():
+            parts = components(links.union(late))
     # The smallest id of a component: of the ids of all its sets.
     named = sets.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = named.groupBy("component").agg(F.min("lowest").alias("component_id"))

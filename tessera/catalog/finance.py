@@ -16,7 +16,7 @@ from tessera.plans import finance, forecast, marts
 from tessera.plans.warehouse import Warehouse
 
 CATEGORIES = ["Marketing", "Meals", "Office", "Software", "Travel", "Utilities"]
-DEPT, VENDOR, VENDOR_NAME, DEPT_NAME = "D-MACH", "V000000000003", "Supplier#000000003", "MACHINERY"
+DEPT, VENDOR, VENDOR_NAME, DEPT_NAME = "D-MACHINERY", "V000000000003", "Supplier#000000003", "MACHINERY"
 YEAR, MONTH, TODAY = 2001, 7, "2001-08-01"
 _SILVER = """SELECT txn_id, source, employee_id, dept_id, vendor_id, category, CAST(txn_date AS VARCHAR) AS txn_date,
 CAST(amount_aed AS DOUBLE) AS amount_aed, original_currency, CAST(original_amount AS DOUBLE) AS original_amount"""

@@ -231,7 +231,8 @@ def _(w: Warehouse) -> DataFrame:
 
 @query("b1_parse_json", "SELECT id, json_valid(payload_json) AS is_object FROM bronze_sales_raw")
 def _(w: Warehouse) -> DataFrame:
-    return w.table("bronze_sales_raw").select("id", F.json_object_keys("payload_json").isNotNull().alias("is_object"))
+    parsed = retail.parsed_payload("payload_json")
+    return w.table("bronze_sales_raw").select("id", F.coalesce(parsed["whole"] & parsed["payload"].isNotNull(), F.lit(False)).alias("is_object"))
 
 
 @query("b2_require_keys", "SELECT id, payload_json FROM parsed WHERE status = 'dropped_schema'")
@@ -264,7 +265,8 @@ def _(w: Warehouse) -> DataFrame:
 SELECT * REPLACE (CAST(sale_ts AS VARCHAR) AS sale_ts, CAST(unit_price AS DOUBLE) AS unit_price, CAST(amount AS DOUBLE) AS amount)
 FROM silver_sales""")
 def _(w: Warehouse) -> DataFrame:
-    return w.table("silver_sales")
+    first = w.table("bronze_sales_raw").join(w.table("silver_staged").select(F.col("bronze_id").alias("id")), "id", "left_semi")
+    return retail.silver_of(retail.cast_typed(retail.classify_bronze(first)))
 
 
 @query("b6_silver_summary", "SELECT * FROM silver_summary")

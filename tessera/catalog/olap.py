@@ -207,7 +207,7 @@ def _(w: Warehouse) -> DataFrame:
 @query("l3_revenue_by_country_quarter", f"SELECT c.country, d.quarter, {_AMOUNT} AS revenue FROM {_STAR} GROUP BY c.country, d.quarter")
 def _(w: Warehouse) -> DataFrame:
     by_quarter = cube_query(w.table("gold_fact_sales"), w.dims(), ["country", "quarter"], limit=None)
-    return by_quarter.withColumnRenamed("value", "revenue")
+    return by_quarter.withColumnRenamed("value", "revenue").orderBy("country", "quarter")
 
 
 @query("l4_latest_silver", """

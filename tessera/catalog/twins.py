@@ -50,6 +50,10 @@ _BRONZE = "\nUNION ALL ".join([
     _feed("pos-retail-v1", None, _payload(sale_id=_renamed("BAD"), quantity="'\"x\"'"), "A", "F", 0.07, 0.03),
     _feed("pos-retail-v1", None,
           _payload(sale_id=_renamed("NEW"), product_id="'\"P-new\"'", store_id="'\"S-new\"'"), "A", "F", 0.03, 0.02),
+    _feed("pos-retail-v1", None, _payload(sale_id=_renamed("OLD"), sale_ts="'\"1901-01-01T00:00:00\"'"), "A", "F", 0.02, 0.01),
+    _feed("pos-retail-v1", None, _payload(sale_id=_renamed("TIME"), sale_ts="'\"hello\"'"), "A", "F", 0.06, 0.01),
+    _feed("pos-retail-v2-BROKEN", "schema_drift", f"{_payload()} || ' xyz'", "R", "F", 0.01, 0.08),
+    _feed("pos-retail-v2-BROKEN", "schema_drift", f"translate({_payload()}, '\"', chr(39))", "R", "F", 0.02, 0.07),
 ])
 
 _KEYS = "['sale_id','customer_id','product_id','store_id','sale_ts','quantity','unit_price','amount','channel','currency']"
@@ -91,7 +95,7 @@ FROM (SELECT *, CAST(CASE WHEN json_valid(payload_json) THEN payload_json ELSE '
     "judged": """
 SELECT * EXCLUDE (status, rn),
        CASE WHEN status <> 'parsed_ok' THEN status WHEN rn > 1 THEN 'quarantined_dupes'
-            WHEN quantity IS NULL OR unit_price IS NULL OR amount IS NULL THEN 'bad_type' ELSE status END AS status
+            WHEN sale_ts IS NULL OR quantity IS NULL OR unit_price IS NULL OR amount IS NULL THEN 'bad_type' ELSE status END AS status
 FROM (SELECT *, row_number() OVER (PARTITION BY status, CASE WHEN status = 'parsed_ok' THEN sale_id ELSE id END
                                    ORDER BY id) AS rn FROM parsed)""",
     "silver_sales": """
@@ -119,7 +123,7 @@ FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionke
 SELECT CAST(d AS DATE) AS date_id, CAST(day(d) AS INTEGER) AS day, dayname(d) AS day_of_week,
        CAST(month(d) AS INTEGER) AS month, monthname(d) AS month_name, CAST((month(d) - 1) // 3 + 1 AS INTEGER) AS quarter,
        CAST(year(d) AS INTEGER) AS year, CAST(isodow(d) >= 6 AS INTEGER) AS is_weekend
-FROM (SELECT unnest(generate_series(TIMESTAMP '1995-02-01', (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)::TIMESTAMP,
+FROM (SELECT unnest(generate_series((SELECT CAST(min(o_orderdate) AS DATE) FROM orders)::TIMESTAMP, (SELECT CAST(max(o_orderdate) AS DATE) FROM orders)::TIMESTAMP,
                                     INTERVAL 1 DAY)) AS d)""",
     "checked_sales": """
 SELECT s.*, CAST(sale_ts AS DATE) AS date_id,
@@ -168,9 +172,9 @@ SELECT event_id AS row_id, lpad(CAST(user_id AS VARCHAR), 4, '0') AS card_last4,
        strftime(CAST(ts AS DATE) - INTERVAL 270 MONTH, '%Y-%m-%d') AS posted_date
 FROM events""",
     "fin_dim_department": """
-SELECT DISTINCT 'D-' || substr(c_mktsegment, 1, 4) AS dept_id, c_mktsegment AS dept_name FROM customer""",
+SELECT DISTINCT 'D-' || c_mktsegment AS dept_id, c_mktsegment AS dept_name FROM customer""",
     "fin_dim_employee": """
-SELECT 'E' || c_custkey AS employee_id, c_name AS full_name, 'D-' || substr(c_mktsegment, 1, 4) AS dept_id FROM customer""",
+SELECT 'E' || c_custkey AS employee_id, c_name AS full_name, 'D-' || c_mktsegment AS dept_id FROM customer""",
     "fin_dim_vendor": """
 SELECT 'V' || lpad(CAST(s_suppkey AS VARCHAR), 12, '0') AS vendor_id, s_name AS canonical_name,
        CASE n_regionkey WHEN 0 THEN 'Travel' WHEN 1 THEN 'Meals' WHEN 2 THEN 'Software' WHEN 3 THEN 'Marketing'

@@ -77,10 +77,10 @@ def daily_trend(silver: DataFrame, window_days: int = 90) -> DataFrame:
 
 
 def split_by(silver: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """Spend and rows per currency, feed or another column of silver."""
+    """Spend and rows per currency, feed or another column of silver; highest spend first."""
     return silver.groupBy(F.col(column).alias(name or column)).agg(
         money_total(F.col("amount_aed")).alias("total_aed"), F.count("*").alias("txn_count")
-    )
+    ).orderBy(F.desc("total_aed"), name or column)
 
 
 def category_by_dept(silver: DataFrame, departments: DataFrame) -> DataFrame:
@@ -88,7 +88,7 @@ def category_by_dept(silver: DataFrame, departments: DataFrame) -> DataFrame:
     totals = silver.filter("category IS NOT NULL").groupBy("dept_id", "category").agg(
         money_total(F.col("amount_aed")).alias("total_aed")
     )
-    return totals.join(departments, "dept_id").select("dept_name", "category", "total_aed")
+    return totals.join(departments, "dept_id").select("dept_name", "category", "total_aed").orderBy("dept_name", "category")
 
 
 def distinct_members(rows: DataFrame) -> DataFrame:
@@ -207,14 +207,14 @@ def large_expenses(
     rows = silver.filter((F.col("category") == category) & (F.col("amount_aed") > threshold))
     return enrich(rows, employees=employees, vendors=vendors).select(
         "txn_date", F.col("employee").alias("full_name"), F.col("vendor").alias("canonical_name"), "amount_aed"
-    )
+    ).orderBy(F.desc("amount_aed"), "txn_date", "full_name", "canonical_name")
 
 
 def vendor_by_month(silver: DataFrame, vendors: DataFrame, canonical_name: str) -> DataFrame:
     wanted = vendors.filter(F.col("canonical_name") == canonical_name)
     return silver.join(wanted, "vendor_id", "left_semi").groupBy(
         year_month_label(F.col("txn_date")).alias("month_label")
-    ).agg(money_total(F.col("amount_aed")).alias("spend_aed"))
+    ).agg(money_total(F.col("amount_aed")).alias("spend_aed")).orderBy("month_label")
 
 
 def vendor_by_source(silver: DataFrame, vendor_id: str) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.schemas import FACT_SALES, MONEY, NON_NULL_KEYS, PAYLOAD, REQUIRED_KEYS, SILVER_SALES
 
@@ -19,22 +20,32 @@ ACCEPTED = "gold_inserted"
 ORPHAN = "orphaned_fk"
 
 
+def parsed_payload(text: str) -> Column:
+    """``payload``, and ``whole`` if the text is one JSON object and nothing else.
+
+    The parser stops behind the first object, so the text is read as a field of a larger one: text behind the object, or
+    single quotes, leave the field after it unread.
+    """
+    wrapped = F.concat(F.lit('{"payload":'), text, F.lit(',"whole":true}'))
+    schema = T.StructType([T.StructField("payload", PAYLOAD), T.StructField("whole", T.BooleanType())])
+    return F.from_json(wrapped, schema, {"allowSingleQuotes": "false"})
+
+
 def classify_bronze(bronze: DataFrame, *carry: str) -> DataFrame:
     """Parse each payload and say whether it may enter silver; nothing is removed.
 
     ``carry`` names further bronze columns to keep.
     """
-    keys = F.json_object_keys("payload_json")
     parsed = bronze.select(
-        "id", *carry, "payload_json", keys.alias("keys"), F.from_json("payload_json", PAYLOAD).alias("p")
+        "id", *carry, "payload_json", F.json_object_keys("payload_json").alias("keys"), parsed_payload("payload_json").alias("p")
     )
     required = F.array(*[F.lit(key) for key in REQUIRED_KEYS])
-    incomplete = F.col("keys").isNull() | (F.size(F.array_except(required, F.col("keys"))) > 0)
+    incomplete = ~F.coalesce(F.col("p.whole"), F.lit(False)) | F.col("keys").isNull() | (F.size(F.array_except(required, F.col("keys"))) > 0)
     blank = F.lit(False)
     for key in NON_NULL_KEYS:
-        blank = blank | (F.coalesce(F.col(f"p.{key}"), F.lit("")) == "")
+        blank = blank | (F.coalesce(F.col(f"p.payload.{key}"), F.lit("")) == "")
     status = F.when(incomplete, DROPPED).when(blank, NULLS).otherwise(OK)
-    return parsed.select("id", *carry, status.alias("status"), "p.*", "payload_json")
+    return parsed.select("id", *carry, status.alias("status"), "p.payload.*", "payload_json")
 
 
 def _typed(rows: DataFrame) -> DataFrame:
@@ -48,7 +59,7 @@ def _typed(rows: DataFrame) -> DataFrame:
 
 
 def _uncastable() -> Column:
-    return F.col("quantity").isNull() | F.col("unit_price").isNull() | F.col("amount").isNull()
+    return F.col("sale_ts").isNull() | F.col("quantity").isNull() | F.col("unit_price").isNull() | F.col("amount").isNull()
 
 
 def _bad_types_marked(rows: DataFrame) -> DataFrame:
@@ -56,7 +67,7 @@ def _bad_types_marked(rows: DataFrame) -> DataFrame:
 
 
 def cast_typed(rows: DataFrame) -> DataFrame:
-    """Classified rows in silver types; a valid row with an uncastable number becomes ``bad_type``."""
+    """Classified rows in silver types; a valid row with an uncastable number or time becomes ``bad_type``."""
     return _bad_types_marked(_typed(rows))
 
 

@@ -54,7 +54,7 @@ def corporate_card(events: DataFrame) -> DataFrame:
 
 def departments(customer: DataFrame) -> DataFrame:
     return customer.select(
-        F.concat(F.lit("D-"), F.substring("c_mktsegment", 1, 4)).alias("dept_id"),
+        F.concat(F.lit("D-"), F.col("c_mktsegment")).alias("dept_id"),
         F.col("c_mktsegment").alias("dept_name"),
     ).distinct()
 
@@ -63,7 +63,7 @@ def employees(customer: DataFrame) -> DataFrame:
     return customer.select(
         F.concat(F.lit("E"), F.col("c_custkey")).alias("employee_id"),
         F.col("c_name").alias("full_name"),
-        F.concat(F.lit("D-"), F.substring("c_mktsegment", 1, 4)).alias("dept_id"),
+        F.concat(F.lit("D-"), F.col("c_mktsegment")).alias("dept_id"),
     )
 
 

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from tessera.functions.dates import build_date_dim
 from tessera.sources import payloads as P
 
-# The date dimension starts a month after the first orders, so those are orphans.
-DATE_DIM_START = "1995-02-01"
-
 
 def read(spark: SparkSession, source_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{source_dir}/{name}.parquet")
@@ -101,6 +98,10 @@ def bronze_sales(sales_rows: DataFrame) -> DataFrame:
         feed("1", P.CLEAN_FEED, None,
              P.to_payload(sale_id=renamed("NEW"), product_id=F.lit("P-new"), store_id=F.lit("S-new")),
              "A", "F", 0.03, 0.02),
+        feed("1", P.CLEAN_FEED, None, P.to_payload(sale_id=renamed("OLD"), sale_ts=F.lit("1901-01-01T00:00:00")), "A", "F", 0.02, 0.01),
+        feed("1", P.CLEAN_FEED, None, P.to_payload(sale_id=renamed("TIME"), sale_ts=F.lit("hello")), "A", "F", 0.06, 0.01),
+        feed("1", P.DRIFT_FEED, P.SCHEMA_DRIFT, F.concat(clean, F.lit(" xyz")), "R", "F", 0.01, 0.08),
+        feed("1", P.DRIFT_FEED, P.SCHEMA_DRIFT, F.translate(clean, '"', "'"), "R", "F", 0.02, 0.07),
     )
     return sales_rows.select(F.explode(F.array_compact(variants)).alias("row")).select("row.*")
 
@@ -159,8 +160,9 @@ def dim_store(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> Data
 
 
 def dim_date(orders: DataFrame) -> DataFrame:
-    last = orders.agg(F.max("o_orderdate").cast("date").cast("string")).first()[0]
-    return build_date_dim(orders.sparkSession, DATE_DIM_START, last)
+    """The days from the first order to the last."""
+    day = lambda pick: pick("o_orderdate").cast("date").cast("string")
+    return build_date_dim(orders.sparkSession, *orders.agg(day(F.min), day(F.max)).first())
 
 
 def oltp_transactions(orders: DataFrame) -> DataFrame:

@@ -11,19 +11,17 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tessera.plans.retail import OK, cast_typed, classify_bronze, stage_gold
-from tessera.schemas import BRONZE_SALES, SILVER_SALES
+from tessera.plans.retail import BAD_TYPE, OK, classify_bronze, stage_gold, stage_silver
+from tessera.schemas import BRONZE_SALES
 from tessera.sources.payloads import STREAM_FEED, append_bronze
+from tessera.sources.workspace import materialize
 
 # How many rows one tick may bring.
 MIN_TICK, MAX_TICK = 1, 50
-# A copy of a sale that arrives later than this after the first is not recognised.
-DEDUPE_HORIZON = "30 days"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-# Into how many slices the copies of one sale are spread.
-SLICES = 16
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
@@ -63,23 +61,33 @@ def tick_rows(clean: DataFrame, n: int, ingested_at: Column | str) -> DataFrame:
     return append_bronze(rows, STREAM_FEED, ingested_at)
 
 
-def silver_stream(bronze: DataFrame, horizon: str = DEDUPE_HORIZON) -> DataFrame:
-    """Valid payloads, typed, one per ``sale_id`` within ``horizon`` of ingest time.
+def silver_stream(
+    bronze: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """Staged silver rows below ``path``: of each sale the first payload by ``id`` of the batch that brought it first.
 
-    Copies are dropped in two steps: within a slice of each sale's rows, then across the
-    slices. So a sale that is repeated without end is spread over tasks, and its last task
-    sees one row per slice. State is bounded by the horizon.
+    Earlier batches are asked which of the arriving sales they hold: a scan that the few arriving ids filter, without
+    state or horizon, so a sale may arrive at any time. A repeated batch replaces what it wrote before.
     """
-    valid = classify_bronze(bronze, "ingested_at").filter(F.col("status") == OK)
-    timed = valid.withColumn("event_time", F.col("ingested_at").cast("timestamp")).withColumn(
-        "slice", F.pmod(F.xxhash64("id"), F.lit(SLICES))
-    )
-    distinct = (
-        timed.withWatermark("event_time", horizon)
-        .dropDuplicatesWithinWatermark(["sale_id", "slice"])
-        .dropDuplicatesWithinWatermark(["sale_id"])
-    )
-    return cast_typed(distinct).select(*SILVER_SALES.names, "status")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        staged = stage_silver(batch)
+        if batch_id:
+            schema = T.StructType([*staged.schema.fields, T.StructField("batch", T.LongType())])
+            before = batch.sparkSession.read.schema(schema).parquet(path).filter((F.col("batch") < batch_id) & F.col("status").isin(OK, BAD_TYPE))
+            staged = materialize(staged, "arrived")
+            arrived = staged.filter(F.col("status").isin(OK, BAD_TYPE))
+            held = before.select("sale_id").join(arrived.select("sale_id"), "sale_id", "left_semi").distinct()
+            copies = arrived.join(held, "sale_id", "left_semi").select("bronze_id")
+            staged = staged.join(copies, "bronze_id", "left_anti")
+        staged.write.mode("overwrite").partitionBy("status").parquet(f"{path}/batch={batch_id}")
+
+    return _start(bronze, checkpoint, trigger).foreachBatch(write).start()
+
+
+def streamed_silver(spark: SparkSession, path: str) -> DataFrame:
+    """What the batches of a silver stream wrote."""
+    return spark.read.parquet(path).drop("batch")
 
 
 def rejects_stream(bronze: DataFrame) -> DataFrame:
@@ -111,13 +119,15 @@ def gold_stream(
 
 def live_counts(
     bronze: DataFrame, path: str, checkpoint: str, trigger: dict[str, Any] | None = None,
-    width: str = "30 days", lateness: str = DEDUPE_HORIZON,
+    width: str = "30 days",
 ) -> StreamingQuery:
-    """Rows per ingest window and status; each batch writes the counts it changed."""
+    """Rows per ingest window and status; each batch writes the counts it changed.
+
+    There is no watermark, so a late row counts; the state is one number per window and status, which the calendar bounds.
+    """
     classified = classify_bronze(bronze, "ingested_at")
     counts = (
         classified.select(F.col("ingested_at").cast("timestamp").alias("event_time"), "status")
-        .withWatermark("event_time", lateness)
         .groupBy(F.window("event_time", width).alias("window"), "status")
         .agg(F.count("*").alias("n"))
         .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"), "status", "n")

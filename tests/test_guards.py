@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tessera.functions.dates import parse_messy_date
 from tessera.functions.sqltext import BAD_LEAD, BLOCKED, EMPTY, STACKED
 from tessera.operators.rules import frequent_itemsets
 from tessera.plans.reports import run_sql
+from tessera.plans.retail import BAD_TYPE, DROPPED, OK, stage_silver
+from tessera.schemas import REQUIRED_KEYS
 from tessera.sources.retail import padded
 
 
@@ -22,6 +26,20 @@ def test_refused(spark, text, verdict):
     assert not spark.catalog.tableExists("v")
 
 
+@pytest.mark.parametrize(
+    "change, status",
+    [
+        (lambda text: text, OK), (lambda text: f" {text}\n", OK), (lambda text: text + " xyz", DROPPED), (lambda text: text + text, DROPPED),
+        (lambda text: text.replace('"', "'"), DROPPED), (lambda text: f"[{text}]", DROPPED), (lambda text: text.replace("2026-04-21T10:00:00", "hello"), BAD_TYPE),
+        (lambda text: None, DROPPED), (lambda text: "", DROPPED), (lambda text: text[:-1], DROPPED),
+    ],
+)
+def test_only_whole_json_with_a_time_enters_silver(spark, change, status):
+    sale = dict.fromkeys(REQUIRED_KEYS, "1") | {"sale_ts": "2026-04-21T10:00:00"}
+    bronze = spark.createDataFrame([("0", change(json.dumps(sale)))], "id string, payload_json string")
+    assert [r["status"] for r in stage_silver(bronze).collect()] == [status]
+
+
 def test_long_keys_are_not_cut(spark):
     row = spark.range(1).select(padded(F.lit("1234567890123"), 12).alias("long"), padded(F.lit("7"), 3).alias("short")).first()
     assert (row["long"], row["short"]) == ("1234567890123", "007")

@@ -5,11 +5,12 @@ shuffled to count words: a word that stands everywhere is one entry per chunk. T
 document becomes a sequence of model symbols.
 
 The model is a GRU in numpy. Its output is factored: first a class, then the word in the class. The most frequent words
-share ``WORD_CLASSES`` classes of ``CLASS_WORDS``; every other word belongs to a class of words of like count, length and
-script, in which it has its share of the class's training tokens. Words that training never saw are one word per class, as
-the base score has one slot for them all. Training runs on a share of all training documents, so it grows with the corpus:
-each task trains a copy by truncated backpropagation through windows of ``BPTT`` steps, states carried from window to
-window, and the copies are averaged after each of ``ROUNDS`` rounds. Scoring carries the state through the whole document.
+share classes of ``CLASS_WORDS``, whose number grows with the square root of the distinct words (``word_classes``); every
+other word belongs to a class of words of like count, length and script, in which it has its share of the class's training
+tokens. Words that training never saw are one word per class, as the base score has one slot for them all. Training reads
+every training document once, at every size: each task trains a copy by truncated backpropagation through windows of
+``BPTT`` steps, states carried from window to window and started anew at each document, and the copies are averaged after
+each of ``ROUNDS`` rounds, which share a task's documents among them. Scoring carries the state through the whole document.
 
 Defined results. Null and empty texts are one end token. A null doc_id counts as empty text in the fold. Without any
 training document all counts are 0 and every word is new. Repeated rows are scored alike, ties in frequency are broken by
@@ -33,22 +34,31 @@ from tessera.llm.sketches import HASHED_BYTES
 from tessera.sources.workspace import materialize
 
 CHUNK_BYTES = 8 << 20
-#: Share of the training documents that the network learns from, and the tokens it learns from at least where there are as many.
-SHARE, LEAST_TOKENS = 1 / 16, 2_000_000
+#: Classes of frequent words at least, and words in each.
 WORD_CLASSES, CLASS_WORDS = 32, 32
 BANDS = 24
 KINDS = 4  # short or long, ASCII or not
 LONG = 7
-HIDDEN, BPTT, ROUNDS, STREAMS, RATE = 16, 16, 3, 64, 0.02
-#: Training tokens of one task.
-SHARD_TOKENS = 400_000
+HIDDEN, BPTT, ROUNDS, STREAMS, RATE = 16, 16, 3, 128, 0.02
+#: Training tokens of one task, and those it lays out at a time.
+SHARD_TOKENS, LAID_TOKENS = 1_600_000, 400_000
+#: Numbers of the model that are averaged together.
+SLICE = 256
 END = np.uint64(0x2545F4914F6CDD1C)
+#: Frequent words and inputs (these words, the other classes, and the start) of the smallest model.
 FREQUENT = WORD_CLASSES * CLASS_WORDS
-CLASSES = WORD_CLASSES + BANDS * KINDS
-#: Inputs: frequent words, the other classes, and the start.
 SYMBOLS = FREQUENT + BANDS * KINDS + 1
 
 
+def word_classes(distinct: int) -> int:
+    """Classes of frequent words: the power of two from a sixteenth of the root of the distinct words on."""
+    return max(WORD_CLASSES, 1 << max(0, int(np.ceil(np.log2(np.sqrt(max(distinct, 1)) / 16)))))
+
+
+def symbol_type(classes: int) -> type:
+    return np.int16 if classes * CLASS_WORDS + BANDS * KINDS < 1 << 15 else np.int32
+
+
 def band(counts: np.ndarray) -> np.ndarray:
     """0 for new words, then one band for each doubling of the count."""
     return np.minimum(np.where(counts > 0, np.floor(np.log2(np.maximum(counts, 1))) + 1, 0), BANDS - 1).astype(np.int64)
@@ -148,7 +158,7 @@ def statistics(counts: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray, np.
         for batch in batches:
             for words, found in zip(batch.column("words"), batch.column("counts"), strict=True):
                 words, found = np.frombuffer(words.as_py(), np.int64), np.frombuffer(found.as_py(), np.int64)
-                top = np.lexsort((words, -found))[:FREQUENT]
+                top = np.lexsort((words, -found))[:frequent]
                 top = top[found[top] > 0]
                 yield pa.RecordBatch.from_arrays([pa.array(words[top]), pa.array(found[top])], names=["word", "n"])
 
@@ -160,7 +170,8 @@ def statistics(counts: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray, np.
         rare[r["class"]] = r["tokens"]
         distinct += r["words"]
     tokens = int(rare.sum())
-    top = own.mapInArrow(best, "word long, n long").orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    frequent = word_classes(distinct) * CLASS_WORDS
+    top = own.mapInArrow(best, "word long, n long").orderBy(F.desc("n"), "word").limit(frequent).collect()
     words = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     n = np.array([r["n"] for r in top], np.int64)
     np.subtract.at(rare, band(n) * KINDS + (words & np.uint64(3)).astype(np.int64), n)
@@ -168,8 +179,10 @@ def statistics(counts: DataFrame) -> tuple[int, int, np.ndarray, np.ndarray, np.
 
 
 def sequences(chunks: DataFrame, counts: DataFrame, found: tuple) -> DataFrame:
-    """One row per document: the counts and scores that need no network, and its symbols (int16)."""
+    """One row per document: the counts and scores that need no network, and its symbols."""
     tokens, distinct, words, _, rare = found
+    classes = word_classes(distinct)
+    kinds_from, kept_as = classes * CLASS_WORDS, symbol_type(classes)
     shared = chunks.sparkSession.sparkContext.broadcast((words.tobytes(), rare.tolist()))
     denominator = float(tokens + distinct + 1)
 
@@ -186,20 +199,20 @@ def sequences(chunks: DataFrame, counts: DataFrame, found: tuple) -> DataFrame:
                 place = by_hash[at] if len(frequent) else np.zeros(len(own), np.int64)
                 is_frequent = frequent[place] == own if len(frequent) else np.zeros(len(own), bool)
                 kind = band(count) * KINDS + (own & np.uint64(3)).astype(np.int64)
-                symbol = np.where(is_frequent, place, FREQUENT + kind).astype(np.int16)
+                symbol = np.where(is_frequent, place, kinds_from + kind).astype(kept_as)
                 inside = np.where(is_frequent | (count == 0), 0.0, np.log10(np.maximum(count, 1) / class_tokens[kind]))
                 base = np.log10((count + 1) / denominator)
                 ids = np.frombuffer(row["ids"], np.int32)
                 lengths = np.array(row["lengths"], np.int64)
                 bounds = np.concatenate([[0], np.cumsum(lengths)])
-                packed = symbol[ids].tobytes()
+                packed, width = symbol[ids].tobytes(), symbol.itemsize
                 sums = [np.add.reduceat(x[ids], bounds[:-1]) for x in ((count > 0).astype(np.int64), base, inside)]
                 n = len(lengths)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([None if d == -(1 << 63) else d for d in row["doc_ids"]], pa.int64()), pa.array([not x for x in row["learns"]], pa.bool_()),
                         pa.array(lengths), pa.array(sums[0]), pa.array(np.full(n, tokens, np.int64)), pa.array(sums[1]), pa.array(sums[2]),
-                        pa.array([packed[2 * a : 2 * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()),
+                        pa.array([packed[width * a : width * b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)], pa.binary()),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "inside", "symbols"],
                 )
@@ -212,17 +225,17 @@ def sequences(chunks: DataFrame, counts: DataFrame, found: tuple) -> DataFrame:
 # ---- the network
 
 
-def fresh(counts: np.ndarray, rare: np.ndarray) -> dict[str, np.ndarray]:
+def fresh(counts: np.ndarray, rare: np.ndarray, classes: int = WORD_CLASSES) -> dict[str, np.ndarray]:
     """Small random weights; output biases start at the unigram chances."""
     rng = np.random.default_rng(5)
     near = lambda *shape, by=0.3: (rng.standard_normal(shape) * by).astype(np.float32)
-    full = np.zeros(FREQUENT, np.float64)
+    full = np.zeros(classes * CLASS_WORDS, np.float64)
     full[: len(counts)] = counts
-    grid = full.reshape(WORD_CLASSES, CLASS_WORDS) + 0.5
-    classes = np.concatenate([grid.sum(1), rare + 0.5])
+    grid = full.reshape(classes, CLASS_WORDS) + 0.5
+    every = np.concatenate([grid.sum(1), rare + 0.5])
     return {
-        "input": near(SYMBOLS, 3 * HIDDEN), "own": near(HIDDEN, 3 * HIDDEN, by=1 / np.sqrt(HIDDEN)), "class": near(HIDDEN, CLASSES, by=0.1),
-        "class_bias": np.log(classes / classes.sum()).astype(np.float32), "word": near(WORD_CLASSES, HIDDEN, CLASS_WORDS, by=0.1),
+        "input": near(len(full) + len(rare) + 1, 3 * HIDDEN), "own": near(HIDDEN, 3 * HIDDEN, by=1 / np.sqrt(HIDDEN)), "class": near(HIDDEN, len(every), by=0.1),
+        "class_bias": np.log(every / every.sum()).astype(np.float32), "word": near(classes, HIDDEN, CLASS_WORDS, by=0.1),
         "word_bias": np.log(grid / grid.sum(1, keepdims=True)).astype(np.float32),
     }
 
@@ -231,8 +244,8 @@ def packed(model: dict) -> np.ndarray:
     return np.concatenate([model[k].ravel() for k in sorted(model)])
 
 
-def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
-    shapes = {k: v.shape for k, v in fresh(np.zeros(0), np.zeros(BANDS * KINDS)).items()}
+def unpacked(flat: np.ndarray, classes: int = WORD_CLASSES) -> dict[str, np.ndarray]:
+    shapes = {k: v.shape for k, v in fresh(np.zeros(0), np.zeros(BANDS * KINDS), classes).items()}
     out, at = {}, 0
     for k in sorted(shapes):
         size = int(np.prod(shapes[k]))
@@ -246,12 +259,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def gru(model: dict, symbols: np.ndarray, h: np.ndarray, keep: bool = False):
-    """States before each step (T, B, H), the last state, and what the gradient needs. ``symbols`` (T, B) are consumed."""
+    """States after each step (T, B, H), the last state, and what the gradient needs. ``symbols`` (T, B) are consumed.
+
+    The start symbol, the last one, empties the state.
+    """
     own = model["own"]
-    states = np.empty((len(symbols), *h.shape), np.float32)
+    states = np.empty((len(symbols), *h.shape), model["own"].dtype)
+    begins = symbols == len(model["input"]) - 1
+    some = begins.any(1)
+    given = model["input"][symbols]
     kept = []
-    for t, at in enumerate(symbols):
-        x = model["input"][at]
+    for t, x in enumerate(given):
+        if some[t]:
+            h = h * ~begins[t][:, None]
         through = h @ own
         gates = sigmoid(x[:, : 2 * HIDDEN] + through[:, : 2 * HIDDEN])
         z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
@@ -263,26 +283,45 @@ def gru(model: dict, symbols: np.ndarray, h: np.ndarray, keep: bool = False):
     return states, h, kept
 
 
-def class_of(targets: np.ndarray) -> np.ndarray:
-    return np.where(targets < FREQUENT, targets // CLASS_WORDS, targets - FREQUENT + WORD_CLASSES)
+def class_of(targets: np.ndarray, classes: int) -> np.ndarray:
+    frequent = classes * CLASS_WORDS
+    return np.where(targets < frequent, targets // CLASS_WORDS, targets - frequent + classes)
+
+
+def chosen(x: np.ndarray, at: np.ndarray, slope: bool = False) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log-softmax of each row at one place, and its negative's gradient; ``x`` is used up."""
+    rows = np.arange(len(x))
+    x -= x.max(1, keepdims=True)
+    out = x[rows, at]
+    np.exp(x, out=x)
+    total = x.sum(1)
+    out = out - np.log(total)
+    if slope:
+        x /= total[:, None]
+        x[rows, at] -= 1
+    return out, x
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    x -= np.log(np.exp(x).sum(1, keepdims=True))
-    return x
+def in_classes(model: dict, states: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
+    """Places of the frequent words in order of their classes, their states, (class, first, end) of each run, and the scores in the class."""
+    words = len(model["word"])
+    order = np.argsort(classes, kind="stable")
+    bounds = np.searchsorted(classes[order], np.arange(words + 1))
+    order = order[: bounds[-1]]
+    runs = [(c, bounds[c], bounds[c + 1]) for c in np.flatnonzero(np.diff(bounds)).tolist()]
+    own = states[order]
+    x = model["word_bias"][classes[order]]
+    for c, a, b in runs:
+        x[a:b] += own[a:b] @ model["word"][c]
+    return order, own, runs, x
 
 
 def log_chances(model: dict, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of the chance of each target: its class, then its place in a class of frequent words."""
-    classes = class_of(targets)
-    out = log_softmax(states @ model["class"] + model["class_bias"])[np.arange(len(targets)), classes]
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(WORD_CLASSES + 1))
-    for c in np.flatnonzero(np.diff(bounds)):
-        at = order[bounds[c] : bounds[c + 1]]
-        own = log_softmax(states[at] @ model["word"][c] + model["word_bias"][c])
-        out[at] += own[np.arange(len(at)), targets[at] % CLASS_WORDS]
+    classes = class_of(targets, len(model["word"]))
+    out, _ = chosen(states @ model["class"] + model["class_bias"], classes)
+    order, _, _, x = in_classes(model, states, classes)
+    out[order] += chosen(x, targets[order] % CLASS_WORDS)[0]
     return out
 
 
@@ -292,89 +331,128 @@ def gradients(model: dict, inputs: np.ndarray, targets: np.ndarray, real: np.nda
     grads = {k: np.zeros_like(v) for k, v in model.items()}
     flat, goal, counts = states.reshape(-1, HIDDEN), targets.ravel(), real.ravel()
     n = max(1, counts.sum())
-    classes = class_of(goal)
-    rows = np.arange(len(goal))
-    chances = log_softmax(flat @ model["class"] + model["class_bias"])
-    loss = -(chances[rows, classes] * counts).sum()
-    d = np.exp(chances)
-    d[rows, classes] -= 1
+    classes = class_of(goal, len(model["word"]))
+    chances, d = chosen(flat @ model["class"] + model["class_bias"], classes, True)
+    loss = -(chances * counts).sum()
     d *= (counts / n)[:, None]
     grads["class"] += flat.T @ d
     grads["class_bias"] += d.sum(0)
     d_flat = d @ model["class"].T
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(WORD_CLASSES + 1))
-    for c in np.flatnonzero(np.diff(bounds)):
-        at = order[bounds[c] : bounds[c + 1]]
-        own = log_softmax(flat[at] @ model["word"][c] + model["word_bias"][c])
-        place = goal[at] % CLASS_WORDS
-        loss -= (own[np.arange(len(at)), place] * counts[at]).sum()
-        d = np.exp(own)
-        d[np.arange(len(at)), place] -= 1
-        d *= (counts[at] / n)[:, None]
-        grads["word"][c] += flat[at].T @ d
-        grads["word_bias"][c] += d.sum(0)
-        d_flat[at] += d @ model["word"][c].T
+    order, own, runs, x = in_classes(model, flat, classes)
+    chances, d = chosen(x, goal[order] % CLASS_WORDS, True)
+    loss -= (chances * counts[order]).sum()
+    d *= (counts[order] / n)[:, None]
+    d_own = np.empty_like(own)
+    for c, a, b in runs:
+        grads["word"][c] = own[a:b].T @ d[a:b]
+        grads["word_bias"][c] = d[a:b].sum(0)
+        d_own[a:b] = d[a:b] @ model["word"][c].T
+    d_flat[order] += d_own
     d_states = d_flat.reshape(states.shape)
-    d_h = np.zeros_like(h)
+    begins = inputs == len(model["input"]) - 1
+    some = begins.any(1)
+    back = model["own"].T.copy()
+    d_given, d_through = (np.empty((*states.shape[:2], 3 * HIDDEN), states.dtype) for _ in range(2))
+    d_h = np.zeros_like(states[0])
     for t in range(len(inputs) - 1, -1, -1):
         before, z, r, new, through = kept[t]
         d_h = d_h + d_states[t]
-        d_new = d_h * (1 - z) * (1 - new**2)
-        d_gates = np.concatenate([d_h * (before - new) * z * (1 - z), d_new * through * r * (1 - r)], 1)
-        np.add.at(grads["input"], inputs[t], np.concatenate([d_gates, d_new], 1))
-        d_through = np.concatenate([d_gates, d_new * r], 1)
-        grads["own"] += before.T @ d_through
-        d_h = d_h * z + d_through @ model["own"].T
+        kept_part = d_h * z
+        d_new = (d_h - kept_part) * (1 - new * new)
+        d_given[t, :, :HIDDEN] = kept_part * (before - new) * (1 - z)
+        d_given[t, :, HIDDEN : 2 * HIDDEN] = d_new * through * r * (1 - r)
+        d_given[t, :, 2 * HIDDEN :] = d_new
+        d_through[t] = d_given[t]
+        d_through[t, :, 2 * HIDDEN :] *= r
+        d_h = kept_part + d_through[t] @ back
+        if some[t]:
+            d_h = d_h * ~begins[t][:, None]
+    grads["own"] += np.concatenate([k[0] for k in kept]).T @ d_through.reshape(-1, 3 * HIDDEN)
+    used = inputs.ravel()
+    order = np.argsort(used, kind="stable")
+    firsts = np.flatnonzero(np.diff(used[order], prepend=-1))
+    grads["input"][used[order][firsts]] = np.add.reduceat(d_given.reshape(-1, 3 * HIDDEN)[order], firsts, axis=0)
     return grads, last, float(loss / n)
 
 
-def learned(model: dict, documents: list[np.ndarray]) -> tuple[dict, float]:
-    """Adagrad over the documents as ``STREAMS`` parallel streams; a stream's state starts anew with each document."""
-    tokens = np.concatenate(documents).astype(np.int64)
-    fresh_doc = np.zeros(len(tokens), bool)
-    fresh_doc[np.concatenate([[0], np.cumsum([len(d) for d in documents])[:-1]])] = True
-    inputs = np.where(fresh_doc, SYMBOLS - 1, np.append(0, tokens[:-1]))
+def learned(model: dict, square: dict, documents: list[np.ndarray]) -> float:
+    """Adagrad in place over the documents as ``STREAMS`` parallel streams; a stream's state starts anew with each document. The mean loss."""
+    start, words = len(model["input"]) - 1, len(model["word"])
+    tokens = np.concatenate(documents)
+    inputs = np.empty(len(tokens), tokens.dtype)
+    inputs[1:] = tokens[:-1]
+    inputs[np.concatenate([[0], np.cumsum([len(d) for d in documents])[:-1]])] = start
     steps = -(-len(tokens) // STREAMS)
     pad = steps * STREAMS - len(tokens)
     lay = lambda x: np.append(x, np.zeros(pad, x.dtype)).reshape(STREAMS, steps).T
-    real, goal, given, starts = lay(np.ones(len(tokens), np.float32)), lay(tokens), lay(inputs), lay(fresh_doc)
-    model = {k: v.copy() for k, v in model.items()}
-    square = {k: np.full_like(v, 1e-6) for k, v in model.items()}
+    real, goal, given = lay(np.ones(len(tokens), np.float32)), lay(tokens), lay(inputs)
     h = np.zeros((STREAMS, HIDDEN), np.float32)
     total = 0.0
     for first in range(0, steps, BPTT):
         part = slice(first, first + BPTT)
-        h = h * ~starts[first][:, None]
         grads, h, loss = gradients(model, given[part], goal[part], real[part], h)
         total += loss * float(real[part].sum())
+        met = class_of(np.unique(goal[part]), words)
+        met = np.unique(met[met < words])
+        # Rows that the window doesn't meet have no gradient.
+        rows = {"input": np.unique(given[part]), "word": met, "word_bias": met}
         for k, g in grads.items():
-            square[k] += g * g
-            model[k] -= RATE * g / np.sqrt(square[k])
-    return model, total / len(tokens)
+            at = rows.get(k, slice(None))
+            g = g[at]
+            square[k][at] += g * g
+            model[k][at] -= RATE * g / np.sqrt(square[k][at])
+    return total / len(tokens)
 
 
 def trained(rows: DataFrame, tokens: int, model: dict) -> dict:
-    """Rounds of local training on shards of (doc_id, symbols), each followed by the mean of the copies by tokens."""
+    """Rounds of local training on shards of (doc_id, symbols), each followed by the mean of the copies by tokens.
+
+    Each round has its own documents of every shard, so all are learned once.
+    """
     spark = rows.sparkSession
     shards = max(1, -(-tokens // SHARD_TOKENS))
     dealt = materialize(rows.repartition(shards, F.xxhash64("doc_id", "symbols")).sortWithinPartitions("doc_id", "symbols"), "shards")
-    size = len(packed(model))
-    for _ in range(ROUNDS):
+    size, classes = len(packed(model)), len(model["word"])
+    kept_as = symbol_type(classes)
+
+    def mean(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["n", "x"])
+        n = group["n"].to_numpy()
+        sums = sum(np.frombuffer(x, np.float32).astype(np.float64) * w for x, w in zip(group["x"], n, strict=True))
+        return pd.DataFrame({"at": group["at"].iloc[:1], "x": [(sums / n.sum()).round(6).astype(np.float32).tobytes()]})
+
+    for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(packed(model))
 
-        def learn(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            documents = [np.frombuffer(s.as_py(), np.int16) for batch in batches for s in batch.column("symbols")]
-            if documents:
-                own, _ = learned(unpacked(shared.value), documents)
-                weight = float(sum(map(len, documents)))
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(size), pa.int32()), pa.array(packed(own).astype(np.float64) * weight), pa.array(np.full(size, weight))], names=["at", "x", "n"])
+        def learn(batches: Iterator[pa.RecordBatch], shared=shared, turn=turn) -> Iterator[pa.RecordBatch]:
+            own = unpacked(shared.value, classes)
+            square = {k: np.full_like(v, 1e-6) for k, v in own.items()}
+            held: list[np.ndarray] = []
+            place, laid, weight = 0, 0, 0
+            for batch in batches:
+                for symbols in batch.column("symbols"):
+                    place += 1
+                    if place % ROUNDS == turn:
+                        held.append(np.frombuffer(symbols.as_py(), kept_as))
+                        laid += len(held[-1])
+                        if laid >= LAID_TOKENS:
+                            learned(own, square, held)
+                            held, laid, weight = [], 0, weight + laid
+            if held:
+                learned(own, square, held)
+                weight += laid
+            if weight:
+                flat = packed(own).astype(np.float32)
+                firsts = range(0, size, SLICE)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(firsts, pa.int32()), pa.array([flat[a : a + SLICE].tobytes() for a in firsts], pa.binary()), pa.array([float(weight)] * len(firsts))], names=["at", "x", "n"]
+                )
 
-        means = dealt.select("symbols").mapInArrow(learn, "at int, x double, n double").groupBy("at").agg((F.sum("x") / F.sum("n")).alias("x")).collect()
+        means = dealt.select("symbols").mapInArrow(learn, "at int, x binary, n double").groupBy("at").applyInPandas(mean, "at int, x binary").collect()
         flat = packed(model)
         for r in means:
-            flat[r["at"]] = round(r["x"], 6)
-        model = unpacked(flat)
+            flat[r["at"] : r["at"] + SLICE] = np.frombuffer(r["x"], np.float32)
+        model = unpacked(flat, classes)
     return model
 
 
@@ -386,7 +464,7 @@ def score_documents(model: dict, documents: list[np.ndarray], at_once: int = 512
         batch = order[first : first + at_once]
         sizes = np.array([len(documents[i]) for i in batch])
         h = np.zeros((len(batch), HIDDEN), np.float32)
-        before = np.full(len(batch), SYMBOLS - 1)
+        before = np.full(len(batch), len(model["input"]) - 1)
         start = 0
         while start < sizes[0]:
             active = int(np.searchsorted(-sizes, -start, "left"))
@@ -414,17 +492,17 @@ def scored(docs: DataFrame) -> DataFrame:
     counts = materialize(counted(chunks, parts), "counts")
     found = statistics(counts)
     rows = materialize(sequences(chunks, counts, found), "sequences")
-    tokens, _, _, frequent, rare = found
-    share = min(1.0, max(SHARE, LEAST_TOKENS / max(1, tokens)))
-    learns = rows.filter(~F.col("held_out") & (F.pmod(F.xxhash64("doc_id", "symbols", F.lit(13)), F.lit(1 << 30)) / float(1 << 30) < share))
-    model = trained(learns.select("doc_id", "symbols"), int(tokens * share), fresh(frequent, rare))
+    tokens, distinct, _, frequent, rare = found
+    classes = word_classes(distinct)
+    kept_as = symbol_type(classes)
+    model = trained(rows.filter(~F.col("held_out")).select("doc_id", "symbols"), tokens, fresh(frequent, rare, classes))
     shared = spark.sparkContext.broadcast(packed(model))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here = unpacked(shared.value)
+        here = unpacked(shared.value, classes)
         for batch in batches:
             if batch.num_rows:
-                own = score_documents(here, [np.frombuffer(s.as_py(), np.int16) for s in batch.column("symbols")])
+                own = score_documents(here, [np.frombuffer(s.as_py(), kept_as) for s in batch.column("symbols")])
                 total = own / np.log(10) + np.asarray(batch.column("inside"))
                 names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"]
                 yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(total)], names=[*names, "score"])

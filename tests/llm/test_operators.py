@@ -414,6 +414,38 @@ def test_language_model_beats_the_base_on_held_out_documents(spark):
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def test_language_model_learns_every_training_document(docs, rows, monkeypatch):
+    found, learns = lm.statistics, []
+    # As in a corpus of 64 million training tokens.
+    monkeypatch.setattr(lm, "statistics", lambda counts: (64_000_000, *found(counts)[1:]))
+    monkeypatch.setattr(lm, "trained", lambda rows, tokens, model: learns.append((rows.count(), tokens)) or model)
+    lm.scored(docs).count()
+    assert learns == [(sum(zlib.crc32(("" if r[0] is None else str(r[0])).encode()) % 7 != 2 for r in rows), 64_000_000)]
+
+
+def test_language_model_has_more_word_classes_for_more_words():
+    assert [lm.word_classes(n) for n in (0, 262_144, 262_145, 4_000_000)] == [32, 32, 64, 128]
+    assert lm.symbol_type(512) is np.int16 and lm.symbol_type(1024) is np.int32
+    classes = lm.word_classes(4_000_000)
+    model = lm.unpacked(lm.packed(lm.fresh(np.arange(3000, 0, -1), np.ones(lm.BANDS * lm.KINDS), classes)), classes)
+    every = np.arange(classes * lm.CLASS_WORDS + lm.BANDS * lm.KINDS)
+    state = np.full((1, lm.HIDDEN), 0.3, np.float32)
+    assert np.isclose(np.exp(lm.log_chances(model, np.repeat(state, len(every), 0), every)).sum(), 1, rtol=1e-3)
+    assert np.isfinite(lm.score_documents(model, [every[::-7].astype(np.int16)])[0])
+
+
+def test_language_model_starts_anew_at_each_document_inside_a_window():
+    model = lm.fresh(np.ones(lm.FREQUENT), np.ones(lm.BANDS * lm.KINDS))
+    empty, first = np.zeros((1, lm.HIDDEN), np.float32), lm.SYMBOLS - 1
+    both, last, _ = lm.gru(model, np.array([[first], [5], [9], [first], [7]]), empty)
+    alone, own, _ = lm.gru(model, np.array([[first], [7]]), empty)
+    assert np.allclose(both[3:], alone) and np.allclose(last, own)
+    # The gradient stops there too: the words before do not matter to the second document's loss.
+    goal, real = np.array([[5], [9], [3], [7], [2]]), np.array([[0], [0], [0], [1], [1]])
+    grads, _, _ = lm.gradients(model, np.array([[first], [5], [9], [first], [7]]), goal, real, empty)
+    assert not grads["input"][[5, 9]].any() and grads["input"][[first, 7]].any()
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 

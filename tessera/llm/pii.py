@@ -4,8 +4,9 @@ The network is trained in numpy on windows with labelled spans. Labels are the b
 the corpus (about ``TRAIN_DOCS`` documents by hash, ``TRAIN_WINDOWS`` windows), each window also with the spans written in
 ways the patterns miss ("name at host dot com", bracketed or dotted telephone numbers, spaced addresses). Every place where
 a span of any kind could stand holds a digit or an @ or a written-out at; overlapping windows cover all of these places.
-Windows are decoded by Viterbi, spans cut off by a window's edge are left to the next window, and all proposals of a text
-are reconciled globally: base spans stay, the rest is the set of disjoint valid proposals with the highest total score.
+Windows are decoded by Viterbi, and what a window's edge cuts off is decoded again in wider windows until it is whole. All
+proposals of a text are reconciled globally: base spans stay, the rest is the set of disjoint valid proposals with the
+highest total score. Of a card and a telephone number in the same place the card stays.
 
 Defined results. Null and empty texts hold nothing. Offsets are code points, ends exclusive. Base matches that fail their
 test are dropped without a retry. Repeated rows are scanned alike; an empty table gives an empty table, and a corpus
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -94,14 +96,14 @@ def valid(kind: int, text: str) -> bool:
         return False
     digits = only_digits(text)
     if kind == 0:
-        return bool(re.fullmatch(r"[\w.%+-]+ ?(?:@|\(at\)|\[at\]| at ) ?[\w-]+(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[\w-]+)+", text))
+        return bool(re.fullmatch(r"[\w.%+-]+(?: ?(?:\(dot\)|\[dot\]| dot ) ?[\w.%+-]+)* ?(?:@|\(at\)|\[at\]| at ) ?[\w-]+(?: ?(?:\.|\(dot\)|\[dot\]| dot ) ?[\w-]+)+", text))
     if kind == 1:
         parts = DIGITS.sub("0", text)
         numbers = re.findall(r"[0-9]+", text)
         return len(numbers) == 4 and not re.search(r"[^0.\[\] ]", parts) and all(len(n) <= 3 and int(n) <= 255 for n in numbers) and "." in text
     if kind == 2:
         return 13 <= len(digits) <= 19 and luhn(digits) and not re.search(r"[^0-9 .-]", text)
-    return 9 <= len(digits) <= 15 and len(re.findall(r"[0-9]+", text)) > 1 and not re.search(r"[^0-9+(). /-]", text) and not luhn(digits)
+    return 9 <= len(digits) <= 15 and len(re.findall(r"[0-9]+", text)) > 1 and not re.search(r"[^0-9+(). /-]", text)
 
 
 # ---- the network
@@ -261,22 +263,23 @@ def trained(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: i
 
 def decoded(model: dict, texts: list[str]) -> list[list[tuple[int, int, int, float]]]:
     """Spans (kind, start, end, margin) of each window by Viterbi; the margin is over the tags' scores for nothing."""
-    chars = np.full((len(texts), WINDOW), SYMBOLS - 1, np.int64)
     sizes = [len(t) for t in texts]
+    width = max(WINDOW, *sizes, 0)
+    chars = np.full((len(texts), width), SYMBOLS - 1, np.int64)
     for row, text in enumerate(texts):
         chars[row, : len(text)] = codes(text)
     scores, _ = emissions(model, chars)
     move = model["move"]
     best, back = scores[0], np.empty(scores.shape, np.int8)
-    for t in range(1, WINDOW):
+    for t in range(1, width):
         through = best[:, :, None] + move
         back[t] = through.argmax(1)
         best = through.max(1) + scores[t]
     # Padding follows the text, so the path may be read from any end; it is cut to the text.
-    path = np.empty((WINDOW, len(texts)), np.int8)
+    path = np.empty((width, len(texts)), np.int8)
     path[-1] = best.argmax(1)
     rows = np.arange(len(texts))
-    for t in range(WINDOW - 1, 0, -1):
+    for t in range(width - 1, 0, -1):
         path[t - 1] = back[t][rows, path[t]]
     margin = np.take_along_axis(scores, path[:, :, None].astype(np.int64), 2)[:, :, 0] - scores[:, :, 0]
     out = []
@@ -314,6 +317,29 @@ def window_starts(text: str) -> list[int]:
     return starts
 
 
+def possible(kind: int, piece: str) -> bool:
+    """Whether a cut span can still become one of its kind."""
+    if kind == 0:
+        return not re.search(r"[^\w.%+@()\[\] -]", piece)
+    return len(only_digits(piece)) <= (12, 19, 15)[kind - 1] and not re.search((r"[^0-9.\[\] ]", r"[^0-9 .-]", r"[^0-9+(). /-]")[kind - 1], piece)
+
+
+def inside(text: str, starts: list[int], a: int, b: int) -> bool:
+    """Whether a usual window holds a cut span with what follows on both sides, and so decides on it."""
+    at = (bisect_left if a > line_start(text, a) else bisect_right)(starts, a) - 1
+    return at >= 0 and (starts[at] + WINDOW > b or b == line_end(text, b) <= starts[at] + WINDOW)
+
+
+def line_start(text: str, at: int) -> int:
+    """No span goes beyond its line."""
+    return text.rfind("\n", 0, at) + 1
+
+
+def line_end(text: str, at: int) -> int:
+    found = text.find("\n", at)
+    return len(text) if found < 0 else found
+
+
 def reconciled(base: list[Span], proposals: dict[Span, float]) -> list[Span]:
     """Base spans, and the disjoint proposals with the highest total score that touch none of them."""
     taken = sorted((a, b) for _, a, b in base)
@@ -346,18 +372,43 @@ def reconciled(base: list[Span], proposals: dict[Span, float]) -> list[Span]:
 def all_spans(model: dict, texts: list[str], at_once: int = 512) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text."""
     base = [base_spans(t) for t in texts]
-    windows = [(row, start) for row, t in enumerate(texts) for start in window_starts(t)]
+    usual = [window_starts(t) for t in texts]
+    windows = [(row, start, min(start + WINDOW, len(t))) for row, t in enumerate(texts) for start in usual[row]]
     proposals: list[dict[Span, float]] = [{} for _ in texts]
-    for first in range(0, len(windows), at_once):
-        part = windows[first : first + at_once]
-        cut = [texts[row][start : start + WINDOW] for row, start in part]
-        for (row, start), text, found in zip(part, cut, decoded(model, cut), strict=True):
-            size = len(texts[row])
-            for kind, a, b, margin in found:
-                whole = (a > 0 or start == 0) and (b < len(text) or start + b == size)
-                if whole and margin >= LEAST_MARGIN and valid(kind, text[a:b]):
-                    span = (kind, start + a, start + b)
-                    proposals[row][span] = proposals[row].get(span, 0.0) + margin * (b - a)
+    margin_by = STEP
+    while windows:
+        wider: list[tuple[int, int, int]] = []
+        # Windows of like width go together, about ``at_once`` usual ones at a time.
+        windows.sort(key=lambda w: w[2] - w[1])
+        first = 0
+        while first < len(windows):
+            last = first + 1
+            while last < len(windows) and (last + 1 - first) * max(WINDOW, windows[last][2] - windows[last][1]) <= at_once * WINDOW:
+                last += 1
+            part = windows[first:last]
+            for (row, start, end), found in zip(part, decoded(model, [texts[row][start:end] for row, start, end in part]), strict=True):
+                text = texts[row]
+                for kind, a, b, margin in found:
+                    a, b = start + a, start + b
+                    left, right = a == start > line_start(text, a), b == end < line_end(text, b)
+                    if left or right:
+                        if possible(kind, text[a:b]) and not inside(text, usual[row], a, b):
+                            wider.append((row, max(line_start(text, a), a - margin_by), min(line_end(text, b), b + margin_by)))
+                    elif margin >= LEAST_MARGIN and valid(kind, text[a:b]):
+                        span = (kind, a, b)
+                        proposals[row][span] = proposals[row].get(span, 0.0) + margin * (b - a)
+            first = last
+        # Windows that meet become one and the margin doubles, so a long run costs its length a few times.
+        windows = []
+        for row, start, end in sorted(wider):
+            if windows and windows[-1][0] == row and start <= windows[-1][2]:
+                windows[-1] = (row, windows[-1][1], max(end, windows[-1][2]))
+            else:
+                windows.append((row, start, end))
+        margin_by *= 2
+    for found in proposals:
+        for _, a, b in [s for s in found if s[0] == 3 and (2, *s[1:]) in found]:
+            del found[3, a, b]
     return [(b, reconciled(b, p) if p else sorted(b)) for b, p in zip(base, proposals, strict=True)]
 
 

@@ -230,6 +230,28 @@ def test_network_learns_variants_and_its_gradient_is_right():
         assert math.isclose((sides[0] - sides[1]) / 2e-2, grads[name][at], rel_tol=0.05, abs_tol=2e-3)
 
 
+def test_written_out_dots_and_luhn_phones_are_valid():
+    assert all(pii.valid(0, t) for t in ("john dot smith at host dot com", "john[dot]smith[at]host[dot]com", "john (dot) b.smith (at) host.com"))
+    assert not any(pii.valid(0, t) for t in ("john smith at host dot com", "john dot at host dot com", "john dot smith"))
+    numbers = [f"(555) 123-{n}" for n in range(4000, 4100)]
+    assert {pii.luhn(pii.only_digits(n)) for n in numbers} == {True, False} and all(pii.valid(3, n) for n in numbers)
+
+
+def test_spans_cut_by_a_window_are_decoded_whole(monkeypatch):
+    pattern, kinds = r"[a-z().]+", [0]
+    monkeypatch.setattr(pii, "decoded", lambda model, texts: [[(k, *m.span(), 9.0) for m in re.finditer(pattern, t) for k in kinds] for t in texts])
+    for local in (1, 23, 24, 60, 300):
+        for host in (1, 24, 90, 400):
+            name = "n" * local + "(at)" + "h" * host + ".com"
+            for lead in ("", "LINE\n", "UP " * 50):
+                text = f"{lead}{name}{' NO' * 50}"
+                assert pii.all_spans({}, [text, name]) == [([], [(0, len(lead), len(lead) + len(name))]), ([], [(0, 0, len(name))])], (local, host, lead)
+    # A long run that is nothing ends, and a card wins over a telephone number in its place.
+    assert pii.all_spans({}, ["(at)" * 5000]) == [([], [])]
+    pattern, kinds = r"[0-9.]+", [2, 3]
+    assert pii.all_spans({}, ["no 4111.1111.1111.1 no 4222.2222.2222.2"])[0][1] == [(2, 23, 39), (3, 3, 19)]
+
+
 def test_decontamination(spark, docs, rows, nothing):
     items = [(1, LINE.upper()), (2, "one, two!"), (3, None), (4, ""), (5, "never seen words at all in here today okay then so"), (None, LINE), (1, LINE)]
     benchmark = spark.createDataFrame(items, "item_id long, text string")

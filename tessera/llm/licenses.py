@@ -35,10 +35,11 @@ ROOTS = (
     "same terms as perl", "commons clause", "open data commons", "community data", "openrail", "good not evil", "be reproduced",
     "unauthorized", "commercial use", "commercial purposes", "personal use only", "purposes only", "use only", "educational use",
     "educational purposes", "terms of use", "terms of service", "royalty free", "fitness for a", "patent grant", "released under",
+    "rights are reserved", "cecill",
 )
 
 #: Rank | keyword | label | regular expression over blank-joined words. Rank 1: the name of a licence with its version or a
-#: whole clause; 2: the name alone; 3: a hint. ``#`` stands for ``(?: version| v)?``, ``L`` for ``licen[cs]e``.
+#: whole clause; 2: the name alone; 3: a hint. The keyword stands in all that the expression matches. ``#`` stands for ``(?: version| v)?``, ``L`` for ``licen[cs]e``.
 SIGNATURES = r"""
 1|apache|apache-2.0|apache L# 2(?: 0)?
 1|apache|apache-2.0|apache# 2(?: 0)? L
@@ -193,7 +194,7 @@ SIGNATURES = r"""
 2|open data commons|odc|open data commons
 1|open database|odbl-1.0|(?:odc )?open database L(?: 1 0)?
 2|odbl|odbl-1.0|odbl
-1|attribution license|odc-by|open data commons attribution L
+1|attribution L|odc-by|open data commons attribution L
 1|public domain dedication|pddl|public domain dedication and L
 2|community data|cdla|community data L agreement
 1|cdla|cdla-permissive|cdla permissive
@@ -224,9 +225,9 @@ SIGNATURES = r"""
 1|cc by|cc-by-nc-sa-4.0|cc by nc sa 4 0
 1|cc by|cc-by-nc-nd-4.0|cc by nc nd 4 0
 2|creative commons attribution|cc-by|creative commons attribution(?: [1-4] [05])?(?: international| unported)?(?: L)?
-1|noncommercial|cc-by-nc|creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported)?(?: L)?
-1|noncommercial share|cc-by-nc-sa|creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?(?: international| unported)?(?: L)?
-1|noncommercial no|cc-by-nc-nd|creative commons attribution non ?commercial no ?deriv\S*(?: [1-4] [05])?(?: international| unported)?(?: L)?
+1|attribution non|cc-by-nc|creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported)?(?: L)?
+1|commercial share|cc-by-nc-sa|creative commons attribution non ?commercial share ?alike(?: [1-4] [05])?(?: international| unported)?(?: L)?
+1|commercial no|cc-by-nc-nd|creative commons attribution non ?commercial no ?deriv\S*(?: [1-4] [05])?(?: international| unported)?(?: L)?
 1|share|cc-by-sa|creative commons attribution share ?alike(?: [1-4] [05])?(?: international| unported)?(?: L)?
 1|deriv|cc-by-nd|creative commons attribution no ?deriv\S*(?: [1-4] [05])?(?: international| unported)?(?: L)?
 1|creativecommons|cc-by|creativecommons org licenses by [1-4] [05]
@@ -240,10 +241,10 @@ SIGNATURES = r"""
 2|public domain|public-domain|(?:in|into|to) the public domain
 2|public domain|public-domain|public domain dedication
 3|public domain|public-domain|public domain
-2|rights reserved|reserved|all rights (?:are )?reserved
+2|all rights|reserved|all rights (?:are )?reserved
 2|rights reserved|some-rights|some rights reserved
 1|rights reserved|public-domain|no rights reserved
-2|reproduced|reserved|may not be (?:reproduced|copied|distributed) .{0,60}without .{0,30}permission
+2|may not be|reserved|may not be (?:reproduced|copied|distributed) .{0,60}without .{0,30}permission
 2|reproduc|reserved|no part of this .{1,40}? may be reproduced
 2|proprietary|proprietary|proprietary and confidential
 2|confidential|proprietary|confidential and proprietary
@@ -253,9 +254,10 @@ SIGNATURES = r"""
 3|copyright|copyright|copyright(?: c)? (?:19|20)\d\d
 3|copyright|copyright|copyright by
 3|copyright notice|notice|above copyright notice
-2|non commercial|non-commercial|for non ?commercial (?:use|purposes)(?: only)?
+2|for non|non-commercial|for non ?commercial (?:use|purposes)(?: only)?
 2|personal use|personal-use|for personal use only
-2|research|research-only|for (?:academic|research)(?: and \S+)? (?:use|purposes) only
+2|for academic|research-only|for academic(?: and \S+)? (?:use|purposes) only
+2|for research|research-only|for research(?: and \S+)? (?:use|purposes) only
 2|educational|educational|for educational (?:use|purposes)(?: only)?
 2|terms of|terms|terms of (?:use|service)
 2|end user|eula|end user L agreement
@@ -269,7 +271,7 @@ SIGNATURES = r"""
 3|warranty|warranty|without (?:any )?warranty
 3|patent|patent|patent (?:grant|L)
 3|spdx|spdx|spdx license identifier
-3|licensed under|licensed|(?:dual )?licen[cs]ed under(?: the terms of)?
+3|ed under|licensed|(?:dual )?licen[cs]ed under(?: the terms of)?
 3|released under|licensed|released under
 3|permission|permission|with (?:kind )?permission of
 3|licen|licensed|subject to the (?:following )?L

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import os
 import random
@@ -167,6 +168,46 @@ def test_every_signature_has_a_root():
         assert any(root in plain or root in plain.replace("|", " ") for root in licenses.ROOTS), line
 
 
+def written(items):
+    """Texts of all branches of a parsed expression, each repeat at its least and once."""
+    parts = []
+    for op, arg in items:
+        name = str(op)
+        if name == "LITERAL":
+            parts.append([chr(arg)])
+        elif name == "SUBPATTERN":
+            parts.append(written(arg[3]))
+        elif name == "BRANCH":
+            parts.append([t for branch in arg[1] for t in written(branch)])
+        elif name == "IN":
+            kind, first = str(arg[0][0]), arg[0][1]
+            parts.append([chr(x) for _, x in arg] if kind == "LITERAL" else [chr(first[0])] if kind == "RANGE" else ["7" if "DIGIT" in str(first) else "x"])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            parts.append(([""] if arg[0] == 0 else []) + [t * max(arg[0], 1) for t in written(arg[2])])
+        elif name == "ANY":
+            parts.append(["x"])
+        else:
+            assert name == "ASSERT_NOT", name
+    return ["".join(x) for x in itertools.product(*parts)]
+
+
+def test_gates_hold_for_all_branches_of_a_signature(spark):
+    rules = licenses.signatures()
+    texts = sorted({t for rule in rules for t in written(re._parser.parse(rule.pattern))})
+    for rule in rules:
+        for text in texts:
+            if re.search(rule.pattern, text):
+                assert rule.keyword in text and any(root in text for root in licenses.ROOTS), (rule, text)
+    texts = {
+        "Creative Commons Attribution Non-Commercial 4.0": "cc-by-nc", "may not be copied (or distributed) without permission": "reserved",
+        "Creative Commons Attribution Non-Commercial Share-Alike": "cc-by-nc-sa", "for noncommercial use only": "non-commercial",
+        "for academic use only": "research-only", "for research and teaching purposes only": "research-only",
+        "Open Data Commons Attribution Licence": "odc-by", "All rights are reserved.": "reserved", "CeCILL B": "cecill", "licenced under": "licensed",
+    }
+    found = licenses.scanned(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in found} == dict(enumerate(texts.values()))
+
+
 def base_pii(text):
     text = text or ""
     out = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]

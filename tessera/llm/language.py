@@ -2,9 +2,10 @@
 
 Texts are lower-cased, everything but letters becomes a blank, and n-grams of two and three bytes are hashed into a fixed
 number of cells. Document frequencies come from all training documents. Each language's centroids come from spherical
-k-means over at most about ``SAMPLE_DOCS`` of its training documents, chosen by a hash of the text: this is the documented
-bound of what the classifier is fitted on. A text is rejected if its cosine to the nearest centroid is under the lowest
-share of that centroid's own members.
+k-means over at most ``SAMPLE_DOCS`` of its different training texts, those with the smallest hashes, each weighted by its
+copies: this is the documented bound of what the classifier is fitted on, and copies take no place from other texts. A text
+is rejected if its cosine to the nearest centroid is under the lowest share of that centroid's own members, where a text
+counts once.
 
 Defined results. A null text, or one without a letter, is ``und`` with score 0 and rejected. Training rows whose language
 is null are not used; without any training row everything is ``und``. Ties go to the language first in order. Repeated rows
@@ -20,14 +21,15 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.common import text_blocks, whole_text
+from tessera.sources.workspace import materialize
 
 CELLS = 4096
 CENTROIDS = 4
-#: Training documents per language that centroids are fitted on.
+#: Different training texts per language that centroids are fitted on.
 SAMPLE_DOCS = 600
 ROUNDS = 12
 #: Share of a centroid's members that lie below its limit of rejection.
@@ -104,9 +106,9 @@ def document_frequencies(training: DataFrame) -> tuple[np.ndarray, int]:
     return found[:CELLS], int(found[CELLS])
 
 
-def k_means(rows: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
+def k_means(rows: np.ndarray, copies: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Spherical k-means from farthest-first starts; unit centroids and the lowest accepted cosine of each."""
-    chosen = [rows.mean(0)]
+    chosen = [np.average(rows, 0, copies)]
     nearest = rows @ (chosen[0] / max(np.linalg.norm(chosen[0]), 1e-12))
     centroids = [rows[nearest.argmax()]]
     for _ in range(1, min(k, len(rows))):
@@ -117,7 +119,7 @@ def k_means(rows: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple
         member = (rows @ found.T).argmax(1)
         for c in range(len(found)):
             if (member == c).any():
-                found[c] = rows[member == c].sum(0)
+                found[c] = np.average(rows[member == c], 0, copies[member == c])
         found /= np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-12)
     cosines = rows @ found.T
     member = cosines.argmax(1)
@@ -125,22 +127,31 @@ def k_means(rows: np.ndarray, k: int = CENTROIDS, rounds: int = ROUNDS) -> tuple
     return found, limits
 
 
+def sampled(labelled: DataFrame) -> DataFrame:
+    """lang, text and copies of the ``SAMPLE_DOCS`` different texts of each language with the smallest hashes, or all if there are fewer."""
+    key = ["lang", "place", "other"]
+    hashed = labelled.select("lang", "text", F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 62)).alias("place"), F.xxhash64("text", F.lit(11)).alias("other"))
+    different = materialize(hashed.groupBy(*key).agg(F.count("*").alias("copies")), "different_texts")
+    # Twice as many as wanted by a share of the hashes: no window reads a language that may hold most texts.
+    share = F.least(F.lit(1.0), 2.0 * SAMPLE_DOCS / F.col("texts")) * float(1 << 62)
+    near = different.join(F.broadcast(different.groupBy("lang").agg(F.count("*").alias("texts"))), "lang").filter(F.col("place") <= share)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("place", "other"))
+    picked = near.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE_DOCS).select(*key, "copies")
+    # Copies become one before the shuffle.
+    return hashed.join(F.broadcast(picked), key).groupBy(*key, "copies").agg(F.min("text").alias("text")).select("lang", "text", "copies")
+
+
 def fitted(labelled: DataFrame) -> Model:
     """A model of rows (text, lang), neither null."""
     frequency, n = document_frequencies(labelled)
     weights = np.log((1 + n) / (1 + frequency)).astype(np.float32) + 1
-    # A share of each language by hash: no window or shuffle of a language that may hold most rows. The driver holds the
-    # languages anyway, as the labels of its centroids.
-    shares = {r["lang"]: min(1.0, SAMPLE_DOCS / r["n"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not shares:
-        return Model(weights, [], np.zeros((0, CELLS), np.float32), np.zeros(0))
-    share = F.create_map(*[F.lit(x) for pair in sorted(shares.items()) for x in pair])[F.col("lang")]
-    sample = labelled.filter((F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)) < share).select("lang", "text")
+    sample = sampled(labelled)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        texts = sorted(group["text"])
+        group = group.sort_values("text")
+        texts, copies = group["text"].tolist(), group["copies"].to_numpy(np.float64)
         rows = np.concatenate([vectors(texts[i : i + 256], weights) for i in range(0, len(texts), 256)])
-        found, limits = k_means(rows)
+        found, limits = k_means(rows, copies)
         return pd.DataFrame({"lang": group["lang"].iloc[0], "limit": limits, "centroid": [c.astype(np.float32).tobytes() for c in found]})
 
     rows = sorted(sample.groupBy("lang").applyInPandas(cluster, "lang string, limit double, centroid binary").collect(), key=lambda r: (r["lang"], bytes(r["centroid"])))

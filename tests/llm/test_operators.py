@@ -436,6 +436,18 @@ def test_language_on_held_out_documents(spark):
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.95 * len(rows)
 
 
+def test_copies_take_no_place_from_other_texts_of_a_language(spark):
+    few = [(f"{a}{b} {LINE}", f"few{a}") for a in "abcdefghij" for b in "xy" for _ in range(1500)]
+    hot = [(LINE, "hot")] * 2000 + [(f"{LINE} {a}{b}{c}", "hot") for a in "abcde" for b in "abcde" for c in "abcd"]
+    many = [(f"{FRENCH} {i}", "many") for i in range(language.SAMPLE_DOCS + 900)]
+    table = spark.createDataFrame(few + hot + many, "text string, lang string").repartition(4)
+    rows = language.sampled(table).collect()
+    by_lang = Counter(r["lang"] for r in rows)
+    assert by_lang == {**{f"few{a}": 2 for a in "abcdefghij"}, "hot": 101, "many": language.SAMPLE_DOCS}
+    assert {(r["text"], r["copies"]) for r in rows if r["lang"] != "many"} == {(t, n) for (t, _), n in Counter(few + hot).items()}
+    assert set(language.fitted(table).labels) == set(by_lang)
+
+
 def test_language_model(docs, rows, nothing):
     got = lm.scored(docs).collect()
     held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 7 == 2

@@ -1,14 +1,14 @@
 """How far the sources of a language diverge: exact term counts per source from sparse document vectors, compared in whole numbers.
 
-A ``CountVectorizerModel`` turns documents into sparse vectors of counts. Its vocabulary is what CountVectorizer's fit with
-minDF and the largest vocabSize keeps per language: languages share a model but not a word, as a word is the language, a zero
-character, and the term. Document frequencies are counted block by block in the tasks and added up by Spark; the estimator's
-own fit, which moves every word of every document as an object, took three times as long for the same words. The vocabulary
-is cut by hash into as many slices as keep a model's word list, which the driver and each executor hold, at ``SLICE_TERMS``
-words on average; a slice is a further pass over the documents, and no word is lost.
-
-The vectors of a group (language and source) are added up entry by entry, before and after the shuffle, as a Summarizer adds
-them; a dense sum per group would need room for every word of every language. Pairs are compared sparsely: a term that
+A vectorizer of the CountVectorizer kind turns documents into sparse vectors of counts. Its vocabulary is what a fit with minDF
+and the largest vocabSize keeps per language: languages share a model but not a word, as a word is the language, a zero
+character, and the term. Tasks count document frequencies and build vectors by Arrow blocks; with Spark's own estimator, which
+handles every word of every document as an object, the same counts took several times the CPU time (README). The vocabulary
+is cut by hash into as many slices as keep a model's word list, which the driver and each task hold, at ``SLICE_TERMS`` words
+on average; a slice is a further pass over the documents, and no word is lost.
+
+The vectors of a group (language and source) are added up entry by entry, in the block and then by Spark before and after the
+shuffle, as a Summarizer adds them; a dense sum per group would need room for every word of every language. Pairs are compared sparsely: a term that
 neither source has adds the distance of their two shares at count 0, so that part is one product; what differs from it is
 summed over blocks of terms. A task gets one block for at most two tiles of sources, hence a bounded matrix; all terms of a
 hot source are dealt over the blocks.
@@ -21,13 +21,12 @@ rows. Columns other than text, lang and source are not read. doc_id is not used,
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -68,12 +67,52 @@ def block_words(block: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
     return pc.binary_join_element_wise(langs.cast(terms.type), terms, pa.scalar(BETWEEN, terms.type)), words_before
 
 
-def document_words(batches: Batches) -> Batches:
-    """``lang, source, words`` of each document."""
-    for block in text_blocks(batches):
-        words, bounds = block_words(block)
-        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words.cast(pa.string()))
-        yield pa.RecordBatch.from_arrays([block.column("lang"), block.column("source"), lists], names=["lang", "source", "words"])
+def document_vectors(words: list[str]) -> Callable[[Batches], Batches]:
+    """``lang, source, indices, values``: of each document the places in ``words`` it holds, rising, and how often."""
+
+    def transform(batches: Batches) -> Batches:
+        places = pa.array(words, pa.large_string())
+        for block in text_blocks(batches):
+            indices, values, ends = sparse(*block_words(block), places)
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(x)) for x in (indices, values)]
+            yield pa.RecordBatch.from_arrays([block.column("lang"), block.column("source"), *lists], names=["lang", "source", "indices", "values"])
+
+    return transform
+
+
+def sparse(found: pa.Array, bounds: np.ndarray, places: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents as rows of a sparse matrix: places, counts, and where each document starts and the last ends."""
+    coded = found.dictionary_encode()
+    of_code = np.asarray(pc.index_in(coded.dictionary.cast(pa.large_string()), places).fill_null(-1), np.int64)
+    place = of_code[np.asarray(coded.indices, np.int64)] if len(of_code) else np.zeros(0, np.int64)
+    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    kept = place >= 0
+    cells, counts = np.unique(doc[kept] * max(1, len(places)) + place[kept], return_counts=True)
+    ends = np.searchsorted(cells, np.arange(len(bounds)) * max(1, len(places)))
+    return (cells % max(1, len(places))).astype(np.int32), counts.astype(np.int64), ends
+
+
+def vector_sums(words: list[str]) -> Callable[[Batches], Batches]:
+    """``lang, source, place, count``: the vectors of a block's documents, added up within each group."""
+
+    def add(batches: Batches) -> Batches:
+        places = pa.array(words, pa.large_string())
+        for block in text_blocks(batches):
+            indices, values, ends = sparse(*block_words(block), places)
+            lang, source = block.column("lang").dictionary_encode(), block.column("source").dictionary_encode()
+            group = np.asarray(lang.indices, np.int64) * len(source.dictionary) + np.asarray(source.indices, np.int64)
+            cells, at = np.unique(np.repeat(group, np.diff(ends)) * len(words) + indices, return_inverse=True)
+            count = np.bincount(at, weights=values, minlength=len(cells)).astype(np.int64)
+            group = cells // len(words)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    lang.dictionary.take(pa.array(group // len(source.dictionary))), source.dictionary.take(pa.array(group % len(source.dictionary))),
+                    pa.array((cells % len(words)).astype(np.int32)), pa.array(count),
+                ],
+                names=["lang", "source", "place", "count"],
+            )
+
+    return add
 
 
 def document_counts(batches: Batches) -> Batches:
@@ -100,9 +139,8 @@ def vocabulary(rows: DataFrame, min_docs: int) -> DataFrame:
 
 
 def vectors(rows: DataFrame, words: list[str]) -> DataFrame:
-    """``lang, source, vector`` of each document over the given words."""
-    model = CountVectorizerModel.from_vocabulary(words, "words", "vector")
-    return model.transform(rows.mapInArrow(document_words, "lang string, source string, words array<string>")).drop("words")
+    """``lang, source, indices, values``: the sparse vector of each document over the given words."""
+    return rows.mapInArrow(document_vectors(words), "lang string, source string, indices array<int>, values array<long>")
 
 
 def group_sums(rows: DataFrame, min_docs: int, slice_terms: int) -> DataFrame:
@@ -116,9 +154,8 @@ def group_sums(rows: DataFrame, min_docs: int, slice_terms: int) -> DataFrame:
         if not words:
             continue
         names = spark.createDataFrame(pd.DataFrame({"place": np.arange(len(words), dtype=np.int32), "word": words}), "place int, word string")
-        sparse = F.unwrap_udt("vector")
-        entries = vectors(rows, words).select("lang", "source", F.explode(F.arrays_zip(sparse["indices"], sparse["values"])).alias("entry"))
-        sums = entries.groupBy("lang", "source", F.col("entry.indices").alias("place")).agg(F.sum("entry.values").cast("long").alias("count"))
+        partial = rows.mapInArrow(vector_sums(words), "lang string, source string, place int, count long")
+        sums = partial.groupBy("lang", "source", "place").agg(F.sum("count").alias("count"))
         term_no = F.lit(part).cast("long") * LARGEST_VOCABULARY + F.col("place")
         named = sums.join(names, "place").select("lang", "source", term_no.alias("term_no"), F.substring_index("word", BETWEEN, -1).alias("term"), "count")
         found = found.unionByName(materialize(named, "group_sums"))

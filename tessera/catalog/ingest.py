@@ -30,7 +30,7 @@ SELECT source_system, is_dirty, dirt_kind, count(*) AS n FROM bronze_sales_raw G
 UNION ALL SELECT 'upstream-fix', 0, NULL, count(*) FROM bronze_sales_raw WHERE is_dirty = 1""")
 def _(w: Warehouse) -> DataFrame:
     bronze, path = w.table("bronze_sales_raw"), new_path(w.spark, "bronze_appended")
-    layers.append_layer(bronze, path)
+    layers.adopt_layer(w.spark, path, [w.folder("bronze_sales_raw")])
     batch = payloads.append_bronze(bronze.filter("is_dirty = 1"), "upstream-fix", INJECTED_AT)
     layers.append_layer(batch, path)
     appended = layers.read_layer(w.spark, path, bronze.schema)
@@ -210,21 +210,17 @@ def _after_injection(w: Warehouse, *inject) -> DataFrame:
     return reduce(DataFrame.unionByName, batches, bronze)
 
 
-def _injected_sql(counter: str, n: int) -> str:
-    return f"SELECT * REPLACE ({counter} + {n} AS {counter}, bronze_total + {n} AS bronze_total) FROM silver_summary"
-
-
-@query("a16_inject_schema_drift", _injected_sql("dropped_schema", 30))
+@query("a16_inject_schema_drift", "SELECT * FROM silver_summary_drift")
 def _(w: Warehouse) -> DataFrame:
     return retail.silver_counts(retail.stage_silver(_after_injection(w, payloads.inject_schema_drift)))
 
 
-@query("a17_inject_dupes", _injected_sql("quarantined_dupes", 40))
+@query("a17_inject_dupes", "SELECT * FROM silver_summary_dupes")
 def _(w: Warehouse) -> DataFrame:
     return retail.silver_counts(retail.stage_silver(_after_injection(w, payloads.inject_dupes)))
 
 
-@query("a18_inject_nulls", _injected_sql("quarantined_nulls", 25))
+@query("a18_inject_nulls", "SELECT * FROM silver_summary_nulls")
 def _(w: Warehouse) -> DataFrame:
     return retail.silver_counts(retail.stage_silver(_after_injection(w, payloads.inject_nulls)))
 

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.plans import dq, finance, retail
+from tessera.plans import dq, finance, mining, retail
 from tessera.sources import finance as fin_source
 from tessera.sources import retail as retail_source
-from tessera.sources.workspace import materialize, spread
+from tessera.sources.workspace import materialize, new_path, spread
 
 RETAIL_LAYERS = {
     "bronze": "bronze_sales_raw", "silver": "silver_sales", "gold_fact": "gold_fact_sales",
@@ -30,6 +30,8 @@ SOURCE_LAYERS = (
 )
 # The refresh stamps its events with this time; a scheduled job passes its own.
 RUN_AT = "2026-04-21 00:00:00"
+# The day that customers' behaviour is judged on, for models that all reports share.
+AS_OF = "2001-08-01"
 
 
 class Warehouse:
@@ -39,11 +41,14 @@ class Warehouse:
     returns the written table, so later queries read columns instead of redoing the refresh.
     """
 
-    def __init__(self, spark: SparkSession, source_dir: str, run_at: str = RUN_AT) -> None:
+    def __init__(self, spark: SparkSession, source_dir: str, run_at: str = RUN_AT, as_of: str = AS_OF) -> None:
         self.spark = spark
         self.source_dir = source_dir
         self.run_at = run_at
+        self.as_of = as_of
         self._tables: dict[str, DataFrame] = {}
+        self._folders: dict[str, str] = {}
+        self._clusters: mining.Clusters | None = None
 
     def source(self, name: str) -> DataFrame:
         return retail_source.read(self.spark, self.source_dir, name)
@@ -56,19 +61,34 @@ class Warehouse:
             return _VIEWS[name](self)
         if name not in self._tables:
             build, partition_by = _BUILDERS[name]
-            self._tables[name] = materialize(build(self), name, partition_by)
+            folder = new_path(self.spark, name)
+            self._tables[name] = materialize(build(self), name, partition_by, folder, _OPTIONS.get(name))
+            self._folders[name] = folder
         return self._tables[name]
 
+    def folder(self, name: str) -> str:
+        """Where a written table lies."""
+        self.table(name)
+        return self._folders[name]
+
+    def clusters(self) -> mining.Clusters:
+        """Customer clusters, fitted once for all their reports."""
+        if self._clusters is None:
+            features = mining.customer_features(self.table("gold_dim_customer"), self.table("gold_fact_sales"), self.as_of)
+            self._clusters = mining.cluster_customers(features)
+        return self._clusters
+
     def replayed(self) -> Warehouse:
         """A second warehouse over the same feeds and dimensions, its derived layers still to build."""
-        again = Warehouse(self.spark, self.source_dir, self.run_at)
+        again = Warehouse(self.spark, self.source_dir, self.run_at, self.as_of)
         again._tables = {name: self.table(name) for name in SOURCE_LAYERS}
+        again._folders = {name: self.folder(name) for name in SOURCE_LAYERS}
         return again
 
     def register_views(self, sql: str | None = None) -> None:
         """Tables as temporary views for ad-hoc SQL: all, or those whose name occurs in ``sql``."""
         for name in [*_BUILDERS, *_VIEWS]:
-            if sql is None or name.lower() in sql.lower():
+            if name not in MODELS and (sql is None or name.lower() in sql.lower()):
                 self.table(name).createOrReplaceTempView(name)
 
 
@@ -89,7 +109,7 @@ _Builder = Callable[[Warehouse], DataFrame]
 _BUILDERS: dict[str, tuple[_Builder, tuple[str, ...]]] = {
     "bronze_sales_raw": (_bronze, ()),
     "silver_staged": (lambda w: retail.stage_silver(w.table("bronze_sales_raw")), ("status",)),
-    "gold_staged": (lambda w: retail.stage_gold(w.table("silver_sales"), w.dims()), ("status",)),
+    "gold_staged": (lambda w: retail.gold_by_date(w.table("silver_sales"), w.dims()), ("status",)),
     "gold_dim_customer": (
         lambda w: retail_source.dim_customer(w.source("customer"), w.source("nation"), w.source("region")), ()),
     "gold_dim_product": (lambda w: retail_source.dim_product(w.source("part")), ()),
@@ -112,14 +132,22 @@ _BUILDERS: dict[str, tuple[_Builder, tuple[str, ...]]] = {
     "fin_gld_top_vendors": (
         lambda w: finance.top_vendors(
             finance.vendor_totals(w.table("fin_slv_transactions"), w.table("fin_dim_vendor"))), ()),
+    "oltp_transactions": (lambda w: retail_source.by_key(retail_source.oltp_transactions(w.source("orders")), "txn_id"), ()),
     "data_quality_events": (_events, ()),
+    "fraud_scores": (lambda w: mining.fraud_scores(w.table("banking_transactions")), ()),
+    "cluster_points": (lambda w: w.clusters().points, ()),
+    "cluster_centroids": (lambda w: w.clusters().centroids, ()),
+    "spend_scores": (lambda w: mining.spend_scores(w.table("fin_slv_transactions"), w.table("fin_dim_department")), ()),
 }
+# Point reads: the key is sorted, and a bloom filter per row group tells whether a key can be there at all.
+_OPTIONS = {"oltp_transactions": {"parquet.bloom.filter.enabled#txn_id": "true"}}
+# Model outputs: written on first use like layers, but no tables for ad-hoc SQL.
+MODELS = ("fraud_scores", "spend_scores", "cluster_points", "cluster_centroids")
 # Plain projections of a written or given table; not written again.
 _VIEWS: dict[str, _Builder] = {
     "silver_sales": lambda w: retail.silver_of(w.table("silver_staged")),
     "gold_fact_sales": lambda w: retail.fact_of(w.table("gold_staged")),
     "fin_slv_transactions": lambda w: finance.silver_of(w.table("fin_staged")),
-    "oltp_transactions": lambda w: retail_source.oltp_transactions(w.source("orders")),
     "banking_transactions": lambda w: retail_source.banking_transactions(w.source("events")),
     "fin_src_corporate_card": lambda w: fin_source.corporate_card(w.source("events")),
 }

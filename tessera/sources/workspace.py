@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,12 +37,13 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(
-    df: DataFrame, label: str, partition_by: Sequence[str] = (), path: str | None = None
+    df: DataFrame, label: str, partition_by: Sequence[str] = (), path: str | None = None,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Write ``df`` as a parquet table and read it back: cuts the lineage, keeps statistics."""
     spark = df.sparkSession
     path = path or new_path(spark, label)
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").options(**(options or {}))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

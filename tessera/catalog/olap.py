@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.catalog.registry import query
 from tessera.functions.money import money_mean, money_total
-from tessera.operators.cube import cube_query, dice, pivot_query, rollup_query, star_join
+from tessera.operators.cube import cube_query, diced_star, pivot_query, rollup_query, star_join
 from tessera.plans import dq, reports
 from tessera.plans.forecast import daily_revenue
 from tessera.plans.warehouse import Warehouse
@@ -126,8 +126,7 @@ def _(w: Warehouse) -> DataFrame:
 @query("b7_dice_filters", f"SELECT c.tier, count(*) AS n FROM {_STAR} WHERE d.year = 1998 AND f.channel = 'web' GROUP BY c.tier")
 def _(w: Warehouse) -> DataFrame:
     filters = {"year": "1998", "channel": "web", "country": "", "city": None, "planet": "Mars"}
-    joined = star_join(w.table("gold_fact_sales"), w.dims(), ["tier", "year"])
-    return dice(joined, filters).groupBy("tier").agg(F.count("*").alias("n"))
+    return diced_star(w.table("gold_fact_sales"), w.dims(), ["tier"], filters).groupBy("tier").agg(F.count("*").alias("n"))
 
 
 @query("b10_threshold_filters", """

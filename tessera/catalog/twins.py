@@ -283,6 +283,41 @@ FROM basket_items GROUP BY ALL HAVING sum(n) >= 2""",
 }
 
 
+def _derived_again(names: list[str], suffix: str, **bases: str) -> None:
+    """Derive tables a second time under names with a suffix; ``bases`` replaces tables they start from."""
+    other = {name: f"{name}_{suffix}" for name in names} | bases
+    for name in names:
+        TABLES[other[name]] = re.sub(r"\w+", lambda word: other.get(word[0], word[0]), TABLES[name])
+
+
+def _injected(salt: str, n: int, changes: dict[str, str | None]) -> str:
+    """``n`` clean payloads, changed; a value is SQL, None drops the key."""
+    fields = {key: f"j->'$.{key}'" for key in re.findall(r"\w+", _KEYS)} | changes
+    payload = ", ".join(f"'{key}', {value}" for key, value in fields.items() if value is not None)
+    return f"""
+SELECT id, source_system, ingested_at, payload_json, is_dirty, dirt_kind FROM bronze_sales_raw
+UNION ALL
+SELECT '2-{salt}-' || id, 'injected', ingested_at, CAST(json_object({payload}) AS VARCHAR), 1, '{salt}'
+FROM (SELECT id, ingested_at, CAST(payload_json AS JSON) AS j FROM bronze_sales_raw WHERE is_dirty = 0 ORDER BY md5(id || '{salt}'), id LIMIT {n})"""
+
+
+INJECTIONS = {
+    "drift": _injected("drift", 30, {"sale_id": "'DRIFT' || (j->>'$.sale_id')", "amount": None, "currency": None, "amt": "j->'$.amount'"}),
+    "dupes": _injected("dupes", 40, {}),
+    "nulls": _injected("nulls", 25, {"sale_id": "'NULLFLOOD' || (j->>'$.sale_id')", "customer_id": "NULL"}),
+}
+for _salt, _sql in INJECTIONS.items():
+    TABLES[f"bronze_{_salt}"] = _sql
+    _derived_again(["parsed", "judged", "silver_sales", "silver_summary"], _salt, bronze_sales_raw=f"bronze_{_salt}")
+_SOURCES = ("sales", "bronze_sales_raw", "oltp_transactions", "banking_transactions")
+_derived_again([name for name in TABLES if name not in _SOURCES and not name.startswith(("gold_dim", "fin_src", "fin_dim")) and not name.endswith(tuple(INJECTIONS))], "again")
+
+
+def differing(table: str, other: str) -> str:
+    """How many rows are in one of two tables only, counting repeats."""
+    return f"SELECT count(*) FROM ((FROM {table} EXCEPT ALL FROM {other}) UNION ALL (FROM {other} EXCEPT ALL FROM {table}))"
+
+
 def twin(sql: str) -> str:
     """``sql`` with the subqueries it needs, directly or through others, in front."""
     needed: set[str] = set()

@@ -1,8 +1,8 @@
 """Map raw merchant spellings to vendors by exact or contained alias.
 
-Containment is an equality join: the longer text is cut into its pieces of the lengths
-that occur on the other side, and a piece equal to the other text is a match. So the
-work follows the number of distinct spellings and aliases, not their product.
+Containment starts from an equality join on grams: a text meets those others whose rarest
+gram it holds, and only these are looked for in it. So the work follows the characters of
+the distinct spellings and aliases, not their product, nor the lengths that occur.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from tessera.sources.workspace import materialize
 
+# Characters of a gram: enough that few texts share the rarest one of a longer text, numbered names included.
+GRAM = 8
 _BLANKS = " \t\n\r\x0b\x0c"
 
 
@@ -38,21 +40,37 @@ def alias_index(vendors: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(df: DataFrame, text: str, lengths: Column) -> DataFrame:
-    """Every piece of ``text`` that has one of ``lengths``."""
-    size = F.length(text)
-    sized = df.withColumn("_lengths", lengths).withColumn(
-        "_len", F.explode(F.filter("_lengths", lambda n: n <= size))
-    )
-    starts = F.sequence(F.lit(1), size - F.col("_len") + 1)
-    return sized.withColumn("_start", F.explode(starts)).withColumn(
-        "piece", F.substring(text, F.col("_start"), F.col("_len"))
-    ).drop("_lengths", "_len", "_start")
+def _grams(size: int, text: Column) -> Column:
+    """The distinct pieces of ``size`` characters, none if the text is shorter."""
+    starts = F.sequence(F.lit(1), F.length(text) - size + 1)
+    pieces = F.array_distinct(F.transform(starts, lambda at: F.substring(text, at, F.lit(size))))
+    return F.when(F.length(text) >= size, pieces).otherwise(F.array().cast("array<string>"))
+
 
+def _own_grams(text: Column) -> Column:
+    """The grams a text can be found by: its own of ``GRAM`` characters, or the whole of a shorter one."""
+    return F.when(F.length(text) < GRAM, F.array(text)).otherwise(_grams(GRAM, text))
 
-def _lengths(df: DataFrame, text: str) -> Column:
-    """The distinct lengths of a column: as many as its longest text at most."""
-    return df.agg(F.collect_set(F.length(text))).scalar()
+
+def containing(texts: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``text, pattern``: every pair of a distinct ``text`` and a distinct ``pattern`` that stands in it.
+
+    A pattern is posted under that one of its grams which the fewest texts hold, so a text meets the patterns whose rarest
+    gram it holds, and each is then looked for. A pattern shorter than a gram is its own. So a text gives at most ``GRAM``
+    pieces per character, however many lengths the patterns have.
+    """
+    shorter = [row[0] for row in patterns.select(F.length("pattern").alias("n")).filter(F.col("n") < GRAM).distinct().collect()]
+    grams = F.concat(_grams(GRAM, F.col("text")), *[_grams(n, F.col("text")) for n in shorter])
+    held = materialize(texts.select("text", F.explode(grams).alias("gram")), "text_grams")
+    frequency = held.groupBy("gram").agg(F.count("*").alias("texts"))
+    # A gram that no text holds rules its pattern out.
+    posted = (
+        patterns.select("pattern", F.explode(_own_grams(F.col("pattern"))).alias("gram"))
+        .join(frequency, "gram", "left")
+        .groupBy("pattern").agg(F.min(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "gram")).alias("rarest"))
+        .filter("rarest.texts > 0").select("pattern", "rarest.gram")
+    )
+    return held.join(posted, "gram").filter(F.contains("text", "pattern")).select("text", "pattern")
 
 
 def canonicalize(spellings: DataFrame, index: DataFrame) -> DataFrame:
@@ -66,24 +84,19 @@ def canonicalize(spellings: DataFrame, index: DataFrame) -> DataFrame:
     index = materialize(index, "alias_index")
     needles = raws.filter("needle IS NOT NULL").select("needle").distinct()
     exact = needles.join(index, F.col("needle") == F.col("alias")).select("needle", "vendor_id")
-    misses = needles.join(index, F.col("needle") == F.col("alias"), "left_anti")
+    misses = materialize(needles.join(index, F.col("needle") == F.col("alias"), "left_anti"), "misses")
 
     score = F.struct(
         (-F.length("alias")).alias("shorter"), F.col("pos").alias("pos"), F.col("vendor_id").alias("vendor_id")
     )
-    inside = (
-        _pieces(misses, "needle", _lengths(index, "alias"))
-        .join(index, F.col("piece") == F.col("alias"))
-        .select("needle", score.alias("score"))
-    )
-    # One best alias per piece, so each spelling meets a single row.
-    around = (
-        _pieces(index, "alias", _lengths(misses, "needle"))
-        .join(misses, F.col("piece") == F.col("needle"), "left_semi")
-        .groupBy(F.col("piece").alias("needle")).agg(F.min(score).alias("score"))
+    aliases = index.select("alias")
+    inside = containing(misses.select(F.col("needle").alias("text")), aliases.select(F.col("alias").alias("pattern")))
+    around = containing(aliases.select(F.col("alias").alias("text")), misses.select(F.col("needle").alias("pattern")))
+    found = inside.select(F.col("text").alias("needle"), F.col("pattern").alias("alias")).unionByName(
+        around.select(F.col("pattern").alias("needle"), F.col("text").alias("alias"))
     )
     loose = (
-        inside.unionByName(around).groupBy("needle").agg(F.min("score").alias("score"))
+        found.join(index, "alias").groupBy("needle").agg(F.min(score).alias("score"))
         .select("needle", "score.vendor_id")
     )
     return raws.join(exact.unionByName(loose), "needle", "left").select("raw", "vendor_id")

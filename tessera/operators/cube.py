@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.money import money_mean, money_total
@@ -19,6 +20,8 @@ DIMENSION_TABLES: dict[str, tuple[str, dict[str, str]]] = {
 FACT_DIMENSIONS = ("channel",)
 DIMENSIONS = (*[dim for _, columns in DIMENSION_TABLES.values() for dim in columns], *FACT_DIMENSIONS)
 RESULT_LIMIT = 200
+# More ranges of days than this are scanned as one.
+MOST_RANGES = 64
 
 
 def _measures() -> dict[str, Column]:
@@ -54,6 +57,42 @@ def star_join(fact: DataFrame, dims: Mapping[str, DataFrame], used: Sequence[str
     return joined
 
 
+def date_runs(dims: Mapping[str, DataFrame], filters: Mapping[str, str | None] | None) -> list[tuple[Any, Any]] | None:
+    """The runs of days that the filters on the calendar leave, first and last day each; None without such a filter.
+
+    The calendar bounds what is scanned and collected.
+    """
+    columns = DIMENSION_TABLES["gold_dim_date"][1]
+    wanted = {dim: value for dim, value in active_filters(filters).items() if dim in columns}
+    if not wanted:
+        return None
+    days = dice(dims["gold_dim_date"].select("date_id", *[F.col(columns[dim]).alias(dim) for dim in wanted]), wanted).select("date_id").distinct()
+    # Days of one run less their place among all days are the same day.
+    placed = days.withColumn("run", F.date_sub("date_id", F.row_number().over(Window.orderBy("date_id"))))
+    runs = placed.groupBy("run").agg(F.min("date_id").alias("first"), F.max("date_id").alias("last")).orderBy("first")
+    return [(r["first"], r["last"]) for r in runs.collect()]
+
+
+def within(fact: DataFrame, runs: Sequence[tuple[Any, Any]] | None) -> DataFrame:
+    """The fact rows of some runs of days, as ranges that a scan of a fact sorted by date can skip files and row groups by."""
+    if runs is None:
+        return fact
+    if len(runs) > MOST_RANGES:
+        runs = [(runs[0][0], runs[-1][1])]
+    inside = F.lit(False)
+    for first, last in runs:
+        inside = inside | F.col("date_id").between(F.lit(first), F.lit(last))
+    return fact.filter(inside)
+
+
+def diced_star(
+    fact: DataFrame, dims: Mapping[str, DataFrame], used: Sequence[str], filters: Mapping[str, str | None] | None
+) -> DataFrame:
+    """The star join under filters; those on the calendar reach the scan of the fact."""
+    pruned = within(fact, date_runs(dims, filters))
+    return dice(star_join(pruned, dims, [*used, *active_filters(filters)]), filters)
+
+
 def dice(joined: DataFrame, filters: Mapping[str, str | None] | None) -> DataFrame:
     """Keep the rows where every named dimension has its value; blank or unknown names are skipped."""
     for dim, value in active_filters(filters).items():
@@ -77,8 +116,7 @@ def cube_query(
 ) -> DataFrame:
     """One measure, called ``value``, per combination of ``group_by``; highest first."""
     _checked(group_by, measure)
-    joined = star_join(fact, dims, [*group_by, *active_filters(filters)])
-    grouped = dice(joined, filters).groupBy(*group_by).agg(_measures()[measure].alias("value"))
+    grouped = diced_star(fact, dims, group_by, filters).groupBy(*group_by).agg(_measures()[measure].alias("value"))
     if limit is None:
         return grouped
     return grouped.orderBy(F.desc("value"), *group_by).limit(limit)

@@ -1,7 +1,14 @@
-"""Isolation forest (Liu, Ting, Zhou 2008): grown in tasks on small samples, scored in batches."""
+"""Isolation forest (Liu, Ting, Zhou 2008): grown in tasks on small samples, scored by one SQL expression.
+
+Nothing is drawn: which rows a tree sees, and where it splits, follows from md5 of the row's key and of seed, tree and node. So
+a forest is the same on every cluster, and any engine with md5 can grow it again. Path lengths are counted in millionths, whole
+numbers whose sum does not depend on the order of the trees.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import math
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -13,45 +20,16 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.prefix_scan import hash_share
+from tessera.operators.prefix_scan import values_at_ranks
 
 # Tasks get this module's code with the job, so workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 256
 EULER = 0.5772156649015329
-
-
-@dataclass(frozen=True)
-class Forest:
-    """Trees as flat arrays; a node without a feature is a leaf that holds its path length.
-
-    A feature below ``n_numeric`` is a column split at ``value``; a later one is a
-    categorical column, and ``value`` is the code that goes left.
-    """
-
-    n_numeric: int
-    sample: int
-    nodes: pd.DataFrame
-
-    def score(self, x: np.ndarray) -> np.ndarray:
-        depth = np.zeros(len(x))
-        rows = np.arange(len(x))
-        trees = 0
-        for _, tree in self.nodes.groupby("tree", sort=True):
-            feature, value, left, right, path = (tree[c].to_numpy() for c in ("feature", "value", "left", "right", "path"))
-            at = np.zeros(len(x), dtype=np.int64)
-            live = rows[feature[at] >= 0]
-            while len(live):
-                node = at[live]
-                f = feature[node]
-                seen = x[live, f]
-                goes_left = np.where(f < self.n_numeric, seen < value[node], seen == value[node])
-                at[live] = np.where(goes_left, left[node], right[node])
-                live = live[feature[at[live]] >= 0]
-            depth += path[at]
-            trees += 1
-        return np.exp2(-(depth / trees) / max(mean_path(self.sample), 1e-12))
+MILLION = 1_000_000
+# Bits of a hash that make a number in [0, 1); few enough for a double.
+HASH_HEX, HASH_SPAN = 12, float(1 << 48)
 
 
 def mean_path(n: int) -> float:
@@ -60,49 +38,94 @@ def mean_path(n: int) -> float:
         return 0.0
     if n == 2:
         return 1.0
-    return 2.0 * (np.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
+    return 2.0 * (math.log(n - 1.0) + EULER) - 2.0 * (n - 1.0) / n
+
+
+def chance(seed: int, tree: int, node: int, use: str) -> float:
+    """A number in [0, 1) that belongs to a node."""
+    return int(hashlib.md5(f"{seed}:{tree}:{node}:{use}".encode()).hexdigest()[:HASH_HEX], 16) / HASH_SPAN
+
+
+def pool_hash(key: Column, seed: int) -> Column:
+    """The order in which rows enter the pool of a forest."""
+    return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+
 
+def sample_of(tree: int, pool: int) -> list[int]:
+    """Places in the pool that a tree sees: runs that follow each other, and overlap only where the pool is short."""
+    return [(tree * SAMPLE + i) % pool for i in range(min(SAMPLE, pool))]
 
-def grow_tree(x: np.ndarray, n_numeric: int, rng: np.random.Generator) -> list[tuple]:
-    """Nodes ``(feature, value, left, right, path)`` of one tree, root first."""
-    limit = int(np.ceil(np.log2(max(len(x), 2))))
-    nodes: list[tuple] = []
-    waiting = [(np.arange(len(x)), 0, -1, False)]
+
+def grow_tree(x: np.ndarray, n_numeric: int, seed: int, tree: int) -> Iterator[tuple]:
+    """Nodes ``(node, feature, value, path)``; the children of ``node`` are ``2 node`` (left) and ``2 node + 1``, the root is 1.
+
+    A leaf has feature -1 and its path in millionths. A feature below ``n_numeric`` splits at ``value``, less to the left; a
+    later one is categorical and ``value`` is the code that goes left.
+    """
+    limit = math.ceil(math.log2(max(len(x), 2)))
+    waiting = [(np.arange(len(x)), 1, 0)]
     while waiting:
-        rows, depth, parent, is_right = waiting.pop()
-        here = len(nodes)
-        if parent >= 0:
-            feature, value, left, right, path = nodes[parent]
-            nodes[parent] = (feature, value, left, here, path) if is_right else (feature, value, here, right, path)
-        split = _random_split(x[rows], n_numeric, rng) if depth < limit and len(rows) > 1 else None
+        rows, node, depth = waiting.pop()
+        split = _split(x[rows], n_numeric, seed, tree, node) if depth < limit and len(rows) > 1 else None
         if split is None:
-            nodes.append((-1, 0.0, -1, -1, depth + mean_path(len(rows))))
+            yield node, -1, 0.0, depth * MILLION + round(mean_path(len(rows)) * MILLION)
             continue
         feature, value = split
         column = x[rows, feature]
-        goes_left = column < value if feature < n_numeric else column == value
-        nodes.append((feature, value, -1, -1, 0.0))
-        waiting.append((rows[~goes_left], depth + 1, here, True))
-        waiting.append((rows[goes_left], depth + 1, here, False))
-    return nodes
+        left = column < value if feature < n_numeric else column == value
+        yield node, feature, value, 0
+        waiting += [(rows[left], 2 * node, depth + 1), (rows[~left], 2 * node + 1, depth + 1)]
 
 
-def _random_split(x: np.ndarray, n_numeric: int, rng: np.random.Generator) -> tuple[int, float] | None:
-    """A random feature that varies here; each category counts as a feature of its own."""
+def _split(x: np.ndarray, n_numeric: int, seed: int, tree: int, node: int) -> tuple[int, float] | None:
+    """One of the features that vary here, as the node's hash says; each category counts as a feature of its own."""
     low, high = x.min(axis=0), x.max(axis=0)
     choices: list[tuple[int, float]] = []
     for feature in np.flatnonzero(low < high):
-        if feature < n_numeric:
-            choices.append((int(feature), np.nan))
-        else:
-            choices += [(int(feature), float(code)) for code in np.unique(x[:, feature])]
+        codes = np.unique(x[:, feature]) if feature >= n_numeric else [math.nan]
+        choices += [(int(feature), float(code)) for code in codes]
     if not choices:
         return None
-    feature, value = choices[rng.integers(len(choices))]
+    feature, value = choices[int(chance(seed, tree, node, "feature") * len(choices))]
     if feature < n_numeric:
         # In (low, high], so that both sides get a row.
-        value = high[feature] - rng.random() * (high[feature] - low[feature])
-    return feature, float(value)
+        value = float(high[feature] - chance(seed, tree, node, "value") * (high[feature] - low[feature]))
+    return feature, value
+
+
+@dataclass(frozen=True)
+class Forest:
+    """The nodes of all trees: ``tree, node, feature, value, path``, a bounded table."""
+
+    columns: tuple[str, ...]
+    n_numeric: int
+    trees: int
+    sample: int
+    nodes: pd.DataFrame
+
+    def path(self) -> Column:
+        """The sum of a row's path lengths over all trees, in millionths: nested conditions that the JVM compiles."""
+        texts = []
+        for _, tree in self.nodes.groupby("tree", sort=True):
+            by_node = {row.node: row for row in tree.itertuples()}
+
+            def text(node: int, by_node: dict = by_node) -> str:
+                row = by_node[node]
+                if row.feature < 0:
+                    return f"{row.path}L"
+                sign = "<" if row.feature < self.n_numeric else "="
+                return f"if(`{self.columns[row.feature]}`{sign}{float(row.value)!r}D,{text(2 * node)},{text(2 * node + 1)})"
+
+            texts.append(text(1))
+        # Pairs of sums, so that the expression stays flat.
+        sums = [F.expr(text) for text in texts]
+        while len(sums) > 1:
+            sums = [a + b for a, b in zip(sums[::2], sums[1::2], strict=False)] + (sums[-1:] if len(sums) % 2 else [])
+        return sums[0]
+
+    def score(self, path: Column) -> Column:
+        """The anomaly score of a path, in (0, 1]; higher is stranger."""
+        return F.pow(F.lit(2.0), -(path / F.lit(float(self.trees * MILLION))) / F.lit(max(mean_path(self.sample), 1e-12)))
 
 
 def _encoded(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -110,50 +133,32 @@ def _encoded(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str])
     if categorical:
         indexer = StringIndexer(inputCols=list(categorical), outputCols=codes, stringOrderType="alphabetAsc")
         df = indexer.fit(df).transform(df)
-    return df, [*numeric, *codes]
-
-
-def _lowest(hashed: DataFrame, key: str, columns: Sequence[str], limit: int) -> np.ndarray:
-    return hashed.orderBy("_hash", key).limit(limit).toPandas()[list(columns)].to_numpy(dtype=float)
+    named = [f"_x_{name}" for name in numeric]
+    return df.withColumns({f"_x_{name}": F.col(name).cast("double") for name in numeric}), [*named, *codes]
 
 
 def fit_forest(
-    df: DataFrame, key: str, numeric: Sequence[str], columns: Sequence[str], trees: int, seed: int
+    df: DataFrame, key: str, n_numeric: int, columns: Sequence[str], trees: int, seed: int
 ) -> Forest:
-    """Grow ``trees`` trees on samples of up to 256 rows.
-
-    The rows with the smallest keyed hashes form the pool the samples come from: 256 per
-    tree, so at most a few tens of thousands of rows, the same ones however rows are split.
-    """
-    rows, wanted = df.count(), trees * SAMPLE
-    hashed = df.select(
-        F.xxhash64(F.col(key), F.lit(seed)).alias("_hash"), key, *[F.col(c).cast("double").alias(c) for c in columns]
-    )
-    # Twice the share that is needed; only these few rows are then sorted.
-    low = hashed.filter(hash_share(F.col(key), 2 * wanted / rows, seed)) if rows > 2 * wanted else hashed
-    pool = _lowest(low, key, columns, wanted)
-    if len(pool) < min(rows, wanted):
-        pool = _lowest(hashed, key, columns, wanted)
-    size = min(SAMPLE, len(pool))
-    n_numeric = len(numeric)
+    """Grow ``trees`` trees on 256 rows each, at most a few tens of thousands in all: those with the smallest keyed hashes."""
+    hashed = df.select(pool_hash(F.col(key), seed).alias("_hash"), F.col(key).alias("_key"), *[F.col(c).cast("double").alias(c) for c in columns])
+    pool = hashed.orderBy("_hash", "_key").limit(trees * SAMPLE).toPandas()[list(columns)].to_numpy(dtype=float)
 
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for tree in batch["id"]:
-                rng = np.random.default_rng([seed, int(tree)])
-                rows = rng.choice(len(pool), size=size, replace=False)
-                grown = pd.DataFrame(
-                    grow_tree(pool[rows], n_numeric, rng), columns=["feature", "value", "left", "right", "path"]
-                )
+                rows = pool[sample_of(int(tree), len(pool))]
+                grown = pd.DataFrame(grow_tree(rows, n_numeric, seed, int(tree)), columns=["node", "feature", "value", "path"])
                 grown.insert(0, "tree", int(tree))
-                grown.insert(1, "node", range(len(grown)))
                 yield grown
 
     spark = df.sparkSession
     tasks = min(trees, spark.sparkContext.defaultParallelism)
-    schema = "tree long, node long, feature long, value double, left long, right long, path double"
-    nodes = spark.range(0, trees, 1, tasks).mapInPandas(grow, schema).toPandas()
-    return Forest(n_numeric, size, nodes.sort_values(["tree", "node"], ignore_index=True))
+    schema = "tree long, node long, feature long, value double, path long"
+    nodes = spark.range(0, trees, 1, tasks).mapInPandas(grow, schema).toPandas() if len(pool) else pd.DataFrame(
+        {"tree": range(trees), "node": 1, "feature": -1, "value": 0.0, "path": 0}
+    )
+    return Forest(tuple(columns), n_numeric, trees, min(SAMPLE, len(pool)), nodes)
 
 
 def isolation_scores(
@@ -164,18 +169,19 @@ def isolation_scores(
     trees: int = 100,
     seed: int = 42,
 ) -> DataFrame:
-    """``df`` with a ``score`` in (0, 1]; higher is stranger."""
-    encoded, columns = _encoded(df, numeric, categorical)
-    forest = fit_forest(encoded, key, numeric, columns, trees, seed)
-
-    @F.pandas_udf("double")
-    def score(features: pd.DataFrame) -> pd.Series:
-        return pd.Series(forest.score(features.to_numpy(dtype=float)))
+    """``df`` with ``path`` (summed over the trees, in millionths) and ``score`` in (0, 1]; a short path is a high score.
 
-    features = F.struct(*[F.col(c).cast("double").alias(c) for c in columns])
-    return encoded.select(*df.columns, score(features).alias("score"))
+    ``key`` is unique. A null feature goes right at every split.
+    """
+    encoded, columns = _encoded(df, numeric, categorical)
+    forest = fit_forest(encoded, key, len(numeric), columns, trees, seed)
+    return encoded.select(*df.columns, forest.path().alias("path")).withColumn("score", forest.score(F.col("path")))
 
 
-def score_cut(scored: DataFrame, contamination: float, accuracy: int = 100_000) -> Column:
-    """The score that a ``contamination`` share of rows exceeds, as a scalar."""
-    return scored.agg(F.percentile_approx("score", 1.0 - contamination, accuracy)).scalar()
+def path_cut(scored: DataFrame, contamination: float) -> int | None:
+    """The path that a ``contamination`` share of rows stays below; exact."""
+    rows = scored.count()
+    if not rows:
+        return None
+    # The value at rank ceil((1 - share) n) from the longest path down.
+    return values_at_ranks(scored, "path", [rows - math.ceil((1.0 - contamination) * rows) + 1])[0]

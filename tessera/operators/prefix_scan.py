@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,6 +74,16 @@ def prefix_scan(
     )
 
 
+def values_at_ranks(df: DataFrame, column: str, ranks: Sequence[int], rows_per_task: int = ROWS_PER_TASK) -> list[Any]:
+    """The values of ``column`` at 1-based ranks among those not null, from counts per distinct value; None beyond the last."""
+    counts = materialize(
+        df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n")),
+        "value_counts",
+    )
+    scanned = prefix_scan(counts, [F.col("v")], {"upto": "n"}, rows_per_task=rows_per_task)
+    return list(scanned.agg(*[F.min(F.when(F.col("upto") >= rank, F.col("v"))) for rank in ranks]).first())
+
+
 def exact_median(df: DataFrame, column: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """One row ``median``: the mean of the middle values, from counts per distinct value."""
     counts = materialize(

@@ -3,17 +3,13 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.isolation_forest import isolation_scores, score_cut
+from tessera.operators import kmeans, logistic
+from tessera.operators.isolation_forest import isolation_scores, path_cut
 from tessera.operators.prefix_scan import exact_median
 from tessera.plans.finance import enrich, enrich_few
 from tessera.plans.marts import anomaly_reasons
@@ -23,14 +19,13 @@ from tessera.sources.workspace import materialize, spread
 CLUSTER_FEATURES = ["txns", "total_spend", "avg_basket", "recency_days"]
 CHURN_FEATURES = ["total_spend", "txns"]
 RESTARTS = 10
-CONCURRENT_FITS = 5
-# A fit ends when no centre moves further; squared, the usual 1e-4.
-MOVEMENT = 0.01
 SEED = 42
 GRID = 30
 TOP_ANOMALIES = 50
 FINANCE_SEED = 20260421
-FINANCE_TREES = 120
+FRAUD_TREES, FINANCE_TREES = 100, 120
+# Digits of the log amount that a model sees; libraries differ beyond them.
+LOG_DIGITS = 6
 SENSITIVITY_RANGE = (0.005, 0.30)
 
 
@@ -65,9 +60,7 @@ def _scaling(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]
 
 
 def _standardised(df: DataFrame, scale: dict[str, tuple[float, float]]) -> DataFrame:
-    scaled = [((F.col(c) - mean) / deviation).alias(f"_z_{c}") for c, (mean, deviation) in scale.items()]
-    assembler = VectorAssembler(inputCols=[f"_z_{c}" for c in scale], outputCol="z")
-    return assembler.transform(df.select("*", *scaled)).drop(*[f"_z_{c}" for c in scale])
+    return df.withColumns({f"z_{c}": (F.col(c) - F.lit(mean)) / F.lit(deviation) for c, (mean, deviation) in scale.items()})
 
 
 @dataclass(frozen=True)
@@ -80,34 +73,28 @@ class Clusters:
 def cluster_customers(features: DataFrame, k: int = 4) -> Clusters:
     """k-means on standardised behaviour, best of ten starts; centroids in real units."""
     features = materialize(features, "customer_features")
-    scale = _scaling(features, CLUSTER_FEATURES) if not features.isEmpty() else {c: (0.0, 1.0) for c in CLUSTER_FEATURES}
-    ready = _standardised(features, scale).persist()
     spark = features.sparkSession
     centroid_schema = "cluster int, txns double, total_spend double, avg_basket double, recency_days double"
     if features.isEmpty():
-        points, centers = ready.withColumn("cluster", F.lit(0)), []
+        points, centers = features.withColumn("cluster", F.lit(0)), []
     else:
-        def fit(start: int) -> KMeansModel:
-            return KMeans(
-                featuresCol="z", predictionCol="cluster", k=k, seed=SEED + start, maxIter=300, tol=MOVEMENT
-            ).fit(ready)
-
-        # The starts are independent jobs over the same persisted rows.
-        with ThreadPool(CONCURRENT_FITS) as pool:
-            models = pool.map(inheritable_thread_target(spark)(fit), range(RESTARTS))
-        ready.unpersist()
-        best = min(models, key=lambda model: model.summary.trainingCost)
-        points, centers = best.transform(ready), best.clusterCenters()
+        scale = _scaling(features, CLUSTER_FEATURES)
+        ready = materialize(_standardised(features, scale), "standardised")
+        model = kmeans.fit(ready, "customer_id", [f"z_{c}" for c in CLUSTER_FEATURES], k, RESTARTS, SEED)
+        points, centers = model.clustered(ready), model.centers
     real = [
-        (i, *[float(v) * scale[c][1] + scale[c][0] for c, v in zip(CLUSTER_FEATURES, center)])
+        (i, *[v * scale[c][1] + scale[c][0] for c, v in zip(CLUSTER_FEATURES, center, strict=True)])
         for i, center in enumerate(centers)
     ]
-    summary = points.groupBy("cluster").agg(
+    kept = materialize(points.select("customer_id", "total_spend", "recency_days", "txns", "cluster"), "cluster_points")
+    return Clusters(kept, spark.createDataFrame(real, centroid_schema), cluster_summary(kept))
+
+
+def cluster_summary(points: DataFrame) -> DataFrame:
+    return points.groupBy("cluster").agg(
         F.count("*").alias("n"), F.avg("total_spend").alias("avg_spend"),
         F.avg("txns").alias("avg_txns"), F.avg("recency_days").alias("avg_recency"),
     )
-    kept = points.select("customer_id", "total_spend", "recency_days", "txns", "cluster")
-    return Clusters(kept, spark.createDataFrame(real, centroid_schema), summary)
 
 
 def churn_labels(features: DataFrame, threshold_days: int = 30) -> DataFrame:
@@ -145,24 +132,18 @@ def churn_classifier(features: DataFrame, threshold_days: int = 30) -> Churn:
         summary = counts.select("*", F.lit(None).cast("double").alias("accuracy"), F.lit(reason).alias("error"))
         return Churn(summary, labels, spark.range(0).selectExpr("0D total_spend", "0D txns", "0D churn_prob"))
     scale = _scaling(labels, CHURN_FEATURES)
-    ready = _standardised(labels, scale).persist()
-    # An L2 strength of 1 on the summed loss is 1/n on the mean loss.
-    model = LogisticRegression(
-        featuresCol="z", labelCol="churned", regParam=1.0 / (churned + active), elasticNetParam=0.0,
-        standardization=False, maxIter=500,
-    ).fit(ready)
-    ready.unpersist()
-    hits = F.avg((F.col("prediction") == F.col("churned")).cast("double"))
-    accuracy = model.transform(ready).agg(F.round(hits, 3)).scalar()
-    summary = counts.select("*", accuracy.alias("accuracy"), F.lit(None).cast("string").alias("error"))
+    ready = materialize(_standardised(labels, scale), "standardised")
+    # An L2 strength of 1 on the summed loss.
+    model = logistic.fit(ready, [f"z_{c}" for c in CHURN_FEATURES], "churned")
+    hits = F.avg(((F.col("p") > 0.5).cast("int") == F.col("churned")).cast("double"))
+    accuracy = model.scored(ready, "p").agg(F.round(hits, 3)).first()[0]
+    summary = counts.select("*", F.lit(accuracy).alias("accuracy"), F.lit(None).cast("string").alias("error"))
     low_high = labels.agg(*[f(c).cast("double") for c in CHURN_FEATURES for f in (F.min, F.max)]).first()
     cells = spark.range(GRID * GRID).select(
         _linspace(F.pmod("id", F.lit(GRID)), low_high[0], low_high[1]).alias("total_spend"),
         _linspace(F.floor(F.col("id") / GRID), low_high[2], low_high[3]).alias("txns"),
     )
-    grid = model.transform(_standardised(cells, scale)).select(
-        "total_spend", "txns", vector_to_array("probability")[1].alias("churn_prob")
-    )
+    grid = model.scored(_standardised(cells, scale), "churn_prob").select("total_spend", "txns", "churn_prob")
     return Churn(summary, labels, grid)
 
 
@@ -180,18 +161,19 @@ def banking_features(banking: DataFrame) -> DataFrame:
     )
 
 
-def fraud_anomalies(banking: DataFrame, contamination: float = 0.03) -> DataFrame:
-    """Every payment with its score and flag, as a written table."""
+def fraud_scores(banking: DataFrame) -> DataFrame:
+    """Every payment with its path and score; write it once for all reports on it."""
     features = materialize(banking_features(spread(banking)), "banking_features")
-    scored = materialize(
-        isolation_scores(features, "txn_id", ["amount", "is_night", "is_unknown_merchant"], seed=SEED),
-        "fraud_scores",
-    )
-    return scored.withColumn("flagged", (F.col("score") > score_cut(scored, contamination)).cast("int"))
+    return isolation_scores(features, "txn_id", ["amount", "is_night", "is_unknown_merchant"], trees=FRAUD_TREES, seed=SEED)
+
+
+def flag_fraud(scored: DataFrame, contamination: float = 0.03) -> DataFrame:
+    """Scored payments with the flag of the strangest share."""
+    return scored.withColumn("flagged", F.coalesce(F.col("path") < F.lit(path_cut(scored, contamination)), F.lit(False)).cast("int"))
 
 
 def top_anomalies(scored: DataFrame, limit: int = TOP_ANOMALIES) -> DataFrame:
-    return scored.orderBy(F.desc("score"), "txn_id").limit(limit).select(
+    return scored.orderBy("path", "txn_id").limit(limit).select(
         "txn_id", "amount", "hour", "merchant", "is_fraud", "score"
     )
 
@@ -236,31 +218,33 @@ class SpendAnomalies:
     summary: DataFrame
 
 
+def spend_scores(silver: DataFrame, departments: DataFrame) -> DataFrame:
+    """Every spend row with its path and score; write it once for all reports on it."""
+    features = spend_features(enrich(spread(silver), departments=departments))
+    features = materialize(features.withColumn("log_amount", F.round("log_amount", LOG_DIGITS)), "spend_features")
+    return isolation_scores(
+        features, "txn_id", ["log_amount", "dow"], ["dept_label", "category_label"], trees=FINANCE_TREES, seed=FINANCE_SEED
+    )
+
+
 def spend_anomalies(
-    silver: DataFrame, employees: DataFrame, departments: DataFrame, vendors: DataFrame,
-    sensitivity: float = 0.05, top_k: int = 25,
+    scored: DataFrame, employees: DataFrame, vendors: DataFrame, sensitivity: float = 0.05, top_k: int = 25,
 ) -> SpendAnomalies:
     """The largest of the strangest spend rows, each with its reasons, and the totals."""
     sensitivity = clamp_sensitivity(sensitivity)
-    features = materialize(spend_features(enrich(spread(silver), departments=departments)), "spend_features")
-    scored = materialize(
-        isolation_scores(
-            features, "txn_id", ["log_amount", "dow"], ["dept_label", "category_label"],
-            trees=FINANCE_TREES, seed=FINANCE_SEED,
-        ),
-        "spend_scores",
-    )
-    excess = scored.withColumn("anomaly_score", F.col("score") - score_cut(scored, sensitivity))
-    outliers = excess.filter("anomaly_score > 0")
+    cut = path_cut(scored, sensitivity)
+    is_outlier = F.coalesce(F.col("path") < F.lit(cut), F.lit(False))
+    cut_score = scored.filter(F.col("path") == F.lit(cut)).agg(F.max("score")).first()[0]
+    excess = scored.withColumn("anomaly_score", F.col("score") - F.lit(cut_score))
     median = exact_median(scored, "amount_aed").first()[0] or 1.0
-    largest = outliers.orderBy(F.desc("amount_aed"), F.desc("anomaly_score"), "txn_id").limit(top_k)
+    largest = excess.filter(is_outlier).orderBy(F.desc("amount_aed"), "path", "txn_id").limit(top_k)
     flagged = enrich_few(largest, employees=employees, vendors=vendors).select(
         "txn_id", "source", "employee", "department", "vendor", "category", "txn_date",
         F.col("amount_aed").cast("double").alias("amount_aed"),
         F.round("anomaly_score", 4).alias("anomaly_score"),
         anomaly_reasons(F.col("amount_aed"), F.col("txn_date"), F.lit(median)).alias("reasons"),
     )
-    summary = excess.agg(
-        F.count("*").alias("total_rows"), F.count_if(F.col("anomaly_score") > 0).alias("outlier_count")
+    summary = scored.agg(
+        F.count("*").alias("total_rows"), F.count_if(is_outlier).alias("outlier_count")
     ).select("*", F.lit(sensitivity).alias("sensitivity"), F.lit(round(median, 2)).alias("median_amount_aed"))
     return SpendAnomalies(flagged, summary)

@@ -1,16 +1,21 @@
 from __future__ import annotations
 
+import datetime as dt
 import itertools
+import math
 import random
+import re
 from decimal import Decimal
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators.canonical import alias_index, canonicalize
-from tessera.operators.cube import active_filters, available, cube_query
-from tessera.operators.isolation_forest import isolation_scores, score_cut
+from tessera.operators import kmeans, logistic
+from tessera.operators.canonical import alias_index, canonicalize, containing
+from tessera.operators.cube import MOST_RANGES, active_filters, available, cube_query, date_runs, within
+from tessera.operators.isolation_forest import MILLION, fit_forest, isolation_scores, mean_path, path_cut
 from tessera.operators.prefix_scan import exact_median, prefix_scan
 from tessera.operators.rules import association_rules, basket_items, frequent_itemsets
 from tessera.plans import quality
@@ -25,6 +30,17 @@ def lookup(spark, vendor_rows, raws):
     return {r.raw: r.vendor_id for r in canonicalize(spelled, alias_index(vendors(spark, vendor_rows))).collect()}
 
 
+def test_containing_equals_brute_force(spark):
+    rng = random.Random(4)
+    words = ["a", "é", "ab", "shop", "supplier#0001", "supplier#00012", "supplier#000123", "漢字 stores", "stores", "x y"]
+    texts = {"".join(rng.choices(words, k=rng.randint(1, 6))) for _ in range(150)} | set(words) | {"ab" * 5000, "shop " * 2000 + "supplier#000123"}
+    patterns = {"".join(rng.choices(words, k=rng.randint(1, 2))) for _ in range(60)} | set(words)
+    frames = [spark.createDataFrame([(v,) for v in sorted(values)], f"{name} string") for name, values in (("text", texts), ("pattern", patterns))]
+    got = {(r.text, r.pattern) for r in containing(*frames).collect()}
+    assert got == {(t, p) for t in texts for p in patterns if p in t}
+    assert containing(frames[0].filter("false"), frames[1]).count() == 0 and containing(frames[0], frames[1].filter("false")).count() == 0
+
+
 def test_vendor_lookup(spark):
     amazon = [("V01", "Amazon", "Software", '["AMZN MKTPLACE", "Amazon.ae"]')]
     got = lookup(spark, amazon, ["Amazon", " amazon.AE ", "amzn mktplace charges", "totally unknown vendor xyz", "amzn", "  ", ""])
@@ -163,23 +179,129 @@ def planted(spark):
     return spark.createDataFrame(rows, "key string, amount double, dow int, label string")
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_isolation_forest(spark):
     df = planted(spark)
-    scored = isolation_scores(df, "key", ["amount", "dow"], ["label"], trees=60, seed=1).persist()
-    flagged = scored.filter(F.col("score") > score_cut(scored, 0.03))
-    assert flagged.count() == pytest.approx(0.03 * 3010, abs=3)
-    top = [r.key for r in scored.orderBy(F.desc("score")).limit(10).collect()]
+    scored = isolation_scores(df, "key", ["amount", "dow"], ["label"], trees=60, seed=1)
+    assert not any(word in plan_of(scored) for word in ("Python", "Pandas", "Arrow"))
+    scored = scored.persist()
+    flagged = scored.filter(F.col("path") < path_cut(scored, 0.03))
+    # Rows that share the path of the cut stay out.
+    assert 0.02 * 3010 <= flagged.count() <= 0.03 * 3010 + 1
+    top = [r.key for r in scored.orderBy("path").limit(10).collect()]
     assert all(key.startswith("out") for key in top)
     again = isolation_scores(df.repartition(7), "key", ["amount", "dow"], ["label"], trees=60, seed=1)
-    both = scored.select("key", "score").join(again.select("key", F.col("score").alias("other")), "key")
-    assert both.filter("score <> other").count() == 0
+    both = scored.select("key", "path", "score").join(again.select("key", F.col("path").alias("other")), "key")
+    assert both.count() == 3010 and both.filter("path <> other").count() == 0
     assert scored.agg(F.min("score"), F.max("score")).first()[1] <= 1.0
 
 
+def test_forest_expression_walks_its_nodes(spark):
+    df = planted(spark).withColumns({"_x_amount": F.col("amount"), "_x_dow": F.col("dow").cast("double"), "_code_label": (F.col("label") == "y").cast("double")})
+    columns = ["_x_amount", "_x_dow", "_code_label"]
+    forest = fit_forest(df, "key", 2, columns, 9, 5)
+    nodes = {(n.tree, n.node): n for n in forest.nodes.itertuples()}
+
+    def walk(row, tree, node=1):
+        at = nodes[tree, node]
+        if at.feature < 0:
+            return at.path
+        left = row[columns[at.feature]] < at.value if at.feature < 2 else row[columns[at.feature]] == at.value
+        return walk(row, tree, 2 * node + (not left))
+
+    for row in df.withColumn("path", forest.path()).limit(200).collect():
+        assert row["path"] == sum(walk(row, tree) for tree in range(9))
+    # A leaf's path counts its rows; those of a tree add up to the sample.
+    assert all(n.path % MILLION in {round(mean_path(k) * MILLION) % MILLION for k in range(257)} for n in forest.nodes.itertuples() if n.feature < 0)
+
+
+def test_path_cut_is_exact(spark):
+    rows = spark.createDataFrame([(float(i), int(p)) for i, p in enumerate([5, 5, 1, 2, 9, 9, 9, 3, 7, 8])], "k double, path long")
+    paths = sorted(r.path for r in rows.collect())
+    for share in (0.0, 0.1, 0.25, 0.5, 0.9):
+        cut = path_cut(rows, share)
+        assert cut == paths[10 - math.ceil((1 - share) * 10)] and rows.filter(F.col("path") < cut).count() <= share * 10
+    assert path_cut(rows.filter("false"), 0.1) is None
+
+
 def test_isolation_forest_on_few_rows(spark):
     df = spark.createDataFrame([("a", 1.0), ("b", 1.0), ("c", 9.0)], "key string, amount double")
     scores = {r.key: r.score for r in isolation_scores(df, "key", ["amount"], trees=20).collect()}
     assert scores["c"] > scores["a"] == scores["b"]
+    assert isolation_scores(df.filter("false"), "key", ["amount"], trees=20).count() == 0
+    assert isolation_scores(df.limit(1), "key", ["amount"], trees=3).first().path == 0
+
+
+def test_kmeans_rounds(spark):
+    """Every start, moved together, ends where it would alone."""
+    rng = np.random.default_rng(2)
+    points = np.concatenate([rng.normal(c, 0.3, (40, 2)) for c in ((0, 0), (4, 0), (0, 5))])
+    rows = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(points)], "id long, a double, b double").persist()
+    model = kmeans.fit(rows, "id", ["a", "b"], 3, 6, 1)
+    best = math.inf
+    for start, centers in kmeans.first_centers(rows, "id", ["a", "b"], 3, 6, 1).items():
+        at = np.array(centers)
+        assert at.shape == (3, 2)
+        for _ in range(100):
+            near = ((points[:, None] - at) ** 2).sum(axis=2).argmin(axis=1)
+            new = np.array([points[near == i].mean(axis=0) if (near == i).any() else at[i] for i in range(3)])
+            far, at = ((new - at) ** 2).sum(), new
+            if far <= kmeans.MOVEMENT:
+                break
+        best = min(best, ((points[:, None] - at) ** 2).sum(axis=2).min(axis=1).sum())
+    assert model.cost == pytest.approx(best)
+    got = model.clustered(rows).withColumnRenamed("cluster", "c").groupBy("c").agg(F.avg("a").alias("a"), F.avg("b").alias("b")).orderBy("c").collect()
+    assert [[r.a, r.b] for r in got] == [pytest.approx(c, abs=0.05) for c in model.centers] and model.centers == sorted(model.centers)
+    assert len(kmeans.fit(rows.limit(2), "id", ["a", "b"], 4, 2, 1).centers) == 2
+
+
+def test_logistic_is_the_minimum(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 2))
+    y = (x @ [1.5, -2.0] + 0.3 + rng.normal(size=300) > 0).astype(int)
+    rows = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y, strict=True)], "a double, b double, y int").persist()
+    model = logistic.fit(rows, ["a", "b"], "y")
+    w, p = np.array(model.weights), 1 / (1 + np.exp(-(x @ np.array(model.weights) + model.intercept)))
+    assert np.abs(x.T @ (p - y) + w).max() < 1e-6 and abs((p - y).sum()) < 1e-6
+    # Separable labels have no minimum without the squares; with them they do.
+    apart = rows.withColumn("y", (F.col("a") > 0).cast("int")).persist()
+    assert np.isfinite(logistic.fit(apart, ["a", "b"], "y").weights).all()
+
+
+def test_calendar_filters_become_ranges(spark):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(days=i) for i in range(800)]
+    dim = spark.createDataFrame([(d, (d.month - 1) // 3 + 1, d.strftime("%B"), d.year) for d in days], "date_id date, quarter int, month_name string, year int")
+    dim = {"gold_dim_date": dim}
+    assert date_runs(dim, {"country": "x", "year": ""}) is None
+    assert date_runs(dim, {"quarter": "1"}) == [(dt.date(y, 1, 1), min(dt.date(y, 3, 31), days[-1])) for y in (2024, 2025, 2026)]
+    assert date_runs(dim, {"quarter": "2", "year": "2025", "channel": "web"}) == [(dt.date(2025, 4, 1), dt.date(2025, 6, 30))]
+    assert date_runs(dim, {"year": "1999"}) == [] and date_runs(dim, {"quarter": "none"}) == []
+    fact = spark.createDataFrame([(d,) for d in days], "date_id date")
+    assert within(fact, []).count() == 0 and within(fact, None).count() == 800
+    assert within(fact, [(dt.date(2024, 1, 5), dt.date(2024, 1, 6)), (dt.date(2025, 1, 1), dt.date(2025, 1, 1))]).count() == 3
+    many = [(d, d) for d in days[:: 2][: MOST_RANGES + 1]]
+    assert within(fact, many).count() == 2 * MOST_RANGES + 1
+
+
+def test_filters_reach_the_scans(spark, small):
+    """The calendar filter as ranges on the fact, the key of a point read on a sorted table with bloom filters."""
+    quarter = cube_query(small.table("gold_fact_sales"), small.dims(), ["category"], filters={"quarter": "1"})
+    scan = next(part for part in re.split("FileScan", plan_of(quarter)) if "product_id" in part and "PushedFilters" in part and "date_id" in part.split("PushedFilters")[1].split("]")[0])
+    pushed = scan.split("PushedFilters: ")[1].split("ReadSchema")[0]
+    assert "GreaterThanOrEqual(date_id," in pushed and "LessThanOrEqual(date_id," in pushed
+    point = small.table("oltp_transactions").filter("txn_id = 'T42'")
+    assert "EqualTo(txn_id,T42)" in plan_of(point)
+    files = [f.removeprefix("file:") for f in small.table("oltp_transactions").inputFiles()]
+    groups = [(g.column(i).statistics, file) for file in files for m in [pq.ParquetFile(file).metadata] for g in [m.row_group(n) for n in range(m.num_row_groups)]
+              for i in range(g.num_columns) if g.column(i).path_in_schema == "txn_id"]
+    assert sum(s.min <= "T42" <= s.max for s, _ in groups) <= 1
+    facts = [f.removeprefix("file:") for f in small.table("gold_staged").filter("status = 'gold_inserted'").inputFiles()]
+    for file in facts:
+        dates = pq.read_table(file, columns=["date_id"]).column("date_id").to_pylist()
+        assert dates == sorted(dates)
 
 
 def test_quality_checks_find_violations(spark):

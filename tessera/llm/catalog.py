@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, divergence, language, licenses, lm, pii, quality, repeats, reuse, sketches, tokens, whitening
+from tessera.llm import decontaminate, divergence, language, licenses, lm, pii, quality, repeats, reuse, sketches, tokens, warc, whitening
 from tessera.llm.common import table
 
 
@@ -49,6 +49,10 @@ def op10_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketches.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened(table(spark, sf_dir, "embeddings"))
 
@@ -61,7 +65,10 @@ QUERIES = {
     query.__name__: query
     for query in (
         op1_token_files, op2_gru_class_lm, op3_language_centroids, op4_suffix_repeats, op5_license_signatures, op6_chunk_reuse_bpe, op7_bilstm_crf_pii, op8_positional_index, op9_quality_cascade,
-        op10_setsketch_dedup, op12_embedding_whitening, op13_source_divergence,
+        op10_setsketch_dedup, op11_warc_dictionary, op12_embedding_whitening, op13_source_divergence,
     )
 }
-TWINS = {"op8_positional_index": decontaminate.ORACLE, "op9_quality_cascade": quality.ORACLE, "op10_setsketch_dedup": sketches.ORACLE, "op13_source_divergence": divergence.ORACLE}
+TWINS = {
+    "op8_positional_index": decontaminate.ORACLE, "op9_quality_cascade": quality.ORACLE, "op10_setsketch_dedup": sketches.ORACLE,
+    "op11_warc_dictionary": warc.ORACLE, "op13_source_divergence": divergence.ORACLE,
+}

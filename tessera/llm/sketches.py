@@ -17,7 +17,8 @@ No step emits the pairs of a group; a node that stands in thousands of copies is
 Defined results. Words are runs without the bytes 20 and 09-0D, A-Z lower-cased. A text of one to four words is one shingle,
 a null or empty one has none and is linked with nothing: its component is its own id. A null doc_id never names a component
 that holds another id. Rows that share an id and a set are equal in all results. Shingles are compared by 64-bit hashes.
-With 40 bands of 4 registers a pair of similarity 0.75 shares no band with a chance of 3e-7.
+What a link of similarity 0.75 can be lost by: with 40 bands of 4 registers it shares no band with a chance of 2.5e-7, and with
+half of 160 registers or fewer equal its estimate is dropped with a chance of 1e-11. So the bands decide, 2.5e-7 in all.
 """
 
 from __future__ import annotations
@@ -44,8 +45,8 @@ BASE = 1.001
 FIRST_BANDS = 8
 #: Nodes of a bucket whose pairs are all candidates.
 SMALL = 16
-#: Estimates this far under the limit are dropped: over four standard deviations of 160 registers.
-MARGIN = 0.15
+#: Estimates this far under the limit are dropped: over seven standard deviations of 160 registers.
+MARGIN = 0.25
 #: Nodes compared with as many at a time in larger buckets.
 BLOCK = 512
 #: Bytes of text a task hashes at a time; its arrays take some fifty times as much.

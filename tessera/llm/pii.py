@@ -2,7 +2,9 @@
 
 The network is trained in numpy on windows with labelled spans. Labels are the base patterns' spans in a bounded sample of
 the corpus (about ``TRAIN_DOCS`` documents by hash, ``TRAIN_WINDOWS`` windows), each window also with the spans written in
-ways the patterns miss ("name at host dot com", bracketed or dotted telephone numbers, spaced addresses). Every place where
+ways the patterns miss ("name at host dot com", bracketed or dotted telephone numbers, spaced addresses), addresses also
+with other names; plain windows stand against them, but for those that may hold such a span themselves. A proposal is a run
+of tags on the best path; what it gains over the path with nothing in its place is its score. Every place where
 a span of any kind could stand holds a digit or an @ or a written-out at; overlapping windows cover all of these places.
 Windows are decoded by Viterbi, and what a window's edge cuts off is decoded again in wider windows until it is whole. All
 proposals of a text are reconciled globally: base spans stay, the rest is the set of disjoint valid proposals with the
@@ -11,12 +13,14 @@ highest total score. Of a card and a telephone number in the same place the card
 Defined results. Null and empty texts hold nothing. Offsets are code points, ends exclusive. Base matches that fail their
 test are dropped without a retry. Repeated rows are scanned alike; an empty table gives an empty table, and a corpus
 without any base span gives a model that adds nothing. Ties between proposals go to the longer, then the earlier one.
+A null doc_id stays null.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
@@ -39,13 +43,16 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TRIGGER = re.compile(r"[0-9@]|\bat\b|\(at\)|\[at\]")
 DIGITS = re.compile(r"[0-9]")
+# Windows that may hold a span in a way the base patterns miss: nothing can be learned from them.
+UNSURE = re.compile(r"[(\[]at[)\]]|\bat\b.{1,40}\bdot\b|\([0-9]{3}\) ?[0-9]|\[\.\]|[0-9] \. [0-9]|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}|[0-9]{4}[.][0-9]{4}")
 
 WINDOW, STEP, REACH = 96, 48, 24
 EMBEDDED, HIDDEN = 8, 16
 TAGS = 1 + 2 * len(KINDS)
-TRAIN_DOCS, TRAIN_WINDOWS, EPOCHS, BATCH = 20_000, 1500, 6, 64
-#: Mean score over the best path without the span, per span, that a proposal needs.
-LEAST_MARGIN = 4.0
+TRAIN_DOCS, TRAIN_WINDOWS, PLAIN_WINDOWS = 20_000, 1500, 1000
+STEPS, BATCH, VARIANTS = 500, 128, 5
+#: What a proposal's path must gain over the one with nothing in its place. The path is the best one, so it gains something.
+LEAST_MARGIN = 0.0
 
 
 def luhn(digits: str) -> bool:
@@ -229,10 +236,11 @@ def loss_and_gradient(model: dict, chars: np.ndarray, tags: np.ndarray, real: np
     return float((total - gold).sum()) / n, grads
 
 
-def trained(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: int = 7) -> dict[str, np.ndarray]:
-    """Adam over shuffled batches."""
+def trained(windows: list[tuple[str, list[Span]]], steps: int = STEPS, seed: int = 7) -> dict[str, np.ndarray]:
+    """Adam over shuffled batches: about ``steps`` of them, so that few windows are seen as often as many."""
     model = fresh(seed)
-    if not windows:
+    if not any(spans for _, spans in windows):
+        model["out_bias"][0] = 1e4  # nothing to learn from: nothing is ever proposed
         return model
     chars, tags, real = (np.zeros((len(windows), WINDOW), t) for t in (np.int64, np.int64, bool))
     chars += SYMBOLS - 1
@@ -248,7 +256,7 @@ def trained(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: i
     mean = {k: np.zeros_like(v) for k, v in model.items()}
     square = {k: np.zeros_like(v) for k, v in model.items()}
     step = 0
-    for _ in range(epochs):
+    for _ in range(-(-steps * BATCH // len(windows))):
         order = rng.permutation(len(windows))
         for first in range(0, len(order), BATCH):
             batch = order[first : first + BATCH]
@@ -262,7 +270,7 @@ def trained(windows: list[tuple[str, list[Span]]], epochs: int = EPOCHS, seed: i
 
 
 def decoded(model: dict, texts: list[str]) -> list[list[tuple[int, int, int, float]]]:
-    """Spans (kind, start, end, margin) of each window by Viterbi; the margin is over the tags' scores for nothing."""
+    """Spans (kind, start, end, margin) of each window by Viterbi; the margin is over the path with nothing in the span's place."""
     sizes = [len(t) for t in texts]
     width = max(WINDOW, *sizes, 0)
     chars = np.full((len(texts), width), SYMBOLS - 1, np.int64)
@@ -281,7 +289,18 @@ def decoded(model: dict, texts: list[str]) -> list[list[tuple[int, int, int, flo
     rows = np.arange(len(texts))
     for t in range(width - 1, 0, -1):
         path[t - 1] = back[t][rows, path[t]]
-    margin = np.take_along_axis(scores, path[:, :, None].astype(np.int64), 2)[:, :, 0] - scores[:, :, 0]
+    # What the path gains over the same path with nothing in a span's place: tags' scores and moves, as running sums.
+    tag = path.astype(np.int64)
+    gain = np.zeros((width + 1, len(texts)))
+    gain[1:] = np.cumsum(np.take_along_axis(scores, tag[:, :, None], 2)[:, :, 0] - scores[:, :, 0], 0)
+    moves = np.zeros((width, len(texts)))
+    moves[1:] = np.cumsum(move[tag[:-1], tag[1:]], 0)
+
+    def margin(row: int, a: int, b: int) -> float:
+        with_span = gain[b, row] - gain[a, row] + moves[min(b, width - 1), row] - moves[max(a - 1, 0), row]
+        nothing = [*tag[max(a - 1, 0) : a, row], *[0] * (b - a), *tag[b : b + 1, row]]
+        return float(with_span - sum(move[x, y] for x, y in zip(nothing, nothing[1:], strict=False)))
+
     out = []
     for row, size in enumerate(sizes):
         tags, found, t = path[:size, row], [], 0
@@ -291,7 +310,7 @@ def decoded(model: dict, texts: list[str]) -> list[list[tuple[int, int, int, flo
                 t += 1
                 while t < size and tags[t] == 2 + 2 * kind:
                     t += 1
-                found.append((int(kind), start, t, float(margin[start:t, row].mean())))
+                found.append((int(kind), start, t, margin(row, start, t)))
             else:
                 t += 1
         out.append(found)
@@ -412,6 +431,14 @@ def all_spans(model: dict, texts: list[str], at_once: int = 512) -> list[tuple[l
     return [(b, reconciled(b, p) if p else sorted(b)) for b, p in zip(base, proposals, strict=True)]
 
 
+def renamed(text: str, turn: int) -> str:
+    """An address made of words of the text, so that the network learns how one is written and not one host's names."""
+    words = re.findall(r"[A-Za-z]{2,9}", text) or ["some", "name", "host"]
+    pick = [words[(turn * 7 + i * 3) % len(words)] for i in range(4)]
+    local = pick[0] if turn % 4 == 1 else f"{pick[0]}.{pick[1]}"
+    return f"{local}@{pick[2]}.{('com', 'org', 'net', 'co.uk', 'de')[turn % 5]}"
+
+
 def varied(text: str, spans: list[Span], turn: int) -> tuple[str, list[Span]]:
     """The window with its spans written in ways that the base patterns miss."""
     out, labels, done = [], [], 0
@@ -421,7 +448,9 @@ def varied(text: str, spans: list[Span], turn: int) -> tuple[str, list[Span]]:
             continue
         body = text[a:b]
         if kind == 0:
-            body = [body.replace("@", " at ").replace(".", " dot "), body.replace("@", " (at) "), body.replace("@", "[at]").replace(".", "[dot]")][turn % 3]
+            if turn % 3:
+                body = renamed(text[:a] + text[b:], turn)
+            body = [body.replace("@", " at ").replace(".", " dot "), body.replace("@", " (at) "), body.replace("@", "[at]").replace(".", "[dot]")][turn // 2 % 3]
         elif kind == 1:
             body = [body.replace(".", "[.]"), body.replace(".", " . ")][turn % 2]
         elif kind == 2:
@@ -439,33 +468,39 @@ def varied(text: str, spans: list[Span], turn: int) -> tuple[str, list[Span]]:
 
 
 def training_windows(docs: DataFrame) -> list[tuple[str, list[Span]]]:
-    """Windows with base spans from a share of the documents by hash, with variants, and windows with none."""
+    """Windows with base spans from a share of the documents by hash, each also with its spans written in other ways, and plain ones."""
     rows = docs.count()
     share = max(1, rows // TRAIN_DOCS)
 
+    def window(text: str, at: int) -> str:
+        # The place of a span in its window must teach nothing, so the lead varies, by the text around it.
+        start = max(0, at - zlib.crc32(text[at : at + WINDOW].encode("utf-8", "replace")) % (WINDOW // 2))
+        return text[start : start + WINDOW]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):
-            found = []
+            found: list[tuple[str, bool]] = []
             for text in block.column("text").to_pylist():
                 spans = base_spans(text)
-                for _, a, b in spans[:2]:
-                    if b - a <= WINDOW - 32:
-                        found.append(text[max(0, a - 16) : max(0, a - 16) + WINDOW])
+                found += [(window(text, a), True) for _, a, b in spans[:2] if b - a <= WINDOW // 2]
                 plain = TRIGGER.search(text)
-                if not spans and plain:
-                    found.append(text[max(0, plain.start() - 40) : max(0, plain.start() - 40) + WINDOW])
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["window"])
+                if not spans and plain and not UNSURE.search(piece := window(text, plain.start())):
+                    found.append((piece, False))
+            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in found], pa.string()), pa.array([f for _, f in found], pa.bool_())], names=["window", "labelled"])
 
     sample = keyed(docs).filter(F.pmod(F.xxhash64("text", F.lit(5)), F.lit(share)) == 0).select("text")
-    cuts = sample.mapInArrow(cut, "window string").distinct()
-    # Bounded: the windows with the smallest hashes.
-    texts = [r["window"] for r in cuts.orderBy(F.xxhash64("window"), "window").limit(TRAIN_WINDOWS).collect()]
+    cuts = sample.mapInArrow(cut, "window string, labelled boolean").distinct()
+
+    def smallest(labelled: bool, most: int) -> list[str]:
+        # Bounded: the windows with the smallest hashes.
+        kept = cuts.filter(F.col("labelled") == labelled).orderBy(F.xxhash64("window"), "window").limit(most)
+        return [r["window"] for r in kept.collect()]
+
     out = []
-    for turn, text in enumerate(texts):
+    for turn, text in enumerate(smallest(True, TRAIN_WINDOWS)):
         spans = base_spans(text)
-        out.append((text, spans))
-        if spans:
-            out.append(varied(text, spans, turn))
+        out += [(text, spans), *[varied(text, spans, turn + i) for i in range(VARIANTS)]]
+    out += [(text, base_spans(text)) for text in smallest(False, PLAIN_WINDOWS)]
     return [(t[:WINDOW], [s for s in spans if s[2] <= WINDOW]) for t, spans in out]
 
 
@@ -473,9 +508,9 @@ def listed(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """doc_id, base counts and digest, and all spans."""
-    shared = docs.sparkSession.sparkContext.broadcast(trained(training_windows(docs)))
+def scanned(docs: DataFrame, model: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """doc_id, base counts and digest, and all spans; without a model one is trained on ``docs``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model or trained(training_windows(docs)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches):

@@ -251,7 +251,7 @@ def test_network_learns_variants_and_its_gradient_is_right():
         spans = pii.base_spans(text)
         made += [(text, spans), tuple(pii.varied(text, spans, turn)), (f"{lead} {turn} {tail}"[: pii.WINDOW], [])]
     made = [(t[: pii.WINDOW], [s for s in spans if s[2] <= pii.WINDOW]) for t, spans in made]
-    model = pii.trained(made[:1200], epochs=8)
+    model = pii.trained(made[:1200], steps=120)
     held = made[1200:]
     found = pii.decoded(model, [t for t, _ in held])
     want = sum(len(s) for _, s in held)

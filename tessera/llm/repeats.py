@@ -4,13 +4,13 @@
 neighbours, scans these with a stack and reports each interval whose occurrences differ in the byte before them: every
 maximal repeat of a least length with all its occurrences.
 
-``removed`` runs it over a corpus of any size. A window is a string of ``LENGTH`` bytes. Its anchor is the smallest hash among
+``removed`` runs it over a corpus of any size; ``repeat_groups`` lists the groups found there with all occurrences. A window is a string of ``LENGTH`` bytes. Its anchor is the smallest hash among
 its ``ANCHOR``-byte parts, which depends on its bytes alone, so equal windows have equal anchors wherever they stand. The
 consecutive windows of a document with one anchor form a slice. Slices, not bytes, are dealt out by anchor:
 
 1. anchors that stand once are dropped, unless their part recurs inside a slice; a slice that stands twice repeats as a whole;
-2. where an anchor has several slices, their bytes (one copy of each) go to one task in groups of anchors, whose suffix
-   array tells which windows repeat; the interval's occurrences are all slices that hold the string, not neighbours only;
+2. where an anchor has several slices, their bytes (one copy of each) go to one task in groups of anchors; the interval tree of
+   their suffix array gives the maximal repeat groups, left-extension tested, and the bytes of all occurrences are what goes;
 3. an anchor with over ``HOT`` different slices, such as a passage that a third of all documents quote, is split by the
    windows themselves: each window is a suffix cut to ``LENGTH``, so its interval is the group of its own hash, which Spark
    counts with partial sums. No task ever holds all slices of such an anchor.
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import Rolling, mix, text_blocks, utf8, whole_text
@@ -125,61 +125,53 @@ def intervals(prefixes: np.ndarray, least: int) -> Iterator[tuple[int, int, int]
         scanned = place + 1
 
 
-def maximal_repeats(strings: list[bytes], least: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Length and all occurrences (string, offset) of every maximal repeat of at least ``least`` bytes.
+class Groups:
+    """The maximal repeats of some strings: intervals of their suffix order whose members follow different bytes.
 
-    A repeat is left-diverse if two occurrences follow different bytes, or one starts its string; an interval is
-    right-diverse by being one.
+    ``order`` has the places of all suffixes in the joined strings; group i is ``length[i]`` bytes at the places
+    ``order[first[i] : last[i] + 1]``. A repeat is left-diverse if two of its occurrences follow different bytes, or one
+    starts its string; an interval is right-diverse by being one.
     """
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-    owner = np.repeat(np.arange(len(strings)), sizes)
-    ends = np.cumsum(sizes)[owner] if len(owner) else np.zeros(0, np.int64)
-    starts = ends - sizes[owner] if len(owner) else ends
-    if len(data) < 2:
-        return []
-    order, ranks = suffix_order(data, ends)
-    prefixes = common_prefixes(data, ends, order, ranks)
-    place = np.arange(len(data))
-    # The start of a string counts as a byte of its own kind, different from any other start.
-    before = np.where(place > starts, data[np.maximum(place - 1, 0)].astype(np.int64), -1 - owner)[order]
-    changes = np.concatenate([[0], np.cumsum(before[1:] != before[:-1])])
-    out = []
-    for length, first, last in intervals(prefixes, least):
-        if changes[last] > changes[first]:
-            where = order[first : last + 1]
-            out.append((length, sorted(zip(owner[where].tolist(), (where - starts[where]).tolist(), strict=True))))
-    return out
 
+    def __init__(self, strings: list[bytes], least: int):
+        data = np.frombuffer(b"".join(strings), np.uint8)
+        self.sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        self.owner = np.repeat(np.arange(len(strings)), self.sizes)
+        ends = np.cumsum(self.sizes)[self.owner] if len(self.owner) else np.zeros(0, np.int64)
+        self.starts = ends - self.sizes[self.owner] if len(self.owner) else ends
+        self.order, found = np.arange(len(data)), []
+        if len(data) > 1:
+            self.order, ranks = suffix_order(data, ends, int(self.sizes.max()))
+            prefixes = common_prefixes(data, ends, self.order, ranks)
+            del ranks
+            place = np.arange(len(data))
+            # The start of a string counts as a byte of its own kind, different from any other start.
+            before = np.where(place > self.starts, data[np.maximum(place - 1, 0)].astype(np.int64), -1 - self.owner)[self.order]
+            changes = np.concatenate([[0], np.cumsum(before[1:] != before[:-1])])
+            found = [x for x in intervals(prefixes, least) if changes[x[2]] > changes[x[1]]]
+        self.length, self.first, self.last = np.array(found, np.int64).reshape(-1, 3).T
+
+    def occurrences(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Length and places of each group."""
+        for length, first, last in zip(self.length.tolist(), self.first.tolist(), self.last.tolist(), strict=True):
+            yield length, self.order[first : last + 1]
+
+    def covered(self) -> np.ndarray:
+        """Which bytes of the joined strings lie in an occurrence of a group."""
+        reach = np.zeros(len(self.order), np.int64)
+        for length, first, last in zip(self.length.tolist(), self.first.tolist(), self.last.tolist(), strict=True):
+            np.maximum(reach[first : last + 1], length, out=reach[first : last + 1])
+        edges = np.zeros(len(self.order) + 1, np.int64)
+        at = np.flatnonzero(reach)
+        np.add.at(edges, self.order[at], 1)
+        np.add.at(edges, self.order[at] + reach[at], -1)
+        return np.cumsum(edges[:-1]) > 0
 
-def repeated_windows(strings: list[bytes], least: int = LENGTH) -> np.ndarray:
-    """For the joined strings, which bytes start a string of ``least`` bytes that starts elsewhere too.
 
-    Intervals of the suffix order with common prefixes of ``least`` bytes or more: all their members repeat.
-    """
-    data = np.frombuffer(b"".join(strings), np.uint8)
-    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
-    ends = np.repeat(np.cumsum(sizes), sizes)
-    out = np.zeros(len(data), bool)
-    if len(data) < 2:
-        return out
-    order, ranks = suffix_order(data, ends, -(-least // 2))
-    width = 7 << (len(ranks) - 1)
-    if not least <= 2 * width <= 2 * least:
-        # Short strings, or few: the common prefixes of neighbours tell.
-        long = common_prefixes(data, ends, order, ranks) >= least
-        out[order[:-1][long]] = True
-        out[order[1:][long]] = True
-        return out
-    # Two ranks that overlap decide about ``least`` bytes: the intervals of common prefixes that long.
-    first = order[order + least <= ends[order]]
-    last = ranks[-1].astype(np.uint64)
-    key = last[first] << np.uint64(32) | last[first + least - width]
-    at = np.argsort(key)
-    same = key[at[1:]] == key[at[:-1]]
-    out[first[at[1:][same]]] = True
-    out[first[at[:-1][same]]] = True
-    return out
+def maximal_repeats(strings: list[bytes], least: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Length and all occurrences (string, offset) of every maximal repeat of at least ``least`` bytes."""
+    groups = Groups(strings, least)
+    return [(n, sorted(zip(groups.owner[at].tolist(), (at - groups.starts[at]).tolist(), strict=True))) for n, at in groups.occurrences()]
 
 
 # ---- slices of documents
@@ -292,13 +284,15 @@ def runs_of(flags: np.ndarray) -> list[list[int]]:
     return edges.reshape(-1, 2).tolist()
 
 
-def matched(group: pd.DataFrame) -> pd.DataFrame:
-    """Runs of repeated windows of each slice of some anchors, from one suffix array of them all."""
+def stretches(group: pd.DataFrame) -> list[tuple[int, int, int]]:
+    """(row, first window, last window) of the part of each slice that can hold repeats.
+
+    A window whose hash stands once repeats nowhere, so only the stretch between a slice's candidates is sorted.
+    """
     strings = group["bytes"].tolist()
     sizes = np.fromiter(map(len, strings), np.int64, len(strings))
     windows = group["windows"].to_numpy(np.int64)
     starts = np.cumsum(sizes) - sizes
-    # A window whose hash stands once repeats nowhere: only the stretch between a slice's candidates is sorted.
     at = np.repeat(starts - (np.cumsum(windows) - windows), windows) + np.arange(windows.sum())
     hashes = Rolling(np.frombuffer(b"".join(strings), np.uint8)).ranges(at, at + LENGTH)
     order = np.argsort(hashes)
@@ -306,16 +300,45 @@ def matched(group: pd.DataFrame) -> pd.DataFrame:
     candidate = np.zeros(len(hashes), bool)
     candidate[order[1:][equal]] = candidate[order[:-1][equal]] = True
     bounds = np.concatenate([[0], np.cumsum(windows)])
-    kept = [(row, places[0], places[-1]) for row in range(len(strings)) if len(places := np.flatnonzero(candidate[bounds[row] : bounds[row + 1]]))]
-    flags = repeated_windows([strings[row][a : b + LENGTH] for row, a, b in kept])
+    return [(row, places[0], places[-1]) for row in range(len(strings)) if len(places := np.flatnonzero(candidate[bounds[row] : bounds[row + 1]]))]
+
+
+def grouped(group: pd.DataFrame) -> tuple[list[tuple[int, int, int]], Groups]:
+    """The maximal repeat groups of the slices of some anchors, over their stretches."""
+    kept = stretches(group)
+    strings = group["bytes"].tolist()
+    return kept, Groups([strings[row][a : b + LENGTH] for row, a, b in kept], LENGTH)
+
+
+def matched(group: pd.DataFrame) -> pd.DataFrame:
+    """Runs of windows of each slice of some anchors that lie in occurrences of their maximal repeat groups."""
+    kept, groups = grouped(group)
+    flags = groups.covered()
     out, done = [], 0
     anchors, own = group["anchor"].to_numpy(), group["slice"].to_numpy()
     for row, a, b in kept:
-        out += [(anchors[row], own[row], a + x, a + y) for x, y in runs_of(flags[done : done + b - a + 1])]
-        done += b - a + LENGTH
+        size = b - a + LENGTH
+        out += [(anchors[row], own[row], a + x, a + y - LENGTH + 1) for x, y in runs_of(flags[done : done + size])]
+        done += size
     return pd.DataFrame(out, columns=["anchor", "slice", "first", "last"]).astype("int64")
 
 
+def listed_groups(group: pd.DataFrame) -> pd.DataFrame:
+    """The same groups with each occurrence as a row: group, length, anchor, slice and the place in the slice."""
+    kept, groups = grouped(group)
+    anchors, own = group["anchor"].to_numpy(), group["slice"].to_numpy()
+    row, shift = (np.array([k[i] for k in kept], np.int64) for i in (0, 1))
+    out = []
+    for length, at in groups.occurrences():
+        where = groups.owner[at]
+        offset = at - groups.starts[at] + shift[where]
+        text = group["bytes"].iloc[row[where[0]]][offset[0] : offset[0] + length]
+        name = hashlib.md5(text).hexdigest()
+        out.append(pd.DataFrame({"repeat": name, "length": length, "anchor": anchors[row[where]], "slice": own[row[where]], "at": offset}))
+    listed = pd.concat(out) if out else pd.DataFrame({"repeat": [], "length": [], "anchor": [], "slice": [], "at": []})
+    return listed.astype({"repeat": object, "length": "int64", "anchor": "int64", "slice": "int64", "at": "int64"})
+
+
 def hot_windows(held: DataFrame) -> DataFrame:
     """Repeated windows of hot anchors' slices, by counts of two hashes of each window."""
 
@@ -339,11 +362,14 @@ def hot_windows(held: DataFrame) -> DataFrame:
 
     windows = materialize(held.mapInArrow(rows, "anchor long, slice long, at int, one long, other long"), "hot")
     again = windows.groupBy("one", "other").agg(F.count("*").alias("n")).filter("n > 1").select("one", "other")
-    return windows.join(again, ["one", "other"]).select("anchor", "slice", F.col("at").cast("long").alias("first"), (F.col("at") + 1).cast("long").alias("last"))
+    return windows.join(again, ["one", "other"]).select(
+        F.concat(F.lit("window:"), "one", F.lit(":"), "other").alias("repeat"), "anchor", "slice", F.col("at").cast("long").alias("first"),
+        (F.col("at") + 1).cast("long").alias("last"),
+    )
 
 
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """doc_id, hash and the sorted places [first, end) in bytes of all repeated strings of ``LENGTH`` bytes or more."""
+def dealt_slices(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Column]:
+    """All slices, the different ones of anchors that can repeat, the bytes of those that must be compared, and their groups."""
     spark = docs.sparkSession
     found = materialize(sliced(docs), "slices")
     per_slice = found.groupBy("anchor", "slice", "windows").agg(
@@ -357,8 +383,14 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     # Anchors meet in groups, so that suffix arrays are long enough to be worth it; each group has about BLOCK bytes.
     size = cut.filter("not hot").agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0)).alias("n")).first()["n"]
     groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK))
-    common = cut.filter("not hot").groupBy(F.pmod(F.xxhash64("anchor", F.lit(9)), F.lit(groups)).alias("g")).applyInPandas(matched, "anchor long, slice long, first long, last long")
-    partial = common.unionByName(hot_windows(cut.filter("hot")))
+    return found, kept, cut, F.pmod(F.xxhash64("anchor", F.lit(9)), F.lit(groups)).alias("g")
+
+
+def repeated_spans(docs: DataFrame) -> DataFrame:
+    """doc_id, hash and the sorted places [first, end) in bytes of all repeated strings of ``LENGTH`` bytes or more."""
+    found, kept, cut, group = dealt_slices(docs)
+    common = cut.filter("not hot").groupBy(group).applyInPandas(matched, "anchor long, slice long, first long, last long")
+    partial = common.unionByName(hot_windows(cut.filter("hot")).select("anchor", "slice", "first", "last"))
     # A slice that stands twice repeats as a whole; of others, the runs that were found.
     whole = kept.filter("n > 1").select("anchor", "slice", F.lit(0).cast("long").alias("first"), F.col("windows").cast("long").alias("last"))
     runs = whole.unionByName(partial)
@@ -368,6 +400,22 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     return places.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set(F.struct("first", "end"))).alias("places"))
 
 
+def repeat_groups(docs: DataFrame) -> DataFrame:
+    """``repeat, length, doc_id, hash, offset``: every occurrence of every repeat group of ``LENGTH`` bytes or more.
+
+    ``repeat`` names the repeated bytes. Repeats are reported per anchor: one that runs over several anchors is the
+    repeats of their slices, which overlap by ``LENGTH - 1`` bytes. Slices that stand several times are groups as a whole; the
+    windows of a hot anchor are groups of ``LENGTH`` bytes each.
+    """
+    found, kept, cut, group = dealt_slices(docs)
+    own = cut.filter("not hot").groupBy(group).applyInPandas(listed_groups, "repeat string, length long, anchor long, slice long, at long")
+    hot = hot_windows(cut.filter("hot")).select("repeat", F.lit(LENGTH).cast("long").alias("length"), "anchor", "slice", F.col("first").alias("at"))
+    inner = found.join(own.unionByName(hot), ["anchor", "slice"]).select("repeat", "length", "doc_id", "hash", (F.col("start") + F.col("at")).alias("offset"))
+    whole = found.join(kept.filter("n > 1").select("anchor", "slice"), ["anchor", "slice"])
+    copies = whole.select(F.concat(F.lit("slice:"), "anchor", F.lit(":"), "slice").alias("repeat"), (F.col("windows") + (LENGTH - 1)).cast("long").alias("length"), "doc_id", "hash", F.col("start").cast("long").alias("offset"))
+    return inner.unionByName(copies).withColumn("doc_id", F.when(F.col("doc_id") != -(1 << 63), F.col("doc_id")))
+
+
 def merged(places: list[dict] | None) -> list[list[int]]:
     out: list[list[int]] = []
     for p in places or ():

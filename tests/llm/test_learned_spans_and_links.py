@@ -1,13 +1,14 @@
-"""What the learned and the estimated steps must find: rewritten personal data through the query, links just at the limit."""
+"""What the learned and the estimated steps must find, through Spark: rewritten personal data, links just at the limit, repeat groups."""
 
 from __future__ import annotations
 
 import random
 import zlib
 
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import pii, quality, sketches
+from tessera.llm import pii, quality, repeats, sketches
 
 DOCUMENTS = "/root/testdata/sf0.1/documents.parquet"
 
@@ -65,3 +66,33 @@ def test_hot_copies_stay_out_of_the_sample(spark, monkeypatch):
     assert len(order) == len(quality.RULES)
     kept = quality.judged(rows).groupBy("kept").count().collect()
     assert {r["kept"]: r["count"] for r in kept} == {False: 9000}
+
+
+@pytest.mark.parametrize("hot", [2000, 3])
+def test_repeat_groups_hold_all_occurrences(spark, monkeypatch, hot):
+    """Each group's occurrences hold the same bytes and are all there are; together they are what is removed."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choices("abcdefghij é\n", k=n))
+    passages = [some(n) for n in (450, 700, 1500, 420)]
+    texts = [some(rng.randint(0, 900)) + rng.choice(passages) + some(rng.randint(0, 300)) + rng.choice(["", rng.choice(passages)]) for _ in range(40)]
+    texts += [texts[0], "", None, "x" * 1200, passages[2] + passages[2]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    data = {i: (t or "").encode() for i, t in enumerate(texts)}
+    groups: dict = {}
+    for r in repeats.repeat_groups(docs).collect():
+        groups.setdefault((r["repeat"], r["length"]), set()).add((r["doc_id"], r["offset"]))
+    gone = {i: set() for i in data}
+    for (_, length), at in groups.items():
+        held = {data[i][o : o + length] for i, o in at}
+        assert len(held) == 1 and len(at) > 1 and length >= repeats.LENGTH and len(min(held)) == length
+        for i, o in at:
+            gone[i] |= set(range(o, o + length))
+    for r in repeats.removed(docs).collect():
+        assert r["n_removed"] == len(gone[r["doc_id"]])
+    # No occurrence of a group is missing.
+    for (name, length), at in list(groups.items())[:40]:
+        i, o = min(at)
+        wanted = data[i][o : o + length]
+        every = {(k, j) for k, d in data.items() for j in range(len(d) - length + 1) if d[j : j + length] == wanted}
+        assert at == every or not name.startswith(("slice:", "window:")) and at <= every, name

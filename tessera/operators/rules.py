@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from decimal import Decimal
 
-from pyspark.ml.fpm import PrefixSpan
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,29 +32,33 @@ def baskets(items: DataFrame) -> DataFrame:
 def frequent_itemsets(items: DataFrame, min_support: float) -> tuple[DataFrame, int]:
     """Itemsets of up to three names that reach the support, with counts; and the number of baskets.
 
-    Only frequent names are collected per basket. There are at most
-    (names per basket) / support of them, so an array stays small whatever a basket holds.
+    Level by level: a basket's frequent names are paired, and only pairs that are frequent themselves are extended by the
+    names behind them. Rows of a level are counted before the shuffle, so a pair that a third of all baskets hold costs one
+    row per task. A basket's names are an array in order; there are at most (names per basket) / support of them.
     """
     kept = baskets(items).select(*BASKET)
     total = kept.count()
     # In decimals: an itemset exactly at the support is kept.
     needed = max(1, math.ceil(Decimal(str(min_support)) * total))
     valid = materialize(items.join(kept, BASKET, "left_semi").select(*BASKET, "name"), "basket_items")
-    frequent = valid.groupBy("name").count().filter(F.col("count") >= needed).select("name")
-    sequences = materialize(
-        valid.join(frequent, "name", "left_semi").groupBy(*BASKET)
-        .agg(F.sort_array(F.collect_list("name")).alias("names"))
-        .select(F.array("names").alias("sequence")),
-        "sequences",
+    reached = F.col("freq") >= needed
+    single = materialize(valid.groupBy(F.array("name").alias("items")).agg(F.count("*").alias("freq")).filter(reached), "single")
+    named = valid.join(single.select(F.col("items")[0].alias("name")), "name", "left_semi")
+    several = materialize(
+        named.groupBy(*BASKET).agg(F.array_sort(F.collect_list("name")).alias("names")).filter(F.size("names") > 1).select("names"), "several"
     )
-    present = sequences.count()
-    if present == 0:
-        empty = sequences.select(F.col("sequence")[0].alias("items"), F.lit(0).cast("bigint").alias("freq"))
-        return empty.limit(0), total
-    # One itemset per sequence: its patterns are the itemsets, and their length can be bounded.
-    miner = PrefixSpan(minSupport=(needed - 0.5) / present, maxPatternLength=MAX_ITEMS)
-    found = miner.findFrequentSequentialPatterns(sequences)
-    return found.select(F.sort_array(F.col("sequence")[0]).alias("items"), "freq"), total
+    pairs = _extended(several.select("names", F.posexplode("names").alias("at", "a")).withColumn("items", F.array("a")))
+    double = materialize(pairs.groupBy("items").agg(F.count("*").alias("freq")).filter(reached), "double")
+    triples = _extended(pairs.join(double.select("items"), "items", "left_semi"))
+    triple = triples.groupBy("items").agg(F.count("*").alias("freq")).filter(reached)
+    return single.unionByName(double).unionByName(triple), total
+
+
+def _extended(sets: DataFrame) -> DataFrame:
+    """``names, items, at``: each itemset with each name of its basket behind ``at``, the place of its last one."""
+    behind = F.posexplode(F.slice("names", F.col("at") + 2, F.size("names"))).alias("step", "next")
+    longer = sets.filter(F.col("at") + 1 < F.size("names")).select("names", "items", "at", behind)
+    return longer.select("names", F.concat("items", F.array("next")).alias("items"), (F.col("at") + 1 + F.col("step")).alias("at"))
 
 
 def association_rules(

@@ -1,4 +1,4 @@
-"""k-means from several starts at once: one aggregate per round moves the centres of all starts.
+"""k-means from several starts at once: one pass per round moves the centres of all starts.
 
 A start takes the rows with the smallest md5 of key and start as centres, so it is the same on every cluster. Only sums per
 start and cluster reach the driver.
@@ -6,12 +6,19 @@ start and cluster reach the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Tasks get this module's code with the job, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A start has ended when its centres, squared and summed, move no further than this.
 MOVEMENT, ROUNDS = 1e-4, 300
 # Starts whose cost differs less than this count as equally good; the first wins.
@@ -30,7 +37,11 @@ class KMeans:
 
     def clustered(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the number of the nearest centre as ``cluster``; the lower number of two as near."""
-        return _assigned(rows, self.columns, [self.centers]).select(*rows.columns, "cluster")
+        at = []
+        for i, center in enumerate(self.centers):
+            squared = " + ".join(f"power(`{c}` - {float(v)!r}D, 2)" for c, v in zip(self.columns, center, strict=True))
+            at.append(f"named_struct('distance', {squared}, 'cluster', {i})")
+        return rows.withColumn("cluster", F.expr(f"array_min(array({', '.join(at)})).cluster"))
 
 
 def first_centers(rows: DataFrame, key: str, columns: Sequence[str], k: int, starts: int, seed: int) -> dict[int, Centers]:
@@ -41,20 +52,29 @@ def first_centers(rows: DataFrame, key: str, columns: Sequence[str], k: int, sta
     return {start: [[r[c] for c in columns] for r in picked if r["start"] == start] for start in range(starts)}
 
 
-def _assigned(rows: DataFrame, columns: Sequence[str], centers: list[Centers]) -> DataFrame:
-    """Each row once per start, with the ``cluster`` of its nearest centre and the squared ``distance`` to it.
+def _moments(rows: DataFrame, columns: Sequence[str], centers: list[Centers]) -> np.ndarray:
+    """Per start and cluster: its rows, the sum of each column over them, and that of their squared distances.
 
-    The centres are a value of the query, not constants of its code, which each round would compile anew.
+    A task adds up its rows by Arrow batches, for all starts, and passes on one number per cell; Spark adds these up.
     """
-    value = rows.sparkSession.createDataFrame([(centers,)], "centers array<array<array<double>>>").scalar()
-    dealt = rows.select("*", F.posexplode(value).alias("start", "_centers"))
-
-    def squared(cluster: int) -> str:
-        return " + ".join(f"power(`{column}` - _centers[{cluster}][{i}], 2)" for i, column in enumerate(columns))
-
-    # As one text: a call per operation would take longer than a round on a small table.
-    found = F.expr(f"array_min(array({', '.join(f'named_struct("distance", {squared(i)}, "cluster", {i})' for i in range(len(centers[0])))}))")
-    return dealt.withColumn("_at", found).select(*rows.columns, "start", "_at.cluster", "_at.distance")
+    at = np.array(centers)
+    starts, k, size = at.shape
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((starts, k, size + 2))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(size)])
+            for start in range(starts):
+                squared = ((x[:, None] - at[start][None]) ** 2).sum(axis=2)
+                # The lower number of two centres as near.
+                near = squared.argmin(axis=1)
+                for i, weights in enumerate([np.ones(len(x)), *x.T, squared[np.arange(len(x)), near]]):
+                    total[start, :, i] += np.bincount(near, weights, k)
+        yield pa.RecordBatch.from_pydict({"cells": [total.ravel()]})
+
+    partial = rows.select(*[F.col(c).cast("double").alias(c) for c in columns]).mapInArrow(add, "cells array<double>")
+    cells = partial.select(F.posexplode("cells").alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
+    return np.array([r["value"] for r in sorted(cells.collect(), key=lambda r: r["at"])]).reshape(starts, k, size + 2)
 
 
 def fit(rows: DataFrame, key: str, columns: Sequence[str], k: int, starts: int, seed: int) -> KMeans:
@@ -62,20 +82,17 @@ def fit(rows: DataFrame, key: str, columns: Sequence[str], k: int, starts: int,
 
     A cluster that no row is nearest to keeps its centre. With fewer rows than ``k`` there are as many centres as rows.
     """
-    centers = first_centers(rows, key, columns, k, starts, seed)
-    moving = sorted(centers)
+    centers = np.array([c for _, c in sorted(first_centers(rows, key, columns, k, starts, seed).items())])
+    moving = np.arange(starts)
     for _ in range(ROUNDS):
-        at = [centers[start] for start in moving]
-        sums = _assigned(rows, columns, at).groupBy("start", "cluster").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in columns])
-        means = {(r["start"], r["cluster"]): [r[c] / r["n"] for c in columns] for r in sums.collect()}
-        far = {}
-        for i, start in enumerate(moving):
-            centers[start] = [means.get((i, cluster), center) for cluster, center in enumerate(at[i])]
-            far[start] = sum((a - b) ** 2 for old, new in zip(at[i], centers[start], strict=True) for a, b in zip(old, new, strict=True))
-        moving = [start for start in moving if far[start] > MOVEMENT]
-        if not moving:
+        found = _moments(rows, columns, centers[moving].tolist())
+        n = found[:, :, :1]
+        moved = np.where(n > 0, found[:, :, 1:-1] / np.maximum(n, 1), centers[moving])
+        far = ((moved - centers[moving]) ** 2).sum(axis=(1, 2))
+        centers[moving] = moved
+        moving = moving[far > MOVEMENT]
+        if not len(moving):
             break
-    ends = _assigned(rows, columns, [centers[start] for start in sorted(centers)]).groupBy("start").agg(F.sum("distance").alias("cost"))
-    costs = {r["start"]: r["cost"] for r in ends.collect()}
-    best = min(costs, key=lambda start: (round(costs[start], COST_DIGITS), start))
-    return KMeans(tuple(columns), sorted(centers[best]), costs[best])
+    costs = _moments(rows, columns, centers.tolist())[:, :, -1].sum(axis=1)
+    best = min(range(starts), key=lambda start: (round(float(costs[start]), COST_DIGITS), start))
+    return KMeans(tuple(columns), sorted(centers[best].tolist()), float(costs[best]))

@@ -256,7 +256,7 @@ def trained(windows: list[tuple[str, list[Span]]], steps: int = STEPS, seed: int
     mean = {k: np.zeros_like(v) for k, v in model.items()}
     square = {k: np.zeros_like(v) for k, v in model.items()}
     step = 0
-    for _ in range(-(-steps * BATCH // len(windows))):
+    for _ in range(-(-steps // -(-len(windows) // BATCH))):
         order = rng.permutation(len(windows))
         for first in range(0, len(order), BATCH):
             batch = order[first : first + BATCH]

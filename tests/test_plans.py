@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.catalog import streams as streams_catalog
 from tessera.plans import dq, finance, forecast, marts, mining, quality, reports, retail
 from tessera.schemas import BRONZE_SALES, DQ_EVENTS
 from tessera.sources import layers, payloads
@@ -284,3 +285,53 @@ def test_tick_bounds(spark):
         with pytest.raises(ValueError, match="between 1 and 50"):
             streams.check_tick(n)
     assert streams.tick_rows(bronze(spark, [sale("S1"), sale("S2")]), 1, "2026-04-21").count() == 1
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_silver_sorts_no_payloads(spark):
+    # The aggregate takes a finished struct; made inside it, the payload of every good row was sorted along, and spilled.
+    staged = retail.stage_silver(bronze(spark, [sale("S1"), sale("S1", amount=9.0)]))
+    assert "partial_min(first#" in plan_of(staged) and staged.first().copies == 2
+
+
+def test_keys_are_read_where_values_do_not_show_them(spark):
+    whole = json.dumps(sale("S1"))
+    items = [whole, json.dumps(sale("S2", currency=None)), json.dumps(sale("S3", currency=...)), '{"sale_id": 1}, "payload": ' + whole, " " + whole]
+    found = {r.id: r.status for r in retail.classify_bronze(bronze(spark, items)).collect()}
+    assert [found[f"{i:04d}"] for i in range(5)] == ["parsed_ok", "parsed_ok", "dropped_schema", "dropped_schema", "parsed_ok"]
+
+
+def test_gold_keeps_one_row_per_sale_and_its_order(spark):
+    items = [sale("ok"), sale("c", customer_id="C?"), sale("p", product_id="P?"), sale("s", store_id="T?"), sale("d", sale_ts="2030-01-01T00:00:00")]
+    dims = tiny_dims(spark)
+    dims["gold_dim_customer"] = dims["gold_dim_customer"].unionByName(dims["gold_dim_customer"])
+    staged = retail.gold_by_date(retail.silver_of(retail.stage_silver(bronze(spark, items))), dims)
+    assert retail.gold_counts(staged).first().asDict() == {"gold_inserted": 1, "orphaned_fk": 4, "silver_total": 5}
+
+
+def test_injected_rows_are_picked_without_a_sort_of_bronze(spark):
+    clean = bronze(spark, [sale(f"S{i}") for i in range(60)])
+    for inject in (payloads.inject_schema_drift, payloads.inject_dupes, payloads.inject_nulls):
+        assert "rangepartitioning" not in plan_of(inject(clean, "2026-04-21"))
+
+
+def test_silver_changes_counts_what_each_batch_changes(spark):
+    first = bronze(spark, [sale("S1"), sale("S2"), sale("S3"), sale(None), sale("S3", amount=8.0)])
+    silver = retail.silver_of(retail.stage_silver(first))
+    silver = silver.unionByName(silver.filter("sale_id = 'S3'"))
+    batches = {}
+    for name, items in {"same": [sale("S1")], "earlier": [sale("S2", amount=9.0), sale("NEW"), sale("S1", quantity="x")], "null": [sale(None, amount=1.0)]}.items():
+        batch = bronze(spark, items)
+        batches[name] = batch.withColumn("id", F.concat(F.lit("-" if name != "same" else "9"), "id"))
+    found = {r["batch"]: r.violations for r in retail.silver_changes(silver, first, batches).collect()}
+    for name, batch in batches.items():
+        want = quality.same_rows(silver, retail.silver_of(retail.stage_silver(first.unionByName(batch))), name).first().violations
+        assert found[name] == want, name
+    assert found == {"same": 1, "earlier": 5, "null": 3}
+
+
+def test_arriving_files_grow_with_their_table():
+    assert [streams_catalog.files_per_batch(n) for n in (0, 600_000, 6_000_000, 216_000_000)] == [2, 2, 2, 72]

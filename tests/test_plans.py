@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.catalog import streams as streams_catalog
 from tessera.plans import dq, finance, forecast, marts, mining, quality, reports, retail
+from tessera.plans.warehouse import Warehouse
 from tessera.schemas import BRONZE_SALES, DQ_EVENTS
 from tessera.sources import layers, payloads
 from tessera.sources.workspace import new_path
@@ -335,3 +336,13 @@ def test_silver_changes_counts_what_each_batch_changes(spark):
 
 def test_arriving_files_grow_with_their_table():
     assert [streams_catalog.files_per_batch(n) for n in (0, 600_000, 6_000_000, 216_000_000)] == [2, 2, 2, 72]
+
+
+def test_a_replay_builds_only_the_sources_it_reads(spark, small):
+    w = Warehouse(spark, small.source_dir)
+    again = w.replayed()
+    assert again.table("fin_slv_transactions").count() > 0
+    assert not {"bronze_sales_raw", "gold_dim_customer", "gold_dim_product"} & set(w._tables)
+    # Sources are shared, derived layers are not.
+    assert again.folder("fin_dim_employee") == w.folder("fin_dim_employee")
+    assert again.folder("fin_staged") != w.folder("fin_staged")

@@ -36,17 +36,20 @@ def frequent_itemsets(items: DataFrame, min_support: float) -> tuple[DataFrame,
     names behind them. Rows of a level are counted before the shuffle, so a pair that a third of all baskets hold costs one
     row per task. A basket's names are an array in order; there are at most (names per basket) / support of them.
     """
-    kept = baskets(items).select(*BASKET)
-    total = kept.count()
+    # Written once, as the arrays of names: every level below reads it, and the join behind the items runs a single time.
+    held = materialize(
+        items.groupBy(*BASKET).agg(F.sum("n").alias("row_count"), F.array_sort(F.collect_list(F.struct("name"))).alias("names"))
+        .filter("row_count >= 2").select(*BASKET, F.col("names.name").alias("names")), "baskets"
+    )
+    total = held.count()
     # In decimals: an itemset exactly at the support is kept.
     needed = max(1, math.ceil(Decimal(str(min_support)) * total))
-    valid = materialize(items.join(kept, BASKET, "left_semi").select(*BASKET, "name"), "basket_items")
     reached = F.col("freq") >= needed
-    single = materialize(valid.groupBy(F.array("name").alias("items")).agg(F.count("*").alias("freq")).filter(reached), "single")
-    named = valid.join(single.select(F.col("items")[0].alias("name")), "name", "left_semi")
-    several = materialize(
-        named.groupBy(*BASKET).agg(F.array_sort(F.collect_list("name")).alias("names")).filter(F.size("names") > 1).select("names"), "several"
-    )
+    named = held.dropna(subset=BASKET).select(*BASKET, F.explode("names").alias("name"))
+    single = materialize(named.groupBy(F.array("name").alias("items")).agg(F.count("*").alias("freq")).filter(reached), "single")
+    # Only baskets with a rare name are put together anew.
+    rare = named.join(single.select(F.col("items")[0].alias("name")), "name", "left_anti")
+    several = materialize(_without(held.dropna(subset=BASKET), rare).filter(F.size("names") > 1).select("names"), "several")
     pairs = _extended(several.select("names", F.posexplode("names").alias("at", "a")).withColumn("items", F.array("a")))
     double = materialize(pairs.groupBy("items").agg(F.count("*").alias("freq")).filter(reached), "double")
     triples = _extended(pairs.join(double.select("items"), "items", "left_semi"))
@@ -54,6 +57,13 @@ def frequent_itemsets(items: DataFrame, min_support: float) -> tuple[DataFrame,
     return single.unionByName(double).unionByName(triple), total
 
 
+def _without(held: DataFrame, rare: DataFrame) -> DataFrame:
+    """Baskets without their rare names and without nulls. The rare names are written first, so that few of them are broadcast."""
+    out = materialize(rare.groupBy(*BASKET).agg(F.collect_list("name").alias("rare")), "rare_names")
+    left = F.when(F.col("rare").isNull(), F.col("names")).otherwise(F.array_except("names", "rare"))
+    return held.join(out, BASKET, "left").select(*BASKET, F.array_compact(left).alias("names"))
+
+
 def _extended(sets: DataFrame) -> DataFrame:
     """``names, items, at``: each itemset with each name of its basket behind ``at``, the place of its last one."""
     behind = F.posexplode(F.slice("names", F.col("at") + 2, F.size("names"))).alias("step", "next")

@@ -172,6 +172,23 @@ def test_rules_match_brute_force(spark):
     assert all(r.confidence >= 0.3 for r in got)
 
 
+def test_itemsets_read_their_items_once(spark):
+    read = spark.sparkContext.accumulator(0)
+    rows = [("C1", "d1", "a"), ("C1", "d1", "b"), ("C1", "d1", "z"), ("C2", "d1", "a"), ("C2", "d1", "b"), ("C3", "d1", None), ("C3", "d1", "a"), (None, "d1", "a"), (None, "d1", "b")]
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    schema = "customer_id string, date_id string, name string, n long"
+    items = spark.createDataFrame([(*row, 1) for row in rows], schema).mapInArrow(counted, schema)
+    itemsets, total = frequent_itemsets(items, 0.5)
+    # Rare names, a null name and a basket without a key behave as in the SQL.
+    assert total == 4 and {tuple(r["items"]): r["freq"] for r in itemsets.collect()} == {("a",): 3, ("b",): 2, ("a", "b"): 2}
+    assert read.value == len(rows)
+
+
 def planted(spark):
     rng = np.random.default_rng(0)
     rows = [(f"r{i:05d}", float(a), int(d), "x") for i, (a, d) in enumerate(zip(rng.normal(100, 10, 3000), rng.integers(0, 5, 3000)))]

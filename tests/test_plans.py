@@ -338,6 +338,23 @@ def test_arriving_files_grow_with_their_table():
     assert [streams_catalog.files_per_batch(n) for n in (0, 600_000, 6_000_000, 216_000_000)] == [2, 2, 2, 72]
 
 
+def test_duplicates_meet_only_repeated_sales(spark):
+    items = [sale(f"S{i}") for i in range(40)] + [sale("S1", amount=1.0), sale("S4", quantity="x"), sale(None), sale(None, amount=3.0)]
+    staged = retail.stage_silver(bronze(spark, items)).persist()
+    lost = retail.duplicate_rows(retail.classify_bronze(bronze(spark, items)), staged)
+    assert sorted(r.id for r in lost.collect()) == ["0040", "0041", "0043"]
+    # Few repeated sales are broadcast: the payloads stay where they lie.
+    plan = lost._jdf.queryExecution().executedPlan().toString()
+    assert "_first" in plan and "hashpartitioning" not in plan
+
+
+def test_a_filter_on_the_status_parses_once(spark):
+    rows = bronze(spark, [sale("S1"), "{", sale("S2", quantity="x")])
+    for refined in (retail.classify_bronze(rows).filter("status = 'parsed_ok'").select("sale_id"), retail.first_payloads(rows)):
+        assert refined._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+        assert refined.count() == 2
+
+
 def test_a_replay_builds_only_the_sources_it_reads(spark, small):
     w = Warehouse(spark, small.source_dir)
     again = w.replayed()

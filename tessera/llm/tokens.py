@@ -27,11 +27,11 @@ from tessera.llm.common import keyed, text_blocks, worker_state
 from tessera.sources.workspace import new_path
 
 #: Pieces of text with their ids that a worker remembers; beyond, it forgets all and starts anew.
-REMEMBERED = 3_000_000
+REMEMBERED = 1_000_000
 #: Marks that end a word.
 STOPS = ".,"
 #: Bytes of text that a task encodes at a time.
-ENCODE_BYTES = 24 << 20
+ENCODE_BYTES = 8 << 20
 #: Bytes of a row group and of a page, and rows of a page: what one selective read has to touch.
 LAYOUT = {
     "compression": "zstd", "parquet.block.size": str(8 << 20), "parquet.page.size": str(64 << 10),

@@ -71,6 +71,20 @@ def test_token_files(spark, docs, rows, nothing, tmp_path):
     assert tokens.token_table(nothing, path).count() == 0
 
 
+def test_token_memory_is_bounded(monkeypatch):
+    # Blocks and remembered pieces of two workers beside the JVM stay under 3000 MB by some margin.
+    assert tokens.ENCODE_BYTES <= 8 << 20 and tokens.REMEMBERED <= 1_000_000
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole, forgetful = tokens.Encoder(path), tokens.Encoder(path)
+    texts = [[f"word{i} and other{i * 7} text{j}." for i in range(20)] for j in range(5)]
+    kept = [whole.encode(block, 2) for block in texts]
+    monkeypatch.setattr(tokens, "REMEMBERED", 30)
+    for block, (ids, sizes) in zip(texts, kept, strict=True):
+        again, lengths = forgetful.encode(block, 2)
+        assert np.array_equal(ids, again) and np.array_equal(sizes, lengths)
+    assert len(forgetful.known) < len(whole.known)
+
+
 def test_token_pieces_at_random():
     encoder = tokens.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     pick = random.Random(2)

@@ -523,6 +523,19 @@ def test_language_model_has_more_word_classes_for_more_words():
     assert np.isfinite(lm.score_documents(model, [every[::-7].astype(np.int16)])[0])
 
 
+@pytest.mark.parametrize("apart", [0.0, 500.0])
+def test_log_softmax_of_rows_near_and_far_apart(apart):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((50, 7)) + apart * np.arange(50)[:, None]
+    at, weights = rng.integers(0, 7, 50), rng.random(50)
+    logs = x - x.max(1, keepdims=True)
+    logs -= np.log(np.exp(logs).sum(1, keepdims=True))
+    slope = np.exp(logs) * weights[:, None]
+    slope[np.arange(50), at] -= weights
+    found, gradient = lm.chosen(x.copy(), at, weights)
+    assert np.allclose(found, logs[np.arange(50), at]) and np.allclose(gradient, slope)
+
+
 def test_language_model_starts_anew_at_each_document_inside_a_window():
     model = lm.fresh(np.ones(lm.FREQUENT), np.ones(lm.BANDS * lm.KINDS))
     empty, first = np.zeros((1, lm.HIDDEN), np.float32), lm.SYMBOLS - 1

@@ -42,6 +42,8 @@ LONG = 7
 HIDDEN, BPTT, ROUNDS, STREAMS, RATE = 16, 16, 3, 128, 0.02
 #: Training tokens of one task, and those it lays out at a time.
 SHARD_TOKENS, LAID_TOKENS = 1_600_000, 400_000
+#: Steps whose classes are scored together.
+ROWS_AT_ONCE = 1024
 #: Numbers of the model that are averaged together.
 SLICE = 256
 END = np.uint64(0x2545F4914F6CDD1C)
@@ -255,7 +257,16 @@ def unpacked(flat: np.ndarray, classes: int = WORD_CLASSES) -> dict[str, np.ndar
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def turned(x: np.ndarray) -> np.ndarray:
+    """(T, B, H) as (T, H, B) or back, copied: the gates of all streams then lie together, and each operation is one long run."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1))
 
 
 def gru(model: dict, symbols: np.ndarray, h: np.ndarray, keep: bool = False):
@@ -263,24 +274,35 @@ def gru(model: dict, symbols: np.ndarray, h: np.ndarray, keep: bool = False):
 
     The start symbol, the last one, empties the state.
     """
-    own = model["own"]
-    states = np.empty((len(symbols), *h.shape), model["own"].dtype)
+    own = model["own"].T.copy()
     begins = symbols == len(model["input"]) - 1
     some = begins.any(1)
-    given = model["input"][symbols]
-    kept = []
-    for t, x in enumerate(given):
+    # Becomes the gates z and r and the new state, in place.
+    gates = turned(model["input"][symbols])
+    h = h.T.astype(own.dtype)
+    states = np.empty((len(symbols), *h.shape), own.dtype)
+    before, reset = (np.empty_like(states), np.empty_like(states)) if keep else (None, None)
+    for t, x in enumerate(gates):
         if some[t]:
-            h = h * ~begins[t][:, None]
-        through = h @ own
-        gates = sigmoid(x[:, : 2 * HIDDEN] + through[:, : 2 * HIDDEN])
-        z, r = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        n = np.tanh(x[:, 2 * HIDDEN :] + r * through[:, 2 * HIDDEN :])
+            h = h * ~begins[t]
+        through = own @ h
+        zr, n = x[: 2 * HIDDEN], x[2 * HIDDEN :]
+        zr += through[: 2 * HIDDEN]
+        sigmoid(zr)
         if keep:
-            kept.append((h, z, r, n, through[:, 2 * HIDDEN :]))
-        h = n + z * (h - n)
-        states[t] = h
-    return states, h, kept
+            before[t], reset[t] = h, through[2 * HIDDEN :]
+        n += zr[HIDDEN:] * through[2 * HIDDEN :]
+        np.tanh(n, out=n)
+        after = np.subtract(h, n, out=states[t])
+        after *= zr[:HIDDEN]
+        after += n
+        h = after
+    return turned(states), h.T, (before, gates, reset)
+
+
+def occurring(numbers: np.ndarray, below: int) -> np.ndarray:
+    """The distinct numbers, all less than ``below``, ascending."""
+    return np.flatnonzero(np.bincount(numbers, minlength=below))
 
 
 def class_of(targets: np.ndarray, classes: int) -> np.ndarray:
@@ -291,9 +313,10 @@ def class_of(targets: np.ndarray, classes: int) -> np.ndarray:
 def chosen(x: np.ndarray, at: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Log-softmax of each row at one place, and with ``weights`` of the rows its negative's gradient; ``x`` is used up."""
     rows = np.arange(len(x))
-    # One shift for all rows takes a fraction of the time of a greatest value per row, unless rows lie far apart.
+    # Scores near 0 need no shift, and one for all rows takes a fraction of the time of a greatest value per row, unless rows lie far apart.
     low, high = (float(x.min()), float(x.max())) if x.size else (0.0, 0.0)
-    x -= x.max(1, keepdims=True) if high - low > 60 else x.dtype.type(high)
+    if max(-low, high) > 30:
+        x -= x.max(1, keepdims=True) if high - low > 60 else x.dtype.type(high)
     out = x[rows, at]
     np.exp(x, out=x)
     total = x @ np.ones(x.shape[1], x.dtype)
@@ -304,27 +327,41 @@ def chosen(x: np.ndarray, at: np.ndarray, weights: np.ndarray | None = None) ->
     return out, x
 
 
-def in_classes(model: dict, states: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
+def with_one(states: np.ndarray) -> np.ndarray:
+    """A further column of ones, which meets a bias."""
+    out = np.ones((len(states), HIDDEN + 1), states.dtype)
+    out[:, :HIDDEN] = states
+    return out
+
+
+def outputs(model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classes and of the words in each, the biases as a last row."""
+    return np.vstack([model["class"], model["class_bias"]]), np.concatenate([model["word"], model["word_bias"][:, None]], 1)
+
+
+def in_classes(word: np.ndarray, states: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
     """Places of the frequent words in order of their classes, their states, (class, first, end) of each run, and the scores in the class."""
-    words = len(model["word"])
-    order = np.argsort(classes, kind="stable")
-    bounds = np.searchsorted(classes[order], np.arange(words + 1))
+    # Short numbers are sorted by their digits.
+    order = np.argsort(classes.astype(np.uint16) if len(word) + BANDS * KINDS < 1 << 16 else classes, kind="stable")
+    bounds = np.searchsorted(classes[order], np.arange(len(word) + 1))
     order = order[: bounds[-1]]
     runs = [(c, bounds[c], bounds[c + 1]) for c in np.flatnonzero(np.diff(bounds)).tolist()]
     own = states[order]
-    x = model["word_bias"][classes[order]]
+    x = np.empty((len(own), CLASS_WORDS), own.dtype)
     for c, a, b in runs:
-        x[a:b] += own[a:b] @ model["word"][c]
+        np.matmul(own[a:b], word[c], out=x[a:b])
     return order, own, runs, x
 
 
 def log_chances(model: dict, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Natural log of the chance of each target: its class, then its place in a class of frequent words."""
     classes = class_of(targets, len(model["word"]))
-    scores = states @ model["class"]
-    scores += model["class_bias"]
-    out, _ = chosen(scores, classes)
-    order, _, _, x = in_classes(model, states, classes)
+    of_class, word = outputs(model)
+    states = with_one(states)
+    # Some rows at a time, so that they stay in the cache.
+    parts = [slice(a, a + ROWS_AT_ONCE) for a in range(0, len(states), ROWS_AT_ONCE)]
+    out = np.concatenate([chosen(states[part] @ of_class, classes[part])[0] for part in parts]) if parts else np.zeros(0, states.dtype)
+    order, _, _, x = in_classes(word, states, classes)
     out[order] += chosen(x, targets[order] % CLASS_WORDS)[0]
     return out
 
@@ -336,46 +373,50 @@ def gradients(model: dict, inputs: np.ndarray, targets: np.ndarray, real: np.nda
     flat, goal, counts = states.reshape(-1, HIDDEN), targets.ravel(), real.ravel()
     n = max(1, counts.sum())
     classes = class_of(goal, len(model["word"]))
-    x = flat @ model["class"]
-    x += model["class_bias"]
-    chances, d = chosen(x, classes, counts / n)
+    of_class, word = outputs(model)
+    flat = with_one(flat)
+    chances, d = chosen(flat @ of_class, classes, counts / n)
     loss = -(chances * counts).sum()
-    grads["class"] += flat.T @ d
-    grads["class_bias"] += np.ones(len(d), d.dtype) @ d
+    both = flat.T @ d
+    grads["class"], grads["class_bias"] = both[:HIDDEN], both[HIDDEN]
     d_flat = d @ model["class"].T
-    order, own, runs, x = in_classes(model, flat, classes)
+    order, own, runs, x = in_classes(word, flat, classes)
     chances, d = chosen(x, goal[order] % CLASS_WORDS, counts[order] / n)
     loss -= (chances * counts[order]).sum()
-    d_own = np.empty_like(own)
+    d_own, both = np.empty((len(own), HIDDEN), own.dtype), np.zeros_like(word)
+    back = model["word"].transpose(0, 2, 1).copy()
     for c, a, b in runs:
-        grads["word"][c] = own[a:b].T @ d[a:b]
-        grads["word_bias"][c] = d[a:b].sum(0)
-        d_own[a:b] = d[a:b] @ model["word"][c].T
+        np.matmul(own[a:b].T, d[a:b], out=both[c])
+        np.matmul(d[a:b], back[c], out=d_own[a:b])
+    grads["word"], grads["word_bias"] = both[:, :HIDDEN], both[:, HIDDEN]
     d_flat[order] += d_own
-    d_states = d_flat.reshape(states.shape)
+    d_all = turned(d_flat.reshape(states.shape))
     begins = inputs == len(model["input"]) - 1
     some = begins.any(1)
-    back = model["own"].T.copy()
-    before, z, r, new, through = (np.stack(part) for part in zip(*kept, strict=True))
+    before, gates, through = kept
+    z, r, new = gates[:, :HIDDEN], gates[:, HIDDEN : 2 * HIDDEN], gates[:, 2 * HIDDEN :]
     # What the state's gradient is multiplied by, for all steps at once: through the update, the reset and the new state.
     to_new = (1 - z) * (1 - new * new)
-    factors = np.stack([z * (1 - z) * (before - new), to_new * through * r * (1 - r), to_new * r], 2)
-    d_all = np.empty_like(states)
-    d_through = np.empty((*states.shape[:2], 3, HIDDEN), states.dtype)
-    d_h = np.zeros_like(states[0])
+    factors = np.stack([z * (1 - z) * (before - new), to_new * through * r * (1 - r), to_new * r], 1)
+    d_through = np.empty_like(factors)
+    d_h = np.zeros_like(d_all[0])
     for t in range(len(inputs) - 1, -1, -1):
-        d_h = np.add(d_h, d_states[t], out=d_all[t])
-        np.multiply(d_h[:, None], factors[t], out=d_through[t])
-        d_h = d_h * z[t] + d_through[t].reshape(-1, 3 * HIDDEN) @ back
+        d_h = np.add(d_h, d_all[t], out=d_all[t])
+        np.multiply(d_h, factors[t], out=d_through[t])
+        d_h = d_h * z[t]
+        d_h += model["own"] @ d_through[t].reshape(3 * HIDDEN, -1)
         if some[t]:
-            d_h = d_h * ~begins[t][:, None]
-    grads["own"] += before.reshape(-1, HIDDEN).T @ d_through.reshape(-1, 3 * HIDDEN)
-    d_given = d_through
-    d_given[:, :, 2] = d_all * to_new
+            d_h *= ~begins[t]
+    grads["own"] += (before @ d_through.reshape(gates.shape).transpose(0, 2, 1)).sum(0)
+    np.multiply(d_all, to_new, out=d_through[:, 2])
+    d_given = turned(d_through.reshape(gates.shape))
+    # Sums of the rows of each input that occurs, by counting with weights.
     used = inputs.ravel()
-    order = np.argsort(used, kind="stable")
-    firsts = np.flatnonzero(np.diff(used[order], prepend=-1))
-    grads["input"][used[order][firsts]] = np.add.reduceat(d_given.reshape(-1, 3 * HIDDEN)[order], firsts, axis=0)
+    met = occurring(used, len(model["input"]))
+    place = np.zeros(len(model["input"]), np.int64)
+    place[met] = np.arange(len(met)) * (3 * HIDDEN)
+    cells = (place[used][:, None] + np.arange(3 * HIDDEN)).ravel()
+    grads["input"][met] = np.bincount(cells, d_given.ravel(), len(met) * 3 * HIDDEN).reshape(len(met), -1)
     return grads, last, float(loss / n)
 
 
@@ -396,15 +437,19 @@ def learned(model: dict, square: dict, documents: list[np.ndarray]) -> float:
         part = slice(first, first + BPTT)
         grads, h, loss = gradients(model, given[part], goal[part], real[part], h)
         total += loss * float(real[part].sum())
-        met = class_of(np.unique(goal[part]), words)
-        met = np.unique(met[met < words])
+        met = occurring(class_of(goal[part].ravel(), words), len(model["class_bias"]))
+        met = met[met < words]
         # Rows that the window doesn't meet have no gradient.
-        rows = {"input": np.unique(given[part]), "word": met, "word_bias": met}
+        rows = {"input": occurring(given[part].ravel(), start + 1), "word": met, "word_bias": met}
         for k, g in grads.items():
             at = rows.get(k, slice(None))
             g = g[at]
-            square[k][at] += g * g
-            model[k][at] -= RATE * g / np.sqrt(square[k][at])
+            own = square[k][at]
+            own += g * g
+            square[k][at] = own
+            g *= RATE
+            g /= np.sqrt(own)
+            model[k][at] -= g
     return total / len(tokens)
 
 

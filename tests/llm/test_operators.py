@@ -548,6 +548,32 @@ def test_language_model_starts_anew_at_each_document_inside_a_window():
     assert not grads["input"][[5, 9]].any() and grads["input"][[first, 7]].any()
 
 
+def test_language_model_layouts_agree_with_the_plain_formulas():
+    rng = np.random.default_rng(8)
+    model = {k: v.astype(np.float64) for k, v in lm.fresh(rng.integers(1, 100, lm.FREQUENT), np.ones(lm.BANDS * lm.KINDS)).items()}
+    inputs, goal = rng.integers(0, lm.SYMBOLS - 1, (5, 3)), rng.integers(0, lm.SYMBOLS - 1, (5, 3))
+    h = rng.standard_normal((3, lm.HIDDEN))
+    states, last, _ = lm.gru(model, inputs, h)
+    for t, symbols in enumerate(inputs):
+        given, through = np.split(model["input"][symbols], 3, 1), np.split(h @ model["own"], 3, 1)
+        z, r = (1 / (1 + np.exp(-given[i] - through[i])) for i in (0, 1))
+        n = np.tanh(given[2] + r * through[2])
+        h = (1 - z) * n + z * h
+        assert np.allclose(states[t], h)
+    assert np.allclose(last, h)
+    of_class, word = lm.outputs(model)
+    flat = lm.with_one(states.reshape(-1, lm.HIDDEN))
+    assert np.allclose(flat @ of_class, states.reshape(-1, lm.HIDDEN) @ model["class"] + model["class_bias"])
+    order, own, runs, x = lm.in_classes(word, flat, lm.class_of(goal.ravel(), lm.WORD_CLASSES))
+    assert [b - a for _, a, b in runs] == np.unique(goal.ravel()[order] // lm.CLASS_WORDS, return_counts=True)[1].tolist()
+    for c, a, b in runs:
+        assert np.allclose(x[a:b], own[a:b, : lm.HIDDEN] @ model["word"][c] + model["word_bias"][c])
+    # More rows than are scored together.
+    many = rng.standard_normal((2 * lm.ROWS_AT_ONCE + 1, lm.HIDDEN))
+    at = rng.integers(0, lm.SYMBOLS - 1, len(many))
+    assert np.allclose(lm.log_chances(model, many, at)[-1:], lm.log_chances(model, many[-1:], at[-1:]))
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 

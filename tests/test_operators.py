@@ -12,7 +12,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import kmeans, logistic
+from tessera.operators import canonical, kmeans, logistic
 from tessera.operators.canonical import alias_index, canonicalize, containing
 from tessera.operators.cube import MOST_RANGES, active_filters, available, cube_query, date_runs, within
 from tessera.operators.isolation_forest import MILLION, fit_forest, isolation_scores, mean_path, path_cut
@@ -30,6 +30,16 @@ def lookup(spark, vendor_rows, raws):
     return {r.raw: r.vendor_id for r in canonicalize(spelled, alias_index(vendors(spark, vendor_rows))).collect()}
 
 
+def test_grams_are_cut_on_every_core(spark, monkeypatch):
+    found, parts = canonical.containing, []
+    monkeypatch.setattr(canonical, "containing", lambda *sides: parts.extend(side.rdd.getNumPartitions() for side in sides) or found(*sides))
+    many = [(f"V{i:05}", f"Shop {i:05}", "Office", f'["SHOP*{i:05}"]') for i in range(300)]
+    spelled = spark.createDataFrame([(f"pos shop*{i:05} dubai",) for i in range(300)], "raw string").coalesce(1)
+    got = {r.raw: r.vendor_id for r in canonical.canonicalize(spelled, alias_index(vendors(spark, many).coalesce(1))).collect()}
+    assert got == {f"pos shop*{i:05} dubai": f"V{i:05}" for i in range(300)}
+    assert min(parts) >= spark.sparkContext.defaultParallelism
+
+
 def test_containing_equals_brute_force(spark):
     rng = random.Random(4)
     words = ["a", "é", "ab", "shop", "supplier#0001", "supplier#00012", "supplier#000123", "漢字 stores", "stores", "x y"]

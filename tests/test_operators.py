@@ -245,6 +245,21 @@ def test_forest_expression_walks_its_nodes(spark):
     assert all(n.path % MILLION in {round(mean_path(k) * MILLION) % MILLION for k in range(257)} for n in forest.nodes.itertuples() if n.feature < 0)
 
 
+def test_forest_is_looked_up_as_its_expression_walks(spark):
+    df = planted(spark).withColumns({"_x_amount": F.col("amount"), "_x_dow": F.col("dow").cast("double"), "_code_label": (F.col("label") == "y").cast("double")})
+    forest = fit_forest(df, "key", 2, ["_x_amount", "_x_dow", "_code_label"], 120, 5)
+    cut = forest.nodes[forest.nodes["feature"] == 0]["value"].iloc[:20].tolist()
+    odd = [(a, d, c) for a in [None, float("nan"), float("inf"), -float("inf"), *cut] for d in (None, 2.0) for c in (None, 0.0, 7.0)]
+    rows = df.select("_x_amount", "_x_dow", "_code_label").unionByName(spark.createDataFrame(odd, "_x_amount double, _x_dow double, _code_label double"))
+    looked_up = forest.with_path(rows)
+    # The expression of a full forest doesn't compile, and was walked for every row.
+    assert "bucketizer" in plan_of(looked_up).lower() and not any(word in plan_of(looked_up) for word in ("Python", "Pandas", "Arrow"))
+    both = looked_up.withColumn("walked", forest.path())
+    assert both.count() == rows.count() and both.filter("not path <=> walked").count() == 0
+    # Too many combinations for a table: the expression.
+    assert forest.with_path(rows, most=1).exceptAll(looked_up).count() == 0
+
+
 def test_path_cut_is_exact(spark):
     rows = spark.createDataFrame([(float(i), int(p)) for i, p in enumerate([5, 5, 1, 2, 9, 9, 9, 3, 7, 8])], "k double, path long")
     paths = sorted(r.path for r in rows.collect())

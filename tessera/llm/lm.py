@@ -410,13 +410,11 @@ def gradients(model: dict, inputs: np.ndarray, targets: np.ndarray, real: np.nda
     grads["own"] += (before @ d_through.reshape(gates.shape).transpose(0, 2, 1)).sum(0)
     np.multiply(d_all, to_new, out=d_through[:, 2])
     d_given = turned(d_through.reshape(gates.shape))
-    # Sums of the rows of each input that occurs, by counting with weights.
+    # Sums of the rows of each input that occurs, brought together.
     used = inputs.ravel()
-    met = occurring(used, len(model["input"]))
-    place = np.zeros(len(model["input"]), np.int64)
-    place[met] = np.arange(len(met)) * (3 * HIDDEN)
-    cells = (place[used][:, None] + np.arange(3 * HIDDEN)).ravel()
-    grads["input"][met] = np.bincount(cells, d_given.ravel(), len(met) * 3 * HIDDEN).reshape(len(met), -1)
+    order = np.argsort(used, kind="stable")
+    met, first = np.unique(used[order], return_index=True)
+    grads["input"][met] = np.add.reduceat(d_given.reshape(-1, 3 * HIDDEN)[order], first, axis=0)
     return grads, last, float(loss / n)
 
 

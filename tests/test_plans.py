@@ -12,7 +12,7 @@ from tessera.plans import dq, finance, forecast, marts, mining, quality, reports
 from tessera.plans.warehouse import Warehouse
 from tessera.schemas import BRONZE_SALES, DQ_EVENTS
 from tessera.sources import layers, payloads
-from tessera.sources.workspace import new_path
+from tessera.sources.workspace import BROADCAST_ROWS, materialize, new_path, sized
 from tessera.streaming import retail as streams
 
 
@@ -363,3 +363,25 @@ def test_a_replay_builds_only_the_sources_it_reads(spark, small):
     # Sources are shared, derived layers are not.
     assert again.folder("fin_dim_employee") == w.folder("fin_dim_employee")
     assert again.folder("fin_staged") != w.folder("fin_staged")
+
+
+def broadcasts(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin")
+
+
+def test_many_rows_in_small_files_are_not_broadcast(spark, tmp_path):
+    """The keys of a dimension take few bytes in its files; what counts for a broadcast are its rows."""
+    key = F.col("id").cast("bigint")
+    names = [F.lit(text).alias(name) for name, text in {"c_name": "n", "c_mktsegment": "s"}.items()]
+    customers = spark.range(BROADCAST_ROWS + 1).select(key.alias("c_custkey"), *names, F.lit(0).alias("c_nationkey"), F.lit(1.0).alias("c_acctbal"))
+    customers.write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 0 AS n_nationkey, 'N' AS n_name, 0 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("SELECT 0 AS r_regionkey, 'R' AS r_name").write.parquet(f"{tmp_path}/region.parquet")
+    w = Warehouse(spark, str(tmp_path))
+    sold = materialize(spark.sql("SELECT concat('C', id) AS customer_id, 1.0 AS amount FROM range(499990, 500010)"), "sold")
+    known = sold.join(w.table("gold_dim_customer").select("customer_id", "city"), "customer_id", "left")
+    unknown = sold.join(w.table("gold_dim_customer").select("customer_id"), "customer_id", "left_anti")
+    assert known.filter("city = 'N'").count() == 11 and unknown.count() == 9
+    assert broadcasts(known) == broadcasts(unknown) == 0
+    few = sized(materialize(spark.range(10).select(F.concat(F.lit("C"), "id").alias("customer_id")), "few"))
+    assert broadcasts(sold.join(few, "customer_id", "left_anti")) == 1

@@ -385,3 +385,18 @@ def test_many_rows_in_small_files_are_not_broadcast(spark, tmp_path):
     assert broadcasts(known) == broadcasts(unknown) == 0
     few = sized(materialize(spark.range(10).select(F.concat(F.lit("C"), "id").alias("customer_id")), "few"))
     assert broadcasts(sold.join(few, "customer_id", "left_anti")) == 1
+
+
+def test_enough_files_arrive_as_they_lie(spark):
+    """A table is copied for a stream only if its files are too few for the batches."""
+    w, rows = Warehouse(spark, "unused"), bronze(spark, [sale(f"S{i}") for i in range(40)])
+    for files, per_batch, copied in ((7, 3, False), (6, 2, False), (2, 2, True)):
+        folder = new_path(spark, "bronze_sales_raw")
+        rows.repartition(files).write.parquet(folder)
+        w._tables["bronze_sales_raw"], w._folders["bronze_sales_raw"] = spark.read.schema(BRONZE_SALES).parquet(folder), folder
+        path, batch = streams_catalog._arriving(w, "bronze_sales_raw", "arriving")
+        assert (path != folder, batch) == (copied, per_batch)
+        counts, checkpoint = new_path(spark, "counts"), new_path(spark, "checkpoint")
+        streams.live_counts(streams.bronze_stream(streams.streaming_session(spark), path, batch), counts, checkpoint).awaitTermination()
+        assert spark.read.parquet(f"{counts}/clock").count() == streams_catalog.BATCHES
+        assert streams.latest_counts(spark, counts).agg(F.sum("n")).first()[0] == 40

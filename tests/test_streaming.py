@@ -198,3 +198,15 @@ def test_a_killed_rebuild_leaves_the_layer(spark):
     thread.join()
     assert failed and layers.read_layer(spark, path, schema).count() == 100
     assert layers.current_version(spark, path).number == 1
+
+
+def test_a_reader_shuffles_the_wanted_columns(spark):
+    arriving, sink, checkpoint = (new_path(spark, label) for label in ("arriving", "silver", "checkpoint"))
+    bronze(spark, [sale(f"S{i % 9}") for i in range(20)]).write.parquet(arriving)
+    run_silver(spark, arriving, sink, checkpoint)
+    wanted = ["status", *SILVER_SALES.names]
+    whole, narrow = streams.streamed_silver(spark, sink), streams.streamed_silver(spark, sink, *wanted)
+    assert narrow.columns == wanted
+    assert quality.same_rows(whole.select(*wanted), narrow, "x").first().violations == 0
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (whole, narrow)]
+    assert ["bronze_id" in plan for plan in plans] == [True, False]

@@ -19,6 +19,7 @@ from tessera.operators.isolation_forest import MILLION, fit_forest, isolation_sc
 from tessera.operators.prefix_scan import exact_median, prefix_scan
 from tessera.operators.rules import association_rules, basket_items, frequent_itemsets
 from tessera.plans import quality
+from tessera.sources import workspace
 
 
 def vendors(spark, rows):
@@ -355,3 +356,17 @@ def test_quality_checks_find_violations(spark):
     assert quality.same_rows(one, two, "x").first()["violations"] == 2
     assert quality.same_rows(one, one, "x").first()["violations"] == 0
     assert quality.unique_key(one, "k").first()["violations"] == 1
+
+
+def test_an_index_of_many_aliases_is_not_broadcast(spark, monkeypatch):
+    vendors = spark.createDataFrame([("V1", "Acme", '["acme corp", "acm"]'), ("V2", "Zeta", "[]")], "vendor_id string, canonical_name string, aliases_json string")
+    spellings = spark.createDataFrame([("ACME",), (" zeta ",), ("zeta shop",), ("none",)], "raw string")
+
+    def mapped():
+        found = canonical.canonicalize(spellings, canonical.alias_index(vendors))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        return sorted((r.raw, r.vendor_id) for r in found.collect()), plan.count("BroadcastHashJoin [needle") + plan.count("BroadcastHashJoin [alias")
+
+    few, many = mapped(), (monkeypatch.setattr(workspace, "BROADCAST_ROWS", 1), mapped())[1]
+    assert few[0] == many[0] == [(" zeta ", "V2"), ("ACME", "V1"), ("none", None), ("zeta shop", "V2")]
+    assert few[1] > 0 and many[1] == 0
